@@ -27,3 +27,64 @@ register("mart_sales_by_city")(marts.sales_by_city)
 register("mart_sales_by_category")(marts.sales_by_category)
 register("mart_avg_ticket")(marts.avg_ticket)
 register("mart_distributor_vs_internal")(marts.distributor_vs_internal)
+
+from salesmart.operators import commission  # noqa: E402
+
+register("mart_commission_monthly")(commission.commission_monthly)
+
+from salesmart.plans import screens  # noqa: E402
+
+SCREENS = [
+    "home_kpis",
+    "home_zone_trend",
+    "home_zone_share",
+    "home_top_products",
+    "home_category_totals",
+    "map_city_sales",
+    "map_top_cities",
+    "map_zone_rollup",
+    "zone_monthly",
+    "zone_totals",
+    "zone_yearly",
+    "zone_month_pivot",
+    "client_ranking",
+    "client_type_mix",
+    "client_top20",
+    "product_ranking",
+    "product_rx_otc",
+    "product_top15",
+    "commission_list",
+    "commission_summary",
+    "commission_last_month",
+    "evolution_monthly",
+    "evolution_totals",
+    "yoy_by_month",
+    "yoy_latest_totals",
+    "lab_monthly",
+    "lab_totals",
+    "lab_top6_trend",
+    "dist_monthly",
+    "dist_type_trend",
+    "dist_kpis",
+    "margin_by_product",
+    "margin_top15",
+    "margin_extremes",
+    "margin_heatmap",
+    "ticket_detail",
+    "ticket_overall",
+    "ticket_by_type",
+    "ticket_by_zone",
+    "ticket_by_month",
+    "category_detail",
+    "category_tree",
+    "category_rx_otc",
+    "category_top5_trend",
+    "seller_monthly",
+    "seller_ranking",
+    "seller_top6_trend",
+    "target_overview",
+    "target_bands",
+    "target_trend",
+]
+for _n in SCREENS:
+    register(_n)(getattr(screens, _n))

@@ -230,3 +230,40 @@ SELECT distributor_type, distributor_name, zone_name, year, year_month,
 FROM sales
 GROUP BY distributor_type, distributor_name, zone_name, year, year_month
 """)
+
+COMMISSION_CTE = """,
+months AS (
+  SELECT CAST(m AS DATE) AS month_start
+  FROM (SELECT generate_series(date_trunc('month', MIN(sale_date)), date_trunc('month', MAX(sale_date)),
+                               INTERVAL 1 MONTH) AS ms FROM sales) t, unnest(t.ms) AS u(m)),
+msales AS (
+  SELECT salesperson_key, date_trunc('month', sale_date) AS month_start, SUM(net_amount) AS s
+  FROM sales GROUP BY 1, 2),
+fc AS (
+  SELECT m.month_start, sp.salesperson_key, sp.salesperson_id, sp.full_name, sp.sp_zone_key AS zone_key,
+         COALESCE(ms.s, 0) AS sales_amount, CAST(sp.monthly_target AS DECIMAL(15,2)) AS target_amount,
+         CAST(sp.commission_rate AS DECIMAL(5,3)) AS commission_rate
+  FROM sp, months m
+  LEFT JOIN msales ms ON ms.salesperson_key = sp.salesperson_key AND ms.month_start = m.month_start),
+fcm AS (
+  SELECT *, strftime(month_start, '%Y-%m') AS year_month, CAST(year(month_start) AS INTEGER) AS year,
+         CAST(month(month_start) AS INTEGER) AS month_num,
+         CASE WHEN target_amount > 0 THEN ROUND(sales_amount * 100 / target_amount, 3) ELSE 0 END AS achievement_pct,
+         ROUND(sales_amount * commission_rate, 2) AS commission_amount,
+         CASE WHEN target_amount > 0 AND sales_amount >= target_amount
+              THEN ROUND(sales_amount * commission_rate * 0.10, 2) ELSE 0 END AS bonus_amount,
+         ROUND(sales_amount * commission_rate + CASE WHEN target_amount > 0 AND sales_amount >= target_amount
+              THEN sales_amount * commission_rate * 0.10 ELSE 0 END, 2) AS total_payout
+  FROM fc)
+"""
+
+ORACLE["mart_commission_monthly"] = with_sales(COMMISSION_CTE + """
+SELECT year_month, year, month_num, salesperson_id, full_name AS salesperson_name, z.zone_name,
+       CAST(sales_amount AS DOUBLE) AS sales_amount, CAST(target_amount AS DOUBLE) AS target_amount,
+       CAST(achievement_pct AS DOUBLE) AS achievement_pct,
+       CAST(commission_rate * 100 AS DOUBLE) AS commission_rate_pct,
+       CAST(commission_amount AS DOUBLE) AS commission_amount, CAST(bonus_amount AS DOUBLE) AS bonus_amount,
+       CAST(total_payout AS DOUBLE) AS total_payout, FALSE AS paid_flag,
+       CAST(RANK() OVER (PARTITION BY year_month ORDER BY sales_amount DESC) AS INTEGER) AS rank_in_month
+FROM fcm JOIN zones z USING (zone_key)
+""")
