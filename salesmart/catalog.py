@@ -88,3 +88,8 @@ SCREENS = [
 ]
 for _n in SCREENS:
     register(_n)(getattr(screens, _n))
+
+from salesmart.plans import ingest  # noqa: E402
+
+register("feed_parsed_rows")(ingest.feed_parsed_rows)
+register("landing_files")(ingest.landing_files)

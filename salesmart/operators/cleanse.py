@@ -208,7 +208,7 @@ def deduplicate(df: DataFrame, order_cols: Sequence[str], keys: Sequence[str] =
 
 # --------------------------------------------------------------------------- pipeline
 
-def cleanse(df: DataFrame, *, seq_col: str, as_of: date | None = None,
+def cleanse(df: DataFrame, *, seq_col: str, as_of: date | None = None, min_date: str = rd.MIN_SALE_DATE,
             fuzzy_city_threshold: float = rd.CITY_FUZZY_THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Full cleansing pipeline (J-1): dates -> numeric -> city -> client -> zone -> dedup.
 
@@ -217,7 +217,7 @@ def cleanse(df: DataFrame, *, seq_col: str, as_of: date | None = None,
     date_col = tx.first_existing(df.columns, "sale_date", "full_date")
     rejected = []
     if date_col:
-        df, rej = validate_dates(df, date_col, as_of=as_of)
+        df, rej = validate_dates(df, date_col, min_date=min_date, as_of=as_of)
         rejected.append(rej)
     df, rej = validate_numeric(df)
     rejected.append(rej)

@@ -101,7 +101,7 @@ base AS (
          ci.city_name, z.zone_key, z.zone_code, z.zone_name,
          d.distributor_code, d.distributor_name, d.distributor_type,
          p.product_name, p.category, p.subcategory, p.rx_otc_flag, p.laboratory_key, p.lab_name, p.list_price,
-         ROUND(li.gross_amount * li.disc, 2) AS discount_amount,
+         li.disc * 100 AS discount_pct, ROUND(li.gross_amount * li.disc, 2) AS discount_amount,
          li.gross_amount - ROUND(li.gross_amount * li.disc, 2) AS net_amount,
          ROUND(li.quantity * p.list_price * 0.60, 2) AS cost_amount
   FROM li JOIN hdr h USING (invoice_number)

@@ -67,3 +67,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(df, name: str, partition_by: list[str] | None = None):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (an executor loss re-reads files instead of recomputing
+    the plan) and lets later scans prune by ``partition_by``.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    # read back with the known schema: an empty result has no files to infer it from
+    cols = df.columns
+    back = spark.read.schema(df.schema).parquet(path)
+    return back.select(*cols)

@@ -11,8 +11,13 @@ def _norm(v):
         return None
     if isinstance(v, decimal.Decimal):
         return float(v)
-    if isinstance(v, dt.datetime):
-        return v.replace(tzinfo=None)
+    if isinstance(v, dt.datetime):  # pandas Timestamp included
+        v = v.replace(tzinfo=None)
+        if v.hour == v.minute == v.second == v.microsecond == 0:
+            return v.date()
+        return v
+    if hasattr(v, "to_pydatetime"):
+        return norm(v.to_pydatetime()) if "norm" in globals() else _norm(v.to_pydatetime())
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
