@@ -93,3 +93,16 @@ from salesmart.plans import ingest  # noqa: E402
 
 register("feed_parsed_rows")(ingest.feed_parsed_rows)
 register("landing_files")(ingest.landing_files)
+
+from salesmart.plans import reports  # noqa: E402
+
+REPORTS = [
+    "budget_vs_actual_month", "budget_vs_actual_zone", "budget_vs_actual_category",
+    "etl_latest_day", "etl_success_summary", "etl_daily_status", "etl_by_system", "etl_records_per_day",
+    "etl_latest_runs", "sales_calendar",
+    "pareto_products", "month_over_month", "ytd_sales", "ticket_quartiles", "lab_top_product",
+    "distributor_contribution", "category_waterfall", "achievement_by_zone", "seller_month_heatmap",
+    "category_zone_margin_heatmap", "top_clients_by_ticket",
+]
+for _n in REPORTS:
+    register(_n)(getattr(reports, _n))

@@ -91,3 +91,25 @@ def _attach_min(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataF
         c = df[k].eqNullSafe(agg[a])
         cond = c if cond is None else cond & c
     return df.join(agg, cond).drop(*alias.values())
+
+
+def running_total(df: DataFrame, value: str, order_by: Sequence[tuple[str, bool]], out: str = "running_total",
+                  tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """Cumulative SUM(value) in a global order (ROWS UNBOUNDED PRECEDING .. CURRENT ROW).
+
+    Same plan shape as ``rank_over``: range-partitioned sort, checkpoint,
+    per-partition totals -> offsets, then a running sum *inside* each
+    physical partition (a task-sized window) plus its offset.
+    """
+    full_order = list(order_by) + [(c, False) for c in tie_breakers]
+    sorted_df = df.orderBy(*_ordered(full_order)).checkpoint(eager=True)
+    mid = F.monotonically_increasing_id()
+    with_pos = sorted_df.select("*", F.shiftright(mid, _POS_BITS).alias("_pid"),
+                                mid.bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"))
+    totals = with_pos.groupBy("_pid").agg(F.sum(value).alias("_t"))
+    offsets = totals.select("_pid", F.sum("_t").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    within = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    res = with_pos.join(F.broadcast(offsets), "_pid").withColumn(
+        out, F.coalesce(F.col("_off"), F.lit(0)) + F.sum(value).over(within))
+    return res.drop("_pid", "_pos", "_off")
