@@ -106,3 +106,13 @@ REPORTS = [
 ]
 for _n in REPORTS:
     register(_n)(getattr(reports, _n))
+
+from salesmart.plans import cleansing_queries as cq  # noqa: E402
+
+CLEANSING = [
+    "clean_text_documents", "title_case_documents", "client_names_clean", "tax_ids_clean", "zone_codes_clean",
+    "dedup_order_lines", "date_validation", "numeric_validation", "city_cleansing", "product_code_mapping",
+    "unmapped_products", "product_name_cleansing",
+]
+for _n in CLEANSING:
+    register(_n)(getattr(cq, _n))

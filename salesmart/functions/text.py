@@ -70,17 +70,23 @@ def lower_unaccent(c: Column) -> Column:
     return F.lower(unaccent(c))
 
 
+def _title_char(ch: Column) -> Column:
+    """Title case of one character: upper case, except sharp s which titles as 'Ss'."""
+    return F.when(ch == "ß", F.lit("Ss")).otherwise(F.upper(ch))
+
+
 def title_case_spanish(c: Column) -> Column:
     """Capitalise words except the Spanish particles (not in first position).
 
     NULL or blank input is returned unchanged.
     """
-    words = F.split(F.lower(F.trim(c)), WS + "+")
+    words = F.split(F.regexp_replace(F.lower(c), "^" + WS + "+|" + WS + "+$", ""), WS + "+")
     small = F.array(*[F.lit(w) for w in SPANISH_LOWER_WORDS])
     cap = F.transform(words, lambda w, i: F.when((i == 0) | ~F.array_contains(small, w),
-                                                 F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20)))
+                                                 F.concat(_title_char(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20)))
                       .otherwise(w))
-    return F.when(c.isNull() | (F.trim(c) == ""), c).otherwise(F.array_join(cap, " "))
+    blank = F.regexp_replace(c, "^" + WS + "+|" + WS + "+$", "") == ""
+    return F.when(c.isNull() | blank, c).otherwise(F.array_join(cap, " "))
 
 
 def clean_client_name(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from salesmart.operators.cleanse import CANONICAL_CITIES
 from salesmart.oracle_sql import ORACLE, with_sales
-from salesmart.sources.grid import BLANK_INVOICE_LINE, BLANK_NET_LINE, CODES, DR_ZONES
+from salesmart.sources.grid import BLANK_INVOICE_LINE, BLANK_NET_LINE, CODES, DR_ZONES, GENERIC_DESC_LINE
 from salesmart.sources.profiles import PROFILES
 
 
@@ -46,7 +46,9 @@ SELECT = {
                                 "DIST_C": f"'FC' || {PK}", "DIST_D": f"'AF-' || {PK}",
                                 "DIST_E": f"'BP' || lpad({PK}, 3, '0') || 'X'", "DIST_F": f"'MD' || {PK}"}),
     "product_name_raw": _case({"DIST_A": "upper(product_name)", "DIST_B": "product_name || ' ' || category",
-                               "DIST_C": "product_name || ' ' || lower(category)", "DIST_D": "product_name",
+                               "DIST_C": f"CASE WHEN invoice_line = {GENERIC_DESC_LINE} THEN 'ITEM ' || {PK} "
+                                         f"ELSE product_name || ' ' || lower(category) END",
+                               "DIST_D": "product_name",
                                "DIST_E": "upper(product_name) || ' ' || lower(category)", "DIST_F": "product_name"}),
     "quantity": QTY,
     "unit_price": "CAST(price2 AS DOUBLE)",

@@ -38,6 +38,7 @@ CODES = ["DIST_A", "DIST_B", "DIST_C", "DIST_D", "DIST_E", "DIST_F"]
 DR_ZONES = ["Capital", "Norte", "Este", "Sur", "Oeste"]
 BLANK_INVOICE_LINE = 7      # lines with this number arrive with an empty invoice cell
 BLANK_NET_LINE = 6          # DIST_B leaves the amount empty on these lines
+GENERIC_DESC_LINE = 5       # DIST_C sends a generic description on these lines
 EMPTY_ROW = 1 << 40         # row index of the trailing empty row of each sheet
 
 
@@ -148,24 +149,28 @@ def fmt_comma(x: Column) -> Column:
     return F.translate(F.format_number(x, 2), ",.", ".,")
 
 
+def dirty_city(client_key: Column) -> Column:
+    """A canonical city picked by client, spelled one of five ways (as-is, upper, lower, typo, blank)."""
+    city = F.element_at(F.array(*[F.lit(x) for x in CANONICAL_CITIES]),
+                        (F.pmod(client_key, F.lit(len(CANONICAL_CITIES))) + 1).cast("int"))
+    variant = F.pmod(client_key, F.lit(5))
+    return (F.when(variant == 0, city).when(variant == 1, F.upper(city)).when(variant == 2, F.lower(city))
+            .when(variant == 3, F.concat(F.substring(city, 1, 1), F.substring(city, 3, 1 << 10)))
+            .otherwise(F.lit("")))
+
+
 def feed_lines(src: Source) -> DataFrame:
     """External-distributor order lines with everything a workbook row shows."""
     f = star.sales(src, include_deleted=True).filter(F.col("distributor_key") > 1)
     c = src.customer.select(F.col("c_custkey").alias("client_key"), "c_mktsegment")
     p = src.part.select(F.col("p_partkey").alias("product_key"), "p_brand")
     f = f.join(c, "client_key").join(p, "product_key")
-    city = F.element_at(F.array(*[F.lit(x) for x in CANONICAL_CITIES]),
-                        (F.pmod(F.col("client_key"), F.lit(len(CANONICAL_CITIES))) + 1).cast("int"))
-    variant = F.pmod(F.col("client_key"), F.lit(5))
-    dirty_city = (F.when(variant == 0, city).when(variant == 1, F.upper(city)).when(variant == 2, F.lower(city))
-                  .when(variant == 3, F.concat(F.substring(city, 1, 1), F.substring(city, 3, 1 << 10)))
-                  .otherwise(F.lit("")))
     zone = F.element_at(F.array(*[F.lit(z) for z in DR_ZONES]), F.col("zone_key"))
     return f.select(
         "*", F.col("distributor_code").alias("code"),
         F.concat(F.col("distributor_code"), F.lit("_"), F.date_format("sale_date", "yyyyMMdd"), F.lit(".xlsx"))
         .alias("file"),
-        dirty_city.alias("city_raw"), zone.alias("zone_raw"),
+        dirty_city(F.col("client_key")).alias("city_raw"), zone.alias("zone_raw"),
         (F.col("invoice_number") * 8 + F.col("invoice_line")).alias("line_seq"))
 
 
@@ -187,7 +192,9 @@ def _cells(code: str) -> list[Column]:
                    F.col("client_name"), qty, price.cast("string"),
                    F.when(F.col("invoice_line") == BLANK_NET_LINE, F.lit("")).otherwise(net.cast("string")),
                    F.col("city_raw")],
-        "DIST_C": [iso, inv, F.concat(F.lit("FC"), pk), F.concat_ws(" ", name, F.lower(typ)), qty,
+        "DIST_C": [iso, inv, F.concat(F.lit("FC"), pk),
+                   F.when(F.col("invoice_line") == GENERIC_DESC_LINE, F.concat(F.lit("ITEM "), pk))
+                   .otherwise(F.concat_ws(" ", name, F.lower(typ))), qty,
                    price.cast("string"), net.cast("string"), F.col("client_name"), F.col("city_raw"),
                    F.concat(disc, F.lit("%"))],
         "DIST_D": [iso, inv, F.concat(F.lit("AF-"), pk), name, typ, F.col("client_name"), F.col("c_mktsegment"),

@@ -7,6 +7,11 @@ from collections import Counter
 def _norm(v):
     if v is None:
         return None
+    try:
+        if v != v or str(v) == "NaT":  # NaN / NaT are NULL
+            return None
+    except (TypeError, ValueError):
+        pass
     if isinstance(v, float) and math.isnan(v):
         return None
     if isinstance(v, decimal.Decimal):
