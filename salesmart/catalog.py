@@ -116,3 +116,12 @@ CLEANSING = [
 ]
 for _n in CLEANSING:
     register(_n)(getattr(cq, _n))
+
+from salesmart.plans import governance, validation  # noqa: E402
+
+for _n in ["quality_log", "referential_integrity", "open_issues", "secure_zone_sales", "national_zone_sales",
+           "staging_payloads", "fact_upsert_merge", "resolved_feed_facts"]:
+    register(_n)(getattr(governance, _n))
+for _n in ["validation_status_counts", "validation_approval_rate", "validation_pending", "validation_history",
+           "validation_by_distributor"]:
+    register(_n)(getattr(validation, _n))

@@ -114,7 +114,8 @@ sales AS (
   SELECT *, net_amount - cost_amount AS margin_amount,
          CAST({rdiv(cents('net_amount - cost_amount') + ' * 100', cents('net_amount'), 3)} AS DECIMAL(12,3)) AS margin_pct,
          CAST({rdiv(cents('gross_amount') + ' * 10', 'CAST(quantity * 1000 AS HUGEINT)', 4)} AS DECIMAL(16,4)) AS unit_price,
-         CASE WHEN distributor_code = 'INT' THEN 'SAP_HANA' ELSE distributor_code END AS source_system
+         CASE WHEN distributor_code = 'INT' THEN 'SAP_HANA' ELSE distributor_code END AS source_system,
+         CAST(invoice_number AS VARCHAR) || '-' || CAST(invoice_line AS VARCHAR) AS source_record_id
   FROM base)
 """
 
