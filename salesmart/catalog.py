@@ -125,3 +125,12 @@ for _n in ["quality_log", "referential_integrity", "open_issues", "secure_zone_s
 for _n in ["validation_status_counts", "validation_approval_rate", "validation_pending", "validation_history",
            "validation_by_distributor"]:
     register(_n)(getattr(validation, _n))
+
+from salesmart.plans import admin  # noqa: E402
+from salesmart.sources import extracts  # noqa: E402
+
+for _n in ["sales_csv_roundtrip", "erp_changes_since", "historical_extract", "previous_month_extract",
+           "master_clients", "master_products", "seed_salespeople", "sql_zone_year_sales"]:
+    register(_n)(getattr(extracts, _n))
+for _n in ["filter_options", "load_summary_by_year", "home_kpis_last_12m", "feed_quality_counters"]:
+    register(_n)(getattr(admin, _n))
