@@ -27,6 +27,7 @@ register("mart_sales_by_city")(marts.sales_by_city)
 register("mart_sales_by_category")(marts.sales_by_category)
 register("mart_avg_ticket")(marts.avg_ticket)
 register("mart_distributor_vs_internal")(marts.distributor_vs_internal)
+register("client_year_ranking")(marts.client_year_ranking)
 
 from salesmart.operators import commission  # noqa: E402
 

@@ -98,6 +98,8 @@ def best_match_udf(scorer: str, cutoff: float):
                     sc = fn(s, c)
                     if sc >= cutoff and (best_s is None or sc > best_s):
                         best_i, best_s = i + 1, sc
+                        if sc >= 100.0:   # nothing scores higher; the first hit wins ties
+                            break
             idxs.append(best_i)
             scores.append(best_s)
         return pd.DataFrame({"idx": pd.array(idxs, dtype="Int32"), "score": pd.array(scores, dtype="Float64")})

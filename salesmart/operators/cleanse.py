@@ -43,25 +43,25 @@ def clean_city(df: DataFrame, col: str, *, threshold: float = rd.CITY_FUZZY_THRE
     blank -> default city 0.5; exact alias -> 1.0; first alias contained in
     the name (or containing it) -> 0.95; best token-sort similarity >=
     threshold against the canonical list -> score/100; else default 0.3.
+
+    Everything is computed once per *distinct* spelling (a vocabulary-sized
+    set) and joined back on the raw value, so the per-row cost on the big
+    side is one hash lookup.
     """
-    raw = F.col(col)
     ordered = _alias_lists(normalize_aliases)
-    d = df.withColumn("_cn", tx.normalize_text(raw))
-    d = d.withColumn("_blank", raw.isNull() | (F.trim(raw) == ""))
+    spell = df.select(F.col(col).alias("_raw")).distinct()
+    d = spell.withColumn("_cn", tx.normalize_text(F.col("_raw")))
+    d = d.withColumn("_blank", F.col("_raw").isNull() | (F.trim(F.col("_raw")) == ""))
     # exact lookup (first alias in list order; duplicate keys name the same city)
     d = d.withColumn("_ex", F.try_element_at(F.filter(ordered, lambda a: a["k"] == F.col("_cn")), F.lit(1))["v"])
     hit = F.filter(ordered, lambda a: F.contains(F.col("_cn"), a["k"]) | F.contains(a["k"], F.col("_cn")))
     d = d.withColumn("_sub", F.try_element_at(hit, F.lit(1))["v"])
-
     cand_norm = F.array(*[tx.normalize_text(F.lit(c)) for c in CANONICAL_CITIES])
     cand_name = F.array(*[F.lit(c) for c in CANONICAL_CITIES])
-    need = (d.filter(~F.col("_blank") & F.col("_ex").isNull() & F.col("_sub").isNull())
-            .select("_cn").distinct())
-    best = best_match_udf("token_sort_ratio", threshold)(F.col("_cn"), cand_norm)
-    fz = (need.withColumn("_b", best)
-          .select("_cn", F.try_element_at(cand_name, F.col("_b.idx")).alias("_fz"),
-                  (F.col("_b.score") / 100).alias("_fzs")))
-    d = d.join(fz, "_cn", "left")
+    fuzzy = ~F.col("_blank") & F.col("_ex").isNull() & F.col("_sub").isNull()
+    best = best_match_udf("token_sort_ratio", threshold)(F.when(fuzzy, F.col("_cn")), cand_norm)
+    d = d.withColumn("_b", best)
+    d = d.withColumn("_fz", F.try_element_at(cand_name, F.col("_b.idx"))).withColumn("_fzs", F.col("_b.score") / 100)
     city = (F.when(F.col("_blank"), F.lit(rd.DEFAULT_CITY))
             .when(F.col("_ex").isNotNull(), F.col("_ex"))
             .when(F.col("_sub").isNotNull(), F.col("_sub"))
@@ -72,8 +72,8 @@ def clean_city(df: DataFrame, col: str, *, threshold: float = rd.CITY_FUZZY_THRE
                   .when(F.col("_sub").isNotNull(), F.lit(rd.CITY_CONF_SUBSTRING))
                   .when(F.col("_fz").isNotNull(), F.col("_fzs"))
                   .otherwise(F.lit(rd.CITY_CONF_UNKNOWN)))
-    return d.withColumn(out, city).withColumn(conf, confidence.cast("double")) \
-        .drop("_cn", "_blank", "_ex", "_sub", "_fz", "_fzs")
+    answers = d.select("_raw", city.alias(out), confidence.cast("double").alias(conf))
+    return df.join(answers, df[col].eqNullSafe(answers["_raw"]), "left").drop("_raw")
 
 
 def zone_from_city(city: Column) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.similarity import best_match_udf
+from salesmart.session import materialize
 from salesmart.sources import star
 from salesmart.sources.grid import CODES
 from salesmart.sources.tables import Source
@@ -100,6 +101,8 @@ def map_product_codes(feed: DataFrame, mapping: DataFrame, *, code_col: str = "d
                                                        F.col("dist_product_desc").alias("t"),
                                                        F.col("_m.sap_product_id").alias("id"),
                                                        F.col("_m.sap_product_name").alias("name")))).alias("_c")))
+    # one row per distributor: small, materialised once and reused below
+    cands = materialize(cands, "map-candidates")
     biggest = cands.select(F.max(F.size("_c"))).first()[0] or 0
     if biggest > max_candidates:
         raise ValueError(f"fuzzy candidate list of {biggest} descriptions exceeds {max_candidates}; "

@@ -268,3 +268,10 @@ SELECT year_month, year, month_num, salesperson_id, full_name AS salesperson_nam
        CAST(RANK() OVER (PARTITION BY year_month ORDER BY sales_amount DESC) AS INTEGER) AS rank_in_month
 FROM fcm JOIN zones z USING (zone_key)
 """)
+
+ORACLE["client_year_ranking"] = _q(f"""
+SELECT client_key, client_name, year, COUNT(DISTINCT invoice_number) AS invoice_count,
+       {money('SUM(net_amount)')} AS total_net,
+       CAST(RANK() OVER (PARTITION BY year ORDER BY SUM(net_amount) DESC) AS INTEGER) AS rank_in_year
+FROM sales GROUP BY client_key, client_name, year
+""")

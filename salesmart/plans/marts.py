@@ -162,3 +162,13 @@ def distributor_vs_internal(src: Source) -> DataFrame:
         total("margin_amount").alias("total_margin"),
         mean("margin_pct", 3).alias("avg_margin_pct"),
         F.count_distinct("client_key").alias("active_clients"))
+
+
+def client_year_ranking(src: Source) -> DataFrame:
+    """Clients ranked inside each year by their yearly net sales (the client-year rank, Q11)."""
+    f = star.sales(src, product=False)
+    g = f.groupBy("client_key", "client_name", "year").agg(
+        F.sum("net_amount").alias("_net"), F.count_distinct("invoice_number").alias("invoice_count"))
+    g = rank_over(g, ["year"], [("_net", True)], out="rank_in_year", tie_breakers=["client_key"])
+    return g.select("client_key", "client_name", "year", "invoice_count",
+                    money(F.col("_net")).alias("total_net"), "rank_in_year")

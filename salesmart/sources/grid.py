@@ -27,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.cleanse import CANONICAL_CITIES, parse_date
-from salesmart.session import materialize
+from salesmart.session import checkpoint_dir, materialize
 from salesmart.sources import star
 from salesmart.sources.profiles import NUMERIC_COLUMNS, PERCENT_COLUMNS, PROFILES, Profile
 from salesmart.sources.tables import Source
 
 GRID_SCHEMA = "file string, sheet string, row_num bigint, cells array<string>"
+GRID_COLUMNS = ["file", "sheet", "row_num", "cells", "distributor"]
 CODES = ["DIST_A", "DIST_B", "DIST_C", "DIST_D", "DIST_E", "DIST_F"]
 # FIXED VALUES: zone names used in the workbooks (zone key 1..5).
 DR_ZONES = ["Capital", "Norte", "Este", "Sur", "Oeste"]
@@ -162,9 +163,6 @@ def dirty_city(client_key: Column) -> Column:
 def feed_lines(src: Source) -> DataFrame:
     """External-distributor order lines with everything a workbook row shows."""
     f = star.sales(src, include_deleted=True).filter(F.col("distributor_key") > 1)
-    c = src.customer.select(F.col("c_custkey").alias("client_key"), "c_mktsegment")
-    p = src.part.select(F.col("p_partkey").alias("product_key"), "p_brand")
-    f = f.join(c, "client_key").join(p, "product_key")
     zone = F.element_at(F.array(*[F.lit(z) for z in DR_ZONES]), F.col("zone_key"))
     return f.select(
         "*", F.col("distributor_code").alias("code"),
@@ -197,11 +195,11 @@ def _cells(code: str) -> list[Column]:
                    .otherwise(F.concat_ws(" ", name, F.lower(typ))), qty,
                    price.cast("string"), net.cast("string"), F.col("client_name"), F.col("city_raw"),
                    F.concat(disc, F.lit("%"))],
-        "DIST_D": [iso, inv, F.concat(F.lit("AF-"), pk), name, typ, F.col("client_name"), F.col("c_mktsegment"),
+        "DIST_D": [iso, inv, F.concat(F.lit("AF-"), pk), name, typ, F.col("client_name"), F.col("client_type"),
                    F.col("city_raw"), qty, price.cast("string"), net.cast("string")],
         "DIST_E": [iso, inv, F.concat(F.lit("BP"), F.lpad(pk, 3, "0"), F.lit("X")),
                    F.concat_ws(" ", F.upper(name), F.lower(typ)), qty, price.cast("string"), disc,
-                   net.cast("string"), F.col("client_name"), F.col("city_raw"), F.col("p_brand"), typ],
+                   net.cast("string"), F.col("client_name"), F.col("city_raw"), F.col("lab_name"), typ],
         "DIST_F": [F.date_format("sale_date", "dd/MM/yyyy"), inv, F.concat(F.lit("MD"), pk), name,
                    F.col("client_name"), F.concat_ws(" / ", F.col("city_raw"), F.col("zone_raw")), qty,
                    fmt_comma(price), fmt_comma(net),
@@ -217,39 +215,67 @@ def _by_code(values: dict[str, Column]) -> Column:
     return out
 
 
-def derive_grids(src: Source) -> DataFrame:
-    """Raw grid of every distributor workbook (one per distributor and day).
-
-    One pass over the order lines produces all data rows (the layout is a
-    CASE on the distributor); header, metadata and empty rows come from the
-    distinct (file, sheet) pairs.
-    """
+def _grid_data(src: Source) -> DataFrame:
+    """Data rows of every workbook: one pass over the order lines, layout chosen per distributor."""
     lines = feed_lines(src)
     sheet = _by_code({c: (F.concat(F.lit(PROFILES[c].zone_prefix), F.col("zone_raw")) if PROFILES[c].multi_sheet
                           else F.lit(PROFILES[c].sheet)) for c in CODES})
     header_row = _by_code({c: F.lit(PROFILES[c].header_row) for c in CODES})
-    data = lines.select("code", "file", sheet.alias("sheet"),
+    return lines.select("file", sheet.alias("sheet"),
                         (header_row + 1 + F.col("line_seq")).cast("bigint").alias("row_num"),
-                        _by_code({c: F.array(*_cells(c)) for c in CODES}).alias("cells"))
-    data = materialize(data, "grid-data", ["code"])
-    sheets = data.select("code", "file", "sheet").distinct()
+                        _by_code({c: F.array(*_cells(c)) for c in CODES}).alias("cells"),
+                        F.col("code").alias("distributor"))
+
+
+def _grid_extras(data: DataFrame) -> DataFrame:
+    """Header, metadata, empty and summary rows, from the (file, sheet) pairs of the data rows."""
+    sheets = data.select(F.col("distributor").alias("code"), "file", "sheet").distinct()
+    header_row = _by_code({c: F.lit(PROFILES[c].header_row) for c in CODES})
     header = sheets.select("file", "sheet", header_row.cast("bigint").alias("row_num"),
                            _by_code({c: F.array(*[F.lit(h) for h in PROFILES[c].headers]) for c in CODES})
-                           .alias("cells"))
+                           .alias("cells"), F.col("code").alias("distributor"))
     empty = sheets.select("file", "sheet", F.lit(EMPTY_ROW).alias("row_num"),
                           _by_code({c: F.array_repeat(F.lit(None).cast("string"), len(PROFILES[c].headers))
-                                    for c in CODES}).alias("cells"))
+                                    for c in CODES}).alias("cells"), F.col("code").alias("distributor"))
     meta = (sheets.filter(header_row > 0)
-            .select("file", "sheet", F.explode(F.sequence(F.lit(0), header_row - 1)).alias("row_num"))
+            .select("code", "file", "sheet", F.explode(F.sequence(F.lit(0), header_row - 1)).alias("row_num"))
             .select("file", "sheet", F.col("row_num").cast("bigint").alias("row_num"),
-                    F.array(F.lit("Reporte de ventas"), F.col("file")).alias("cells")))
-    summary = (data.filter(F.col("code") == "DIST_B").groupBy("file").agg(F.count(F.lit(1)).alias("t"))
+                    F.array(F.lit("Reporte de ventas"), F.col("file")).alias("cells"),
+                    F.col("code").alias("distributor")))
+    summary = (data.filter(F.col("distributor") == "DIST_B").groupBy("file").agg(F.count(F.lit(1)).alias("t"))
                .select("file", F.lit("Resumen").alias("sheet"), F.lit(0).cast("bigint").alias("row_num"),
-                       F.array(F.lit("Lineas"), F.col("t").cast("string")).alias("cells")))
-    grid = data.drop("code").unionByName(header).unionByName(empty).unionByName(meta).unionByName(summary)
-    return grid.withColumn("distributor", F.regexp_extract("file", r"^(DIST_[A-Z])_", 1))
+                       F.array(F.lit("Lineas"), F.col("t").cast("string")).alias("cells"),
+                       F.lit("DIST_B").alias("distributor")))
+    return header.unionByName(empty).unionByName(meta).unionByName(summary)
+
+
+def derive_grids(src: Source) -> DataFrame:
+    """Raw grid of every distributor workbook (one per distributor and day).
+
+    One pass over the order lines produces all data rows (the layout is a
+    CASE on the distributor); header, metadata and empty rows come from the
+    distinct (file, sheet) pairs.
+    """
+    data = materialize(_grid_data(src), "grid-data", ["distributor"])
+    return data.unionByName(_grid_extras(data))
+
+
+_LANDED: dict[tuple[str, str], DataFrame] = {}
 
 
 def land_grid(src: Source) -> DataFrame:
-    """The landed raw-grid table, partitioned by distributor (one scan per layout prunes to its folder)."""
-    return materialize(derive_grids(src), "grid", ["distributor"])
+    """The landed raw-grid table, partitioned by distributor (one scan per layout prunes to its folder).
+
+    Landing happens once per source folder and application: later readers
+    scan the landed files, as they would the landing-zone table.
+    """
+    key = (src.spark.sparkContext.applicationId, src.root)
+    if key not in _LANDED:
+        import uuid
+        path = f"{checkpoint_dir(src.spark).rstrip('/')}/tables/grid-{uuid.uuid4().hex[:12]}"
+        data = _grid_data(src)
+        data.write.partitionBy("distributor").parquet(path)
+        written = src.spark.read.schema(data.schema).parquet(path)
+        _grid_extras(written).write.mode("append").partitionBy("distributor").parquet(path)
+        _LANDED[key] = src.spark.read.schema(data.schema).parquet(path).select(*GRID_COLUMNS)
+    return _LANDED[key]
