@@ -38,17 +38,23 @@ def _accent_table() -> tuple[str, str]:
         if len(d) > 1 and d[0].isascii() and d[0].isalpha() and all(unicodedata.combining(x) for x in d[1:]):
             src.append(ch)
             dst.append(d[0])
+    # one-letter transliterations join the translate table; longer ones stay replacements
+    for a, b in SPECIAL_TRANSLIT:
+        if len(b) == 1:
+            src.append(a)
+            dst.append(b)
     return "".join(src), "".join(dst)
 
 
 ACCENTED, UNACCENTED = _accent_table()
+MULTI_TRANSLIT = [(a, b) for a, b in SPECIAL_TRANSLIT if len(b) > 1]
 WS = r"[ \t\n\x0B\f\r]"
 NON_WORD = r"[^A-Za-z0-9_ \t\n\x0B\f\r]"
 
 
 def unaccent(c: Column) -> Column:
     out = F.translate(c, ACCENTED, UNACCENTED)
-    for a, b in SPECIAL_TRANSLIT:
+    for a, b in MULTI_TRANSLIT:
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
 

@@ -19,6 +19,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions import text as tx
 from salesmart.functions.similarity import best_match_udf
@@ -174,7 +175,9 @@ def validate_dates(df: DataFrame, date_col: str = "sale_date", min_date: str = r
     """Split on a valid date within [min_date, as_of] (C-11); NULL/unparseable/out of range rejected."""
     if date_col not in df.columns:
         return df, df.limit(0).withColumn("rejection_reason", F.lit(None).cast("string"))
-    d = df.withColumn(date_col, parse_date(F.col(date_col)))
+    if not isinstance(df.schema[date_col].dataType, T.DateType):   # parse only text
+        df = df.withColumn(date_col, parse_date(F.col(date_col)))
+    d = df
     hi = F.lit(as_of) if as_of is not None else F.current_date()
     ok = F.col(date_col).isNotNull() & (F.col(date_col) >= F.lit(min_date).cast("date")) & (F.col(date_col) <= hi)
     d = d.withColumn("_ok", F.coalesce(ok, F.lit(False)))
@@ -232,7 +235,10 @@ def cleanse(df: DataFrame, *, seq_col: str, as_of: date | None = None, min_date:
         df = df.withColumn("client_name_clean", tx.clean_client_name(F.col(client_col)))
     zone_col = tx.first_existing(df.columns, "zone_code_raw", "zone_code")
     if zone_col:
-        df = df.withColumn("zone_code_clean", tx.zone_code(F.col(zone_col)))
+        # zone spellings are a handful of distinct values: code them once, join back (broadcast)
+        spell = df.select(F.col(zone_col).alias("_zraw")).distinct()
+        codes = spell.select("_zraw", tx.zone_code(F.col("_zraw")).alias("zone_code_clean"))
+        df = df.join(F.broadcast(codes), df[zone_col].eqNullSafe(codes["_zraw"]), "left").drop("_zraw")
     else:
         df = df.withColumn("zone_code_clean", zone_from_city(F.col("city_name_clean")))
     df = deduplicate(df, [seq_col])

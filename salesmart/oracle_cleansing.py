@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.functions.text import ACCENTED, NON_WORD, SPECIAL_TRANSLIT, UNACCENTED, WS
+from salesmart.functions.text import ACCENTED, MULTI_TRANSLIT, NON_WORD, UNACCENTED, WS
 from salesmart.oracle_sql import ORACLE
 from salesmart.plans.cleansing_queries import DATA_AS_OF, DATA_MIN_DATE, NAME_PREFIXES, NAME_SUFFIXES
 from salesmart.sources.grid import DR_ZONES
@@ -15,7 +15,7 @@ def q(s: str) -> str:
 
 def unaccent(x: str) -> str:
     out = f"translate({x}, {q(ACCENTED)}, {q(UNACCENTED)})"
-    for a, b in SPECIAL_TRANSLIT:
+    for a, b in MULTI_TRANSLIT:
         out = f"replace({out}, {q(a)}, {q(b)})"
     return out
 

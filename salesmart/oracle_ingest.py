@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from salesmart.operators.cleanse import CANONICAL_CITIES
 from salesmart.oracle_sql import ORACLE, with_sales
-from salesmart.sources.grid import BLANK_INVOICE_LINE, BLANK_NET_LINE, CODES, DR_ZONES, GENERIC_DESC_LINE
+from salesmart.sources.grid import BLANK_INVOICE_LINE, BLANK_NET_LINE, CODES, DR_ZONES, GENERIC_DESC_LINE, LINE_ORDER
 from salesmart.sources.profiles import PROFILES
 
 
@@ -23,7 +23,8 @@ fl AS (
          distributor_code || '_' || strftime(sale_date, '%Y%m%d') || '.xlsx' AS file,
          {_lit_list(CANONICAL_CITIES)}[CAST((client_key % {len(CANONICAL_CITIES)}) + 1 AS INTEGER)] AS city0,
          {_lit_list(DR_ZONES)}[zone_key] AS zone_raw,
-         CAST(client_key % 5 AS INTEGER) AS variant
+         CAST(client_key % 5 AS INTEGER) AS variant,
+         ROW_NUMBER() OVER (ORDER BY {", ".join(LINE_ORDER)}) AS line_seq
   FROM sales s WHERE distributor_key > 1),
 fl2 AS (
   SELECT *, CASE variant WHEN 0 THEN city0 WHEN 1 THEN upper(city0) WHEN 2 THEN lower(city0)
@@ -39,7 +40,7 @@ SELECT = {
     "source_file": "file",
     "sheet": _case({c: (f"'{PROFILES[c].zone_prefix}' || zone_raw" if PROFILES[c].multi_sheet
                         else f"'{PROFILES[c].sheet}'") for c in CODES}),
-    "row_num": "CAST(" + _case({c: str(PROFILES[c].header_row) for c in CODES}) + " + 1 + invoice_number * 8 + invoice_line AS BIGINT)",
+    "row_num": "CAST(" + _case({c: str(PROFILES[c].header_row) for c in CODES}) + " + 1 + line_seq AS BIGINT)",
     "sale_date": "sale_date",
     "invoice_number": "'F' || CAST(invoice_number AS VARCHAR)",
     "dist_product_code": _case({"DIST_A": f"'RA-' || {PK}", "DIST_B": f"'MF' || lpad({PK}, 6, '0')",

@@ -53,7 +53,7 @@ def sales_cte(include_deleted: bool = False) -> str:
     return f"""
 li AS (
   SELECT l_orderkey AS invoice_number, l_linenumber AS invoice_line, l_partkey AS product_key,
-         CAST((l_suppkey % 7) + 1 AS INTEGER) AS distributor_key,
+         l_suppkey AS supplier_key, CAST((l_suppkey % 7) + 1 AS INTEGER) AS distributor_key,
          CAST(l_quantity AS DECIMAL(12,3)) AS quantity,
          CAST(l_extendedprice AS DECIMAL(15,2)) AS gross_amount,
          CAST(l_discount AS DECIMAL(5,2)) AS disc,

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators.cleanse import CANONICAL_CITIES, parse_date
+from salesmart.operators.ranking import rank_over
 from salesmart.session import checkpoint_dir, materialize
 from salesmart.sources import star
 from salesmart.sources.profiles import NUMERIC_COLUMNS, PERCENT_COLUMNS, PROFILES, Profile
@@ -41,6 +42,8 @@ BLANK_INVOICE_LINE = 7      # lines with this number arrive with an empty invoic
 BLANK_NET_LINE = 6          # DIST_B leaves the amount empty on these lines
 GENERIC_DESC_LINE = 5       # DIST_C sends a generic description on these lines
 EMPTY_ROW = 1 << 40         # row index of the trailing empty row of each sheet
+LINE_ORDER = ["invoice_number", "invoice_line", "product_key", "supplier_key", "quantity", "gross_amount",
+              "discount_pct"]
 
 
 # --------------------------------------------------------------------------- parsing
@@ -164,12 +167,14 @@ def feed_lines(src: Source) -> DataFrame:
     """External-distributor order lines with everything a workbook row shows."""
     f = star.sales(src, include_deleted=True).filter(F.col("distributor_key") > 1)
     zone = F.element_at(F.array(*[F.lit(z) for z in DR_ZONES]), F.col("zone_key"))
-    return f.select(
+    f = f.select(
         "*", F.col("distributor_code").alias("code"),
         F.concat(F.col("distributor_code"), F.lit("_"), F.date_format("sale_date", "yyyyMMdd"), F.lit(".xlsx"))
         .alias("file"),
-        dirty_city(F.col("client_key")).alias("city_raw"), zone.alias("zone_raw"),
-        (F.col("invoice_number") * 8 + F.col("invoice_line")).alias("line_seq"))
+        dirty_city(F.col("client_key")).alias("city_raw"), zone.alias("zone_raw"))
+    # row position: global row number over a total order of the lines (invoice, line first), so
+    # rows of an invoice are in line order and no two rows share a position
+    return rank_over(f, [], [(c, False) for c in LINE_ORDER], out="line_seq", method="row_number")
 
 
 def _cells(code: str) -> list[Column]:

@@ -99,7 +99,7 @@ def salesperson_key(custkey: Column) -> Column:
     return F.pmod(custkey, F.lit(N_SALESPEOPLE)).cast("int") + 1
 
 
-def _headers(src: Source, with_client: bool) -> DataFrame:
+def _headers(src: Source, with_client: bool, how: str = "inner") -> DataFrame:
     """Orders with date columns and (optionally) client/city/zone attributes."""
     o = src.orders
     d = F.to_date(o.o_orderdate)
@@ -121,18 +121,16 @@ def _headers(src: Source, with_client: bool) -> DataFrame:
         geo = (clients(src)
                .join(cities(src).select("city_key", "city_name", "zone_key"), "city_key")
                .join(zones(src), "zone_key"))
-        hdr = hdr.join(geo, "client_key")
+        if how == "left":
+            geo = geo.withColumn("_has_client", F.lit(True))
+        hdr = hdr.join(geo, "client_key", how)
     return hdr
 
 
-def sales(src: Source, *, client: bool = True, product: bool = True,
-          include_deleted: bool = False) -> DataFrame:
-    """The sales fact at line grain, with the requested dimensions joined.
-
-    ``client`` adds client/city/zone columns, ``product`` adds product/lab
-    columns and the cost/margin measures (cost needs the list price).
-    """
+def _build(src: Source, client: bool, product: bool, include_deleted: bool, outer: bool = False) -> DataFrame:
+    """The star joins themselves. ``outer`` keeps lines whose dimension row is missing (flags say so)."""
     spark = src.spark
+    how = "left" if outer else "inner"
     li = src.lineitem
     if not include_deleted:
         li = li.filter(F.coalesce(li.l_returnflag != F.lit("R"), F.lit(True)))
@@ -144,6 +142,7 @@ def sales(src: Source, *, client: bool = True, product: bool = True,
         li.l_orderkey.alias("invoice_number"),
         li.l_linenumber.alias("invoice_line"),
         li.l_partkey.alias("product_key"),
+        li.l_suppkey.alias("supplier_key"),
         distributor_key(li.l_suppkey).alias("distributor_key"),
         qty.alias("quantity"),
         F.round(F.try_divide(gross, F.nullif(qty, F.lit(0))), 4).cast("decimal(16,4)").alias("unit_price"),
@@ -153,11 +152,13 @@ def sales(src: Source, *, client: bool = True, product: bool = True,
         (gross - disc_amt).alias("net_amount"),
         F.coalesce(li.l_returnflag == F.lit("R"), F.lit(False)).alias("is_deleted"),
     )
-    fact = lines.join(_headers(src, client), "invoice_number")
+    hdr = _headers(src, client, how)
+    fact = lines.join(hdr, "invoice_number")
     dist = F.broadcast(distributors_df(spark))
     fact = fact.join(dist, "distributor_key")
     if product:
-        fact = fact.join(products(src), "product_key")
+        prods = products(src).withColumn("_has_product", F.lit(True))
+        fact = fact.join(prods, "product_key", how)
         cost = F.round(fact.quantity * fact.list_price * F.lit(0.60).cast("decimal(2,2)"), 2)
         fact = fact.withColumn("cost_amount", cost).drop("list_price")
         fact = fact.withColumn("margin_amount", fact.net_amount - fact.cost_amount)
@@ -165,6 +166,8 @@ def sales(src: Source, *, client: bool = True, product: bool = True,
             "margin_pct",
             F.round(F.try_divide(fact.margin_amount * 100, F.nullif(fact.net_amount, F.lit(0))), 3)
             .cast("decimal(12,3)"))
+        if not outer:
+            fact = fact.drop("_has_product")
     fact = fact.withColumn(
         "source_system",
         F.when(fact.distributor_code == F.lit("INT"), F.lit("SAP_HANA")).otherwise(fact.distributor_code))
@@ -173,5 +176,59 @@ def sales(src: Source, *, client: bool = True, product: bool = True,
     return fact
 
 
+_LOADED: dict[tuple[str, str], DataFrame] = {}
+BASE_COLUMNS = ["invoice_number", "invoice_line", "product_key", "supplier_key", "distributor_key", "quantity", "unit_price",
+                "gross_amount", "discount_pct", "discount_amount", "net_amount", "is_deleted", "client_key",
+                "sale_date", "date_key", "year", "month_num", "month_name", "year_month", "salesperson_key",
+                "distributor_code", "distributor_name", "distributor_type", "source_system", "source_record_id"]
+CLIENT_COLUMNS = ["city_key", "zone_key", "client_name", "client_type", "city_name", "zone_code", "zone_name"]
+PRODUCT_COLUMNS = ["product_name", "category", "subcategory", "rx_otc_flag", "laboratory_key", "lab_name",
+                   "cost_amount", "margin_amount", "margin_pct"]
+
+
+def loaded_fact(src: Source) -> DataFrame:
+    """The denormalised sales fact, written once per source folder and application.
+
+    This is the warehouse's load step: every line with all dimension
+    attributes (left-joined, with found-flags), soft-deleted lines included,
+    written partitioned by year and sorted by (zone, date) inside files.
+    Reports then scan only the columns they use instead of re-joining the
+    sources; the found-flags give them exactly the rows an inner join would.
+    """
+    key = (src.spark.sparkContext.applicationId, src.root)
+    if key not in _LOADED:
+        from salesmart.session import materialize
+        wide = _build(src, client=True, product=True, include_deleted=True, outer=True)
+        wide = (wide.withColumn("_has_client", F.col("_has_client").isNotNull())
+                    .withColumn("_has_product", F.col("_has_product").isNotNull())
+                    .repartitionByRange("date_key", "invoice_number", "invoice_line")
+                    .sortWithinPartitions("zone_key", "date_key"))
+        _LOADED[key] = materialize(wide, "fact-sales", ["year"])
+    return _LOADED[key]
+
+
+def sales(src: Source, *, client: bool = True, product: bool = True,
+          include_deleted: bool = False) -> DataFrame:
+    """The sales fact at line grain, with the requested dimensions.
+
+    ``client`` adds client/city/zone columns, ``product`` adds product/lab
+    columns and the cost/margin measures. Rows are those of inner joins with
+    the requested dimensions.
+    """
+    if not src.use_loaded_fact:
+        return _build(src, client, product, include_deleted)
+    f = loaded_fact(src)
+    if not include_deleted:
+        f = f.filter(~F.col("is_deleted"))
+    cols = list(BASE_COLUMNS)
+    if client:
+        f = f.filter(F.col("_has_client"))
+        cols += CLIENT_COLUMNS
+    if product:
+        f = f.filter(F.col("_has_product"))
+        cols += PRODUCT_COLUMNS
+    return f.select(*cols)
+
+
 def salespeople(src: Source) -> DataFrame:
     return F.broadcast(salespeople_df(src.spark))

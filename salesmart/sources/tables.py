@@ -21,6 +21,8 @@ class Source:
 
     spark: SparkSession
     root: str
+    # read the star from the loaded (denormalised, year-partitioned) fact table
+    use_loaded_fact: bool = True
     _cache: dict = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
