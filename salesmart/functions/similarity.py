@@ -104,7 +104,10 @@ def best_match_udf(scorer: str, cutoff: float):
             scores.append(best_s)
         return pd.DataFrame({"idx": pd.array(idxs, dtype="Int32"), "score": pd.array(scores, dtype="Float64")})
 
-    return _best
+    # Declared non-deterministic only so that the optimizer never pushes a
+    # predicate over its result below the distinct-values step: scoring must
+    # run once per distinct value, not once per row.
+    return _best.asNondeterministic()
 
 
 def similarity_udf(scorer: str):

@@ -143,8 +143,7 @@ def city_cleansing(src: Source) -> DataFrame:
 
 
 def _mapped(src: Source) -> DataFrame:
-    feed = grid.read_all_profiles(grid.land_grid(src), AS_OF)
-    return map_product_codes(feed, derive_mapping(src))
+    return map_product_codes(grid.parsed_feed(src, AS_OF), derive_mapping(src))
 
 
 def product_code_mapping(src: Source) -> DataFrame:
@@ -161,6 +160,6 @@ def unmapped_products(src: Source) -> DataFrame:
 
 def product_name_cleansing(src: Source) -> DataFrame:
     """Workbook product descriptions -> catalogue names (L-7)."""
-    feed = grid.read_all_profiles(grid.land_grid(src), AS_OF).select("product_name_raw").distinct()
+    feed = grid.parsed_feed(src, AS_OF).select("product_name_raw").distinct()
     prods = src.part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"))
     return cl.clean_product_name(feed, "product_name_raw", prods)

@@ -137,7 +137,7 @@ def fact_upsert_merge(src: Source) -> DataFrame:
 def resolved_feed_facts(src: Source) -> DataFrame:
     """Workbook lines mapped, cleansed and resolved to star-schema keys (D-1 ... D-7, C-17 ... C-19)."""
     from salesmart.plans.load_jobs import default_dimensions, with_line_numbers
-    parsed = with_line_numbers(grid.read_all_profiles(grid.land_grid(src), AS_OF))
+    parsed = with_line_numbers(grid.parsed_feed(src, AS_OF))
     mapped = map_product_codes(parsed, derive_mapping(src)).withColumn("_seq", F.struct("source_file", "row_num"))
     clean, _ = cl.cleanse(mapped, seq_col="_seq", as_of=DATA_AS_OF, min_date=DATA_MIN_DATE)
     facts, _ = resolve_keys(clean.drop("_seq"), default_dimensions(src), as_of=datetime(2024, 1, 1))

@@ -18,6 +18,7 @@ from salesmart.operators import cleanse as cl
 from salesmart.operators.matching import derive_mapping, map_product_codes
 from salesmart.plans.ingest import AS_OF
 from salesmart.sources import grid
+from salesmart.session import materialize
 from salesmart.sources.tables import Source
 
 # FIXED VALUES: entry types and statuses.
@@ -28,8 +29,7 @@ DECISION_SCHEMA = "queue_id bigint, decision string, decided_at timestamp, decid
 
 
 def build_queue(src: Source) -> DataFrame:
-    g = grid.land_grid(src)
-    feed = grid.read_all_profiles(g, AS_OF)
+    feed = grid.parsed_feed(src, AS_OF)
     cities = cl.clean_city(feed.select("distributor_code", "source_file", "extracted_at", "city_name_raw"),
                            "city_name_raw")
     c = (cities.filter(F.col("city_match_confidence") < 1.0)
@@ -76,9 +76,16 @@ def with_status(queue: DataFrame, decisions: DataFrame) -> DataFrame:
                     F.col("_d.decided_at").alias("resolved_at"), F.col("_d.decided_by").alias("resolved_by"))
 
 
+_QUEUES: dict[tuple[str, str], DataFrame] = {}
+
+
 def _queue_state(src: Source) -> DataFrame:
-    q = build_queue(src)
-    return with_status(q, auto_decisions(q, AS_OF))
+    """The validation-queue table with current statuses (built once per source and application)."""
+    key = (src.spark.sparkContext.applicationId, src.root)
+    if key not in _QUEUES:
+        q = materialize(build_queue(src), "validation-queue")
+        _QUEUES[key] = with_status(q, auto_decisions(q, AS_OF))
+    return _QUEUES[key]
 
 
 def validation_status_counts(src: Source) -> DataFrame:

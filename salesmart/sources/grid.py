@@ -174,7 +174,8 @@ def feed_lines(src: Source) -> DataFrame:
         dirty_city(F.col("client_key")).alias("city_raw"), zone.alias("zone_raw"))
     # row position: global row number over a total order of the lines (invoice, line first), so
     # rows of an invoice are in line order and no two rows share a position
-    return rank_over(f, [], [(c, False) for c in LINE_ORDER], out="line_seq", method="row_number")
+    return rank_over(f, [], [(c, False) for c in LINE_ORDER], out="line_seq", method="row_number",
+                     row_key=LINE_ORDER)
 
 
 def _cells(code: str) -> list[Column]:
@@ -284,3 +285,18 @@ def land_grid(src: Source) -> DataFrame:
         _grid_extras(written).write.mode("append").partitionBy("distributor").parquet(path)
         _LANDED[key] = src.spark.read.schema(data.schema).parquet(path).select(*GRID_COLUMNS)
     return _LANDED[key]
+
+
+_PARSED: dict[tuple[str, str], DataFrame] = {}
+
+
+def parsed_feed(src: Source, as_of: datetime | None = None) -> DataFrame:
+    """The parsed workbook rows as a staging table (written once per source folder and application).
+
+    Consumers of parsed rows (mapping results, the validation queue, key
+    resolution) read this table instead of re-parsing every workbook.
+    """
+    key = (src.spark.sparkContext.applicationId, src.root)
+    if key not in _PARSED:
+        _PARSED[key] = materialize(read_all_profiles(land_grid(src), as_of), "parsed-feed", ["distributor_code"])
+    return _PARSED[key]
