@@ -186,7 +186,7 @@ PRODUCT_COLUMNS = ["product_name", "category", "subcategory", "rx_otc_flag", "la
                    "cost_amount", "margin_amount", "margin_pct"]
 
 
-def loaded_fact(src: Source) -> DataFrame:
+def loaded_fact(src: Source, path: str | None = None) -> DataFrame:
     """The denormalised sales fact, written once per source folder and application.
 
     This is the warehouse's load step: every line with all dimension
@@ -196,14 +196,18 @@ def loaded_fact(src: Source) -> DataFrame:
     sources; the found-flags give them exactly the rows an inner join would.
     """
     key = (src.spark.sparkContext.applicationId, src.root)
-    if key not in _LOADED:
+    if key not in _LOADED or path is not None:
         from salesmart.session import materialize
         wide = _build(src, client=True, product=True, include_deleted=True, outer=True)
         wide = (wide.withColumn("_has_client", F.col("_has_client").isNotNull())
                     .withColumn("_has_product", F.col("_has_product").isNotNull())
                     .repartitionByRange("date_key", "invoice_number", "invoice_line")
                     .sortWithinPartitions("zone_key", "date_key"))
-        _LOADED[key] = materialize(wide, "fact-sales", ["year"])
+        if path is None:
+            _LOADED[key] = materialize(wide, "fact-sales", ["year"])
+        else:
+            wide.write.mode("overwrite").partitionBy("year").parquet(path)
+            _LOADED[key] = src.spark.read.schema(wide.schema).parquet(path).select(*wide.columns)
     return _LOADED[key]
 
 

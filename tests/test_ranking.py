@@ -40,3 +40,20 @@ def test_small_path_equals_distributed(spark):
     a = rank_over(df, ["g"], [("v", True)], out="r", small=True)
     b = rank_over(df, ["g"], [("v", True)], out="r")
     assert sorted(a.select("k", "r").collect()) == sorted(b.select("k", "r").collect())
+
+
+def test_dimension_cache(spark):
+    from salesmart.operators.resolve import DimensionCache
+    calls = []
+
+    def load():
+        calls.append(1)
+        return spark.range(5)
+
+    c = DimensionCache({"d": load})
+    assert c.get("d").count() == 5 and c.get("d").count() == 5
+    assert len(calls) == 1
+    c.invalidate("d")
+    c.get("d")
+    assert len(calls) == 2
+    c.invalidate()
