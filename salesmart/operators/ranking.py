@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.session import checkpoint_dir
+
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
 
@@ -57,6 +59,7 @@ def rank_over(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[tup
         return df.withColumn(out, fn.over(w))
 
     sort_cols = [F.col(c).asc_nulls_first() for c in partition_by] + _ordered(full_order)
+    checkpoint_dir(df.sparkSession)
     sorted_df = df.orderBy(*sort_cols).checkpoint(eager=True)
 
     mid = F.monotonically_increasing_id()
@@ -109,6 +112,7 @@ def running_total(df: DataFrame, value: str, order_by: Sequence[tuple[str, bool]
     physical partition (a task-sized window) plus its offset.
     """
     full_order = list(order_by) + [(c, False) for c in tie_breakers]
+    checkpoint_dir(df.sparkSession)
     sorted_df = df.orderBy(*_ordered(full_order)).checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
     with_pos = sorted_df.select("*", F.shiftright(mid, _POS_BITS).alias("_pid"),
