@@ -212,9 +212,9 @@ def lab_top_product(src: Source, flt: Filters = ALL) -> DataFrame:
 def distributor_contribution(src: Source, flt: Filters = ALL) -> DataFrame:
     """Share of each distributor in total net sales (E-24)."""
     g = facts(src, flt).groupBy("distributor_name").agg(F.sum("net_amount").alias("_n"))
+    total = g.select(F.sum("_n")).scalar()
     return g.select("distributor_name", F.col("_n").cast("double").alias("net"),
-                    F.round(F.try_divide(F.col("_n") * 100, F.sum("_n").over(Window.partitionBy())), 2)
-                    .cast("double").alias("share_pct"))
+                    F.round(F.try_divide(F.col("_n") * 100, total), 2).cast("double").alias("share_pct"))
 
 
 def category_waterfall(src: Source, flt: Filters = ALL) -> DataFrame:

@@ -14,14 +14,14 @@ Scale notes:
   top-N, then a merge of n x tasks rows); always with a full tie-break;
 * "restrict to the top-N members" (D-15) is a left-semi join against the
   top-N frame - nothing is collected;
-* shares use a window over the already-aggregated rows of a bounded
-  dimension (zones, labs, types, distributors);
+* shares divide by the total as a scalar subquery (a distributed
+  aggregate broadcast as one value), never a window over one partition;
 * sequential ranking over all rows uses ``rank_over`` (distributed).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.measures import mean, money, ratio
@@ -62,9 +62,11 @@ def sum_rounded(c: str) -> Column:
     return F.sum(dec(c)).cast("double")
 
 
-def share_pct(c: str, scale: int = 2) -> Column:
-    """Percentage of the column's total over a bounded, already aggregated frame."""
-    return F.round(F.try_divide(dec(c) * 100, F.sum(dec(c)).over(Window.partitionBy())), scale).cast("double")
+def with_share(df: DataFrame, c: str, out: str = "share_pct", scale: int = 2) -> DataFrame:
+    """Add the percentage of the column's total; the total is a scalar subquery (a distributed
+    aggregate), not a window over one partition."""
+    total = df.select(F.sum(dec(c))).scalar()
+    return df.withColumn(out, F.round(F.try_divide(dec(c) * 100, total), scale).cast("double"))
 
 
 def mean_of(c: str, scale: int = 4) -> Column:
@@ -95,9 +97,9 @@ def home_zone_trend(src: Source, flt: Filters = ALL) -> DataFrame:
 
 def home_zone_share(src: Source, flt: Filters = ALL) -> DataFrame:
     g = facts(src, flt).groupBy("zone_name").agg(F.sum("net_amount").alias("_net"))
+    total = g.select(F.sum("_net")).scalar()
     return g.select("zone_name", money(F.col("_net"), 0).alias("net"),
-                    F.round(F.try_divide(F.col("_net") * 100, F.sum("_net").over(Window.partitionBy())), 2)
-                    .cast("double").alias("share_pct"))
+                    F.round(F.try_divide(F.col("_net") * 100, total), 2).cast("double").alias("share_pct"))
 
 
 def home_top_products(src: Source, flt: Filters = ALL, n: int = 10) -> DataFrame:
@@ -285,7 +287,7 @@ def lab_monthly(src: Source, flt: Filters = ALL) -> DataFrame:
 def lab_totals(src: Source, flt: Filters = ALL) -> DataFrame:
     g = lab_monthly(src, flt).groupBy("lab_name").agg(
         sum_rounded("net").alias("net"), mean_of("margin_pct", 4).alias("margin_pct"))
-    return g.withColumn("share_pct", share_pct("net"))
+    return with_share(g, "net")
 
 
 def _top_members_trend(monthly: DataFrame, member: str, n: int) -> DataFrame:
@@ -316,7 +318,7 @@ def dist_kpis(src: Source, flt: Filters = ALL) -> DataFrame:
     g = dist_monthly(src, flt).groupBy("distributor_name", "distributor_type").agg(
         sum_rounded("net").alias("net"), F.sum("invoices").alias("invoices"),
         F.sum("clients").alias("clients"), mean_of("margin_pct", 4).alias("margin_pct"))
-    return g.withColumn("share_pct", share_pct("net"))
+    return with_share(g, "net")
 
 
 # --------------------------------------------------------------------------- K-11 margins
