@@ -98,3 +98,33 @@ def test_unmapped_report_counts(spark):
     rows = out.collect()
     assert rows and all(r.occurrence_count >= 1 for r in rows)
     assert {r.distributor_code for r in rows} == {"DIST_C"}
+
+
+def test_product_name_cleansing_matches_brute_force(spark):
+    src = Source(spark, SF_SMALL)
+    got = {r.product_name_raw: r for r in cq.product_name_cleansing(src).collect()}
+    parts = sorted(src.part.select("p_partkey", "p_name").collect())
+    # catalogue: normalised name -> (first position, id/name of the last entry)
+    cat = {}
+    for pos, p in enumerate(parts):
+        n = py_norm(p.p_name)
+        first = cat[n][0] if n in cat else pos
+        cat[n] = (first, p.p_partkey, p.p_name)
+    ordered = sorted(cat.items(), key=lambda kv: kv[1][0])
+    for raw, r in got.items():
+        q = py_norm(raw)
+        if not isinstance(raw, str) or not raw.strip():
+            continue
+        if q in cat:
+            assert (r.product_name_clean, r.product_match_confidence) == (cat[q][2], 1.0)
+            continue
+        best = None
+        for n, (_, pid, name) in ordered:
+            sc = token_set_ratio(q, n)
+            if sc >= 70 and (best is None or sc > best[1]):
+                best = ((pid, name), sc)
+        if best is None:
+            assert r.product_name_clean == raw and r.product_match_confidence == 0.0
+        else:
+            assert r.matched_product_id == best[0][0] and r.product_name_clean == best[0][1]
+            assert r.product_match_confidence == pytest.approx(best[1] / 100)
