@@ -9,7 +9,8 @@ below the limit go), then confirmed on the full shingle sets of both texts.
 
 No group is expanded into all its pairs. Documents of equal sets form a class with one
 representative. In each bucket every member is first compared with the bucket's smallest member;
-what that links becomes components. A second round compares, in each bucket, only members of
+what that links becomes components. Members of buckets that still hold several components go
+through an exact prefix filter on their shingles (rare ones first), which pairs only members of
 different components, so that no link between different texts inside a bucket is lost.
 
 Null or empty texts, and texts without words, have an empty set and link with nothing. Rows with
@@ -130,6 +131,42 @@ def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, name: str) ->
     return save(full.mapInArrow(_confirm, "a long, b long").distinct(), f"{name}-links")
 
 
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, c, text) -> one row for each shingle of the set."""
+    for batch in batches:
+        for rep, c, data in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+            items = shingle_set(data)
+            for i in range(0, items.size, _STEP):
+                h = items[i: i + _STEP].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(h.size, x)) for x in (rep, c, items.size)] + [pa.array(h)],
+                    names=["rep", "c", "n", "h"])
+
+
+def _prefix_pairs(involved: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different components that may reach the similarity, by an exact prefix filter.
+
+    Shingles are ordered from rare to frequent. Two sets that reach the similarity share one of their
+    first ``n - ceil(0.85 n) + 1`` shingles, at positions that leave room for enough common ones.
+    Members of a large bucket that are merely alike differ in their rare shingles and form no pair.
+    """
+    num, den = SIMILARITY
+    found = maybe_in(texts, "doc_id", bitmap_of(involved, "rep"))
+    items = save(found.join(involved, found["doc_id"] == involved["rep"]).select("rep", "c", "data")
+                 .mapInArrow(_items, "rep long, c long, n long, h long").distinct(), "near-items")
+    often = items.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = (items.join(often, "h")
+              .withColumn("r", F.expr("row_number() over (partition by rep order by df, h)"))
+              .withColumn("shared", F.expr("count(*) over (partition by rep)"))
+              .withColumn("r", F.expr("n - shared + r")))
+    prefix = save(ranked.where(f"r <= n - ceil({num} * n / {den}) + 1").select("h", "rep", "c", "n", "r"),
+                  "near-prefix")
+    other = prefix.select("h", *[F.col(x).alias(f"{x}_b") for x in ("rep", "c", "n", "r")])
+    room = f"{num + den} * (1 + least(n - r, n_b - r_b)) >= {num} * (n + n_b)"
+    return (prefix.join(other, "h").where(f"rep < rep_b and c <> c_b and {room}")
+            .select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct())
+
+
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row for each row of ``docs``."""
     spark = docs.sparkSession
@@ -147,11 +184,10 @@ def components(docs: DataFrame) -> DataFrame:
     label = connected_components(first, "near-1")
     named = (buckets.join(label.select(F.col("node").alias("rep"), F.col("comp").alias("c")), "rep", "left")
              .join(label.select(F.col("node").alias("p"), F.col("comp").alias("pc")), "p", "left")
-             .select("key", "rep", "p", F.coalesce("c", "rep").alias("c"), F.coalesce("pc", "p").alias("pc")))
-    open_ = named.where("c <> pc").select("key", F.col("rep").alias("a"), F.col("c").alias("ca"))
-    others = named.where("rep <> p").select("key", F.col("rep").alias("b"), F.col("c").alias("cb"), "pc")
-    rest = (open_.join(others, "key").where("ca <> cb and (cb = pc or a < b)")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+             .select("key", "rep", F.coalesce("c", "rep").alias("c"), F.coalesce("pc", "p").alias("pc")))
+    mixed = named.where("c <> pc").select("key").distinct()
+    involved = save(named.join(mixed, "key", "left_semi").select("rep", "c").distinct(), "near-open")
+    rest = _prefix_pairs(involved, texts)
     second = _verified(rest, reps, texts, "near-2")
     comps = connected_components(first.unionByName(second), "near-2")
     classes = (reps.join(comps, reps["rep"] == comps["node"], "left")
