@@ -6,10 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import ann, decontaminate, langid, near_dedup, toxicity
+import corpus_pipeline
+from salesmart.llm import ann, chat, decontaminate, langid, line_dedup, mixing, near_dedup, secrets, toxicity
 from salesmart.llm.common import table
 
 
+def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.calibrate(table(spark, sf_dir, "documents"))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeats(table(spark, sf_dir, "documents")).drop("h")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,9 +47,13 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_benchmark_leaks, op7_near_duplicates, op8_toxicity, op9_language,
-                            op10_nearest_vectors)}
+    f.__name__: f for f in (op1_mixture, op2_secrets, op3_line_repeats, op4_chat, op5_benchmark_leaks,
+                            op7_near_duplicates, op8_toxicity, op9_language, op10_nearest_vectors, pipeline)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_chat": chat.RENDER_SQL}
