@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from salesmart.llm import ann, chat, decontaminate, langid, line_dedup, mixing, near_dedup, secrets, toxicity
+from salesmart.llm import ann, chat, decontaminate, langid, line_dedup, mixing, near_dedup, secrets, suffix_dedup, toxicity
 from salesmart.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixture, op2_secrets, op3_line_repeats, op4_chat, op5_benchmark_leaks,
+    f.__name__: f for f in (op1_mixture, op2_secrets, op3_line_repeats, op4_chat, op5_benchmark_leaks, op6_repeated_strings,
                             op7_near_duplicates, op8_toxicity, op9_language, op10_nearest_vectors, pipeline)}
 
 #: DuckDB SQL of the queries that SQL can express.
