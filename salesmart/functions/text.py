@@ -89,7 +89,7 @@ def title_case_spanish(c: Column) -> Column:
     words = F.split(F.regexp_replace(F.lower(c), "^" + WS + "+|" + WS + "+$", ""), WS + "+")
     small = F.array(*[F.lit(w) for w in SPANISH_LOWER_WORDS])
     cap = F.transform(words, lambda w, i: F.when((i == 0) | ~F.array_contains(small, w),
-                                                 F.concat(_title_char(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20)))
+                                                 F.concat(_title_char(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
                       .otherwise(w))
     blank = F.regexp_replace(c, "^" + WS + "+|" + WS + "+$", "") == ""
     return F.when(c.isNull() | blank, c).otherwise(F.array_join(cap, " "))

@@ -133,7 +133,7 @@ def clip(c: Column, lo, hi) -> Column:
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
 
 
-def validate_numeric(df: DataFrame, route_rejects: bool = True) -> tuple[DataFrame, DataFrame]:
+def validate_numeric(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Numeric business rules (C-12).
 
     quantity <= 0 and unit_price <= 0 are invalid (NULLs pass); negative net
@@ -157,8 +157,6 @@ def validate_numeric(df: DataFrame, route_rejects: bool = True) -> tuple[DataFra
         d = d.withColumn("margin_pct", clip(F.col("margin_pct"), -100, 200))
     ok = d.filter(F.col("_bad").isNull()).drop("_bad")
     rej = d.filter(F.col("_bad").isNotNull()).withColumnRenamed("_bad", "rejection_reason")
-    if not route_rejects:
-        rej = rej.limit(0)
     return ok, rej
 
 

@@ -37,21 +37,15 @@ def _ordered(cols: Sequence[tuple[str, bool]]) -> list[Column]:
 
 def rank_over(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[tuple[str, bool]],
               out: str = "rank", method: str = "rank",
-              tie_breakers: Sequence[str] = (), small: bool = False,
-              row_key: Sequence[str] | None = None) -> DataFrame:
+              tie_breakers: Sequence[str] = (), small: bool = False) -> DataFrame:
     """Add ``out`` = RANK()/ROW_NUMBER() over (partition_by, order_by).
 
     ``order_by`` is a list of (column, descending). ``tie_breakers`` complete
-    the order into a total one (required for ``row_number``). With
-    ``row_key`` (columns unique per row), only the ranking columns go through
-    the sort and checkpoint; the ranks are joined back on the key.
+    the order into a total one (required for ``row_number``). Rows are carried
+    through the sort whole, so null keys and repeated rows keep their number.
     """
     if method not in ("rank", "row_number"):
         raise ValueError(method)
-    if row_key and not small:
-        need = list(dict.fromkeys([*partition_by, *[c for c, _ in order_by], *tie_breakers, *row_key]))
-        ranks = rank_over(df.select(*need), partition_by, order_by, out, method, tie_breakers)
-        return df.join(ranks.select(*row_key, out), list(row_key))
     full_order = list(order_by) + [(c, False) for c in tie_breakers]
     if small:
         w = Window.partitionBy(*partition_by).orderBy(*_ordered(full_order if method == "row_number" else order_by))

@@ -30,7 +30,7 @@ def secure_view(df: DataFrame, ents: DataFrame, principal: str, zone_col: str =
                 hidden: tuple[str, ...] = HIDDEN_FOR_NATIONAL) -> DataFrame:
     mine = ents.filter(F.col("principal") == principal)
     allowed = mine.select(F.col("zone_key").alias("_zk")).distinct()
-    out = df.join(F.broadcast(allowed), df[zone_col] == allowed["_zk"], "left_semi")
+    out = df.join(allowed, df[zone_col] == allowed["_zk"], "left_semi")
     hide = mine.select(F.max(F.col("hide_cost").cast("int"))).scalar()
     for c in hidden:
         if c in out.columns:

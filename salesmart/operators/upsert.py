@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from salesmart.operators.cleanse import deduplicate
-from salesmart.session import materialize
+from salesmart.session import materialize, read_existing
 
 FACT_KEY = ("source_system", "source_record_id", "invoice_line")
 # Only these change when a fact row is sent again (keys and invoice number stay).
@@ -86,11 +86,16 @@ def merge(current: DataFrame | None, incoming: DataFrame, key: Sequence[str], up
 def upsert_table(spark, path: str, incoming: DataFrame, key: Sequence[str], updatable: Sequence[str],
                  partition_col: str | None = None, order_col: str | None = None) -> dict:
     """Upsert ``incoming`` into the parquet table at ``path``; returns {inserted, updated}."""
-    current = _read_if_exists(spark, path)
+    current = read_existing(spark, path)
     if current is not None and partition_col:
-        # the touched partition values (a handful of years) become a literal
-        # IN-list, so the scan prunes every other partition folder
-        touched = [r[0] for r in incoming.select(partition_col).distinct().collect()]
+        # partitions of the incoming rows, and those that hold the same keys today
+        # (a row may have moved): a handful of years, a literal IN-list for the scan
+        same = incoming.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct()
+        cond = F.lit(True)
+        for k in key:
+            cond = cond & current[k].eqNullSafe(same[f"_k_{k}"])
+        holding = current.join(same, cond, "left_semi").select(partition_col)
+        touched = [r[0] for r in incoming.select(partition_col).unionByName(holding).distinct().collect()]
         current = current.filter(F.col(partition_col).isin(touched))
     merged, obs = merge(current, incoming, key, updatable, order_col)
     staged = materialize(merged, "upsert-stage", [partition_col] if partition_col else None)
@@ -101,6 +106,13 @@ def upsert_table(spark, path: str, incoming: DataFrame, key: Sequence[str], upda
     if partition_col:
         w = w.partitionBy(partition_col)
     w.parquet(path)
+    if partition_col and current is not None:
+        # a partition whose rows all moved away is not in the staged copy: its folder goes
+        left = {r[0] for r in staged.select(partition_col).distinct().collect()}
+        fs_path = spark._jvm.org.apache.hadoop.fs.Path
+        for value in set(touched) - left:
+            gone = fs_path(f"{path}/{partition_col}={value}")
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     return {"inserted": int(counts.get("inserted", 0)), "updated": int(counts.get("updated", 0))}
 
 
@@ -145,7 +157,7 @@ def upsert_watermark(spark, path: str, source_system: str, value, as_of) -> dict
     """Per-source high-water mark: keeps the greatest value seen (B-6)."""
     row = spark.createDataFrame([(source_system, value, as_of)],
                                 "source_system string, last_value timestamp, updated_at timestamp")
-    current = _read_if_exists(spark, path)
+    current = read_existing(spark, path)
     if current is not None:
         row = (current.unionByName(row).groupBy("source_system")
                .agg(F.max("last_value").alias("last_value"), F.max("updated_at").alias("updated_at")))
@@ -155,15 +167,8 @@ def upsert_watermark(spark, path: str, source_system: str, value, as_of) -> dict
 
 def read_watermark(spark, path: str, source_system: str, default="2018-01-01 00:00:00"):
     """Current watermark of a source as a scalar Column (default when none yet)."""
-    cur = _read_if_exists(spark, path)
+    cur = read_existing(spark, path)
     if cur is None:
         return F.lit(default).cast("timestamp")
     v = cur.filter(F.col("source_system") == source_system).select(F.max("last_value")).scalar()
     return F.coalesce(v, F.lit(default).cast("timestamp"))
-
-
-def _read_if_exists(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent table
-        return None

@@ -69,7 +69,7 @@ cities AS (
          17.5 + CAST(n_nationkey AS DOUBLE) / 10 AS latitude, -71.5 + CAST(n_regionkey AS DOUBLE) / 2 AS longitude
   FROM nation),
 dist AS (
-  SELECT * FROM (VALUES (1, 'INT', 'Ventas Internas Pharma DR', 'INTERNO'),
+  SELECT * FROM (VALUES (1, 'INT', 'Ventas Internas', 'INTERNO'),
     (2, 'DIST_A', 'Distribuidora Ramos S.R.L.', 'EXTERNO'), (3, 'DIST_B', 'MediFar Dominicana S.A.', 'EXTERNO'),
     (4, 'DIST_C', 'Farmacorp S.A.', 'EXTERNO'), (5, 'DIST_D', 'AlphaFarma Group S.R.L.', 'EXTERNO'),
     (6, 'DIST_E', 'BioPharma Distribution S.A.', 'EXTERNO'), (7, 'DIST_F', 'MedDist Nacional S.R.L.', 'EXTERNO'))

@@ -79,16 +79,23 @@ def open_issues(src: Source) -> DataFrame:
 SECURE_PRINCIPAL = "SP-005"
 
 
+def _secured(src: Source, principal: str) -> DataFrame:
+    """The monthly zone mart of the rows that a principal may see: zones are cut before the aggregate."""
+    ents = entitlements(src.spark)
+    own = ents.filter(F.col("principal") == principal).select(F.col("zone_key").alias("own_zone")).distinct()
+    f = star.sales(src)
+    m = marts.monthly_zone(src, f.join(own, f["zone_key"] == own["own_zone"], "left_semi"))
+    return secure_view(m.join(star.zones(src).select("zone_code", "zone_key"), "zone_code"), ents, principal).drop("zone_key")
+
+
 def secure_zone_sales(src: Source) -> DataFrame:
     """Monthly zone mart as a zone manager sees it (own zone only)."""
-    m = marts.monthly_zone(src).join(star.zones(src).select("zone_code", "zone_key"), "zone_code")
-    return secure_view(m, entitlements(src.spark), SECURE_PRINCIPAL).drop("zone_key")
+    return _secured(src, SECURE_PRINCIPAL)
 
 
 def national_zone_sales(src: Source) -> DataFrame:
     """Monthly zone mart as the national manager sees it (all zones, no cost or margin)."""
-    m = marts.monthly_zone(src).join(star.zones(src).select("zone_code", "zone_key"), "zone_code")
-    return secure_view(m, entitlements(src.spark), NATIONAL_MANAGER).drop("zone_key")
+    return _secured(src, NATIONAL_MANAGER)
 
 
 # --------------------------------------------------------------------------- B-1 / C-16 staging

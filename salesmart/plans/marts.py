@@ -24,9 +24,9 @@ from salesmart.sources import star
 from salesmart.sources.tables import Source
 
 
-def monthly_zone(src: Source) -> DataFrame:
-    """Monthly sales by zone and distributor (E-1)."""
-    f = star.sales(src)
+def monthly_zone(src: Source, f: DataFrame | None = None) -> DataFrame:
+    """Monthly sales by zone and distributor (E-1), of all sales or of the given rows."""
+    f = star.sales(src) if f is None else f
     keys = ["year_month", "year", "month_num", "month_name", "zone_code", "zone_name",
             "distributor_code", "distributor_name", "distributor_type"]
     return f.groupBy(*keys).agg(

@@ -21,7 +21,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.measures import mean, money, ratio
@@ -162,39 +162,56 @@ def zone_month_pivot(src: Source, flt: Filters = ALL) -> DataFrame:
 
 # --------------------------------------------------------------------------- K-4 clients
 
-def client_ranking(src: Source, flt: Filters = ALL) -> DataFrame:
-    f = facts(src, flt, product=True)
-    keys = ["client_name", "client_type", "zone_name", "city_name"]
-    g = f.groupBy(*keys).agg(
+CLIENT_KEYS = ["client_name", "client_type", "zone_name", "city_name"]
+
+
+def _client_totals(src: Source, flt: Filters) -> DataFrame:
+    return facts(src, flt, product=True).groupBy(*CLIENT_KEYS).agg(
         net0(), F.count_distinct("invoice_number").alias("invoices"),
         ratio(F.sum("net_amount"), F.count_distinct("invoice_number"), 0).alias("avg_ticket"), margin2())
-    return rank_over(g, [], [("net", True)], out="rank", method="row_number", tie_breakers=keys)
+
+
+def _top(totals: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The n largest by net, numbered: a top-n per task, and a window over these n rows only."""
+    order = [F.desc("net"), *keys]
+    return totals.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
+def client_ranking(src: Source, flt: Filters = ALL) -> DataFrame:
+    return rank_over(_client_totals(src, flt), [], [("net", True)], out="rank", method="row_number",
+                     tie_breakers=CLIENT_KEYS)
 
 
 def client_type_mix(src: Source, flt: Filters = ALL) -> DataFrame:
-    return client_ranking(src, flt).groupBy("client_type").agg(sum_rounded("net").alias("net"))
+    return _client_totals(src, flt).groupBy("client_type").agg(sum_rounded("net").alias("net"))
 
 
 def client_top20(src: Source, flt: Filters = ALL) -> DataFrame:
-    return client_ranking(src, flt).filter(F.col("rank") <= 20)
+    return _top(_client_totals(src, flt), CLIENT_KEYS, 20)
 
 
 # --------------------------------------------------------------------------- K-5 products
 
-def product_ranking(src: Source, flt: Filters = ALL) -> DataFrame:
-    keys = ["product_name", "category", "rx_otc_flag", "lab_name"]
-    g = facts(src, flt, product=True).groupBy(*keys).agg(
+PRODUCT_KEYS = ["product_name", "category", "rx_otc_flag", "lab_name"]
+
+
+def _product_totals(src: Source, flt: Filters) -> DataFrame:
+    return facts(src, flt, product=True).groupBy(*PRODUCT_KEYS).agg(
         net0(), F.sum("quantity").cast("double").alias("qty"), margin2(),
         mean("unit_price", 2).alias("avg_price"))
-    return rank_over(g, [], [("net", True)], out="rank", method="row_number", tie_breakers=keys)
+
+
+def product_ranking(src: Source, flt: Filters = ALL) -> DataFrame:
+    return rank_over(_product_totals(src, flt), [], [("net", True)], out="rank", method="row_number",
+                     tie_breakers=PRODUCT_KEYS)
 
 
 def product_rx_otc(src: Source, flt: Filters = ALL) -> DataFrame:
-    return product_ranking(src, flt).groupBy("rx_otc_flag").agg(sum_rounded("net").alias("net"))
+    return _product_totals(src, flt).groupBy("rx_otc_flag").agg(sum_rounded("net").alias("net"))
 
 
 def product_top15(src: Source, flt: Filters = ALL) -> DataFrame:
-    return product_ranking(src, flt).filter(F.col("rank") <= 15)
+    return _top(_product_totals(src, flt), PRODUCT_KEYS, 15)
 
 
 # --------------------------------------------------------------------------- K-6 commissions

@@ -18,7 +18,6 @@ DEFAULTS = {
     # dimension tables of the star schema are broadcast by size (AQE re-plans
     # with runtime sizes); fact-sized sides never exceed this.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -39,8 +38,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-        # local runs only: a cluster names its shared folder itself
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salesmart-ckpt-"))
         for k, v in DEFAULTS.items():
             builder = builder.config(k, v)
         spark = builder.getOrCreate()
@@ -53,22 +50,38 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def require_local(master: str) -> None:
+    """Raise unless the master is a single local JVM (``local``, ``local[n]``, ``local[*]``)."""
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"master {master!r}: set spark.checkpoint.dir to a folder that all executors share")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder for lineage cuts.
 
     Uses ``spark.checkpoint.dir`` from the session (the cluster names a shared
-    folder there). Only when it is unset, as in local tests, a fresh local
-    folder is created and set.
+    folder there). Only when it is unset on a local master, as in tests, a
+    fresh local folder is created and set; a cluster without the setting is an
+    error, as executors and the driver share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        require_local(sc.master)
         current = tempfile.mkdtemp(prefix="salesmart-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+def read_existing(spark: SparkSession, path: str):
+    """The parquet table at ``path``, or None if no such folder exists; every other failure is raised."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return None
+    return spark.read.parquet(path)
+
+
 def materialize(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

@@ -94,7 +94,7 @@ def read_profile(grid: DataFrame, profile: Profile, as_of: datetime | None = Non
                   .drop("city_zone_combined"))
     # C-8: zone from the sheet name
     if profile.multi_sheet and "zone_code_raw" not in out.columns:
-        out = out.withColumn("zone_code_raw", F.substring(F.col("sheet"), len(profile.zone_prefix) + 1, 1 << 16))
+        out = out.withColumn("zone_code_raw", F.substr(F.col("sheet"), F.lit(len(profile.zone_prefix) + 1)))
     # C-9: provenance
     out = (out.withColumn("distributor_code", F.lit(profile.code))
               .withColumn("source_system", F.lit(profile.code))
@@ -159,7 +159,7 @@ def dirty_city(client_key: Column) -> Column:
                         (F.pmod(client_key, F.lit(len(CANONICAL_CITIES))) + 1).cast("int"))
     variant = F.pmod(client_key, F.lit(5))
     return (F.when(variant == 0, city).when(variant == 1, F.upper(city)).when(variant == 2, F.lower(city))
-            .when(variant == 3, F.concat(F.substring(city, 1, 1), F.substring(city, 3, 1 << 10)))
+            .when(variant == 3, F.concat(F.substring(city, 1, 1), F.substr(city, F.lit(3))))
             .otherwise(F.lit("")))
 
 
@@ -174,8 +174,7 @@ def feed_lines(src: Source) -> DataFrame:
         dirty_city(F.col("client_key")).alias("city_raw"), zone.alias("zone_raw"))
     # row position: global row number over a total order of the lines (invoice, line first), so
     # rows of an invoice are in line order and no two rows share a position
-    return rank_over(f, [], [(c, False) for c in LINE_ORDER], out="line_seq", method="row_number",
-                     row_key=LINE_ORDER)
+    return rank_over(f, [], [(c, False) for c in LINE_ORDER], out="line_seq", method="row_number")
 
 
 def _cells(code: str) -> list[Column]:

@@ -61,7 +61,7 @@ SALESPEOPLE = [
 
 # Distributors: (distributor_key, distributor_code, distributor_name, distributor_type).
 DISTRIBUTORS = [
-    (1, "INT", "Ventas Internas Pharma DR", "INTERNO"),
+    (1, "INT", "Ventas Internas", "INTERNO"),
     (2, "DIST_A", "Distribuidora Ramos S.R.L.", "EXTERNO"),
     (3, "DIST_B", "MediFar Dominicana S.A.", "EXTERNO"),
     (4, "DIST_C", "Farmacorp S.A.", "EXTERNO"),

@@ -202,7 +202,7 @@ def loaded_fact(src: Source, path: str | None = None) -> DataFrame:
         wide = (wide.withColumn("_has_client", F.col("_has_client").isNotNull())
                     .withColumn("_has_product", F.col("_has_product").isNotNull())
                     .repartitionByRange("date_key", "invoice_number", "invoice_line")
-                    .sortWithinPartitions("zone_key", "date_key"))
+                    .sortWithinPartitions("year", "zone_key", "date_key"))
         if path is None:
             _LOADED[key] = materialize(wide, "fact-sales", ["year"])
         else:

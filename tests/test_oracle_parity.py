@@ -3,19 +3,17 @@
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from salesmart.catalog import QUERIES
 from tests.conftest import SF_SMALL
 from tests.helpers import as_multiset
 
-NAMES = sorted(queries())
+NAMES = sorted(set(QUERIES) & set(oracle_sql()))  # the others have tests of their own
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    sql = oracle_sql().get(name)
+    sql = oracle_sql()[name]
     got = queries()[name](spark, SF_SMALL).toPandas()
-    if sql is None:
-        assert len(got.columns) > 0
-        return
     want = duck.execute(sql).df()
     gc, gr = as_multiset(got)
     wc, wr = as_multiset(want)
