@@ -164,9 +164,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     whole = (held.where("not again").join(common.select("c1", "c2", "first"), ["c1", "c2"]).where("first < doc")
              .select("doc", "s", "e").unionByName(held.where("again").select("doc", "s", "e")))
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All windows of the phrases that may be partial entries of the dictionary."""
-        def rows() -> Iterator[list[np.ndarray]]:
+    def windows(repeated_hashes=None):
+        """mapInArrow function: windows of the wanted phrases; all hashes, or the places of those in a bitmap."""
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             for batch in batches:
                 for doc, data, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     wanted, done = np.array(own, dtype=np.int64), np.empty(0, dtype=np.int64)
@@ -179,14 +180,23 @@ def repeated(docs: DataFrame) -> DataFrame:
                             lo, size = p.lo[r[i: i + 2000]], (p.hi - p.lo + 1)[r[i: i + 2000]]
                             start = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
                             a, b = p.hashes(start, start + MATCH)
-                            yield [np.full(start.size, doc), start + at, _signed(a), _signed(b)]
+                            if repeated_hashes is None:
+                                yield [_signed(a)]
+                            else:
+                                hit = _has(repeated_hashes.value, a)
+                                yield [np.full(hit.sum(), doc), start[hit] + at, _signed(a[hit]), _signed(b[hit])]
 
-        yield from _batches(["doc", "s", "a", "b"], rows())
+        names = ["a"] if repeated_hashes is None else ["doc", "s", "a", "b"]
+        return lambda batches: _batches(names, rows(batches))
 
     need = partial.groupBy("first").agg(F.collect_list("c1").alias("own"))  # phrases of one document
     near = maybe_in(texts, "doc", bitmap_of(need, "first"))
-    placed = save(near.join(need, near["doc"] == need["first"]).select("doc", "data", "own")
-                  .mapInArrow(windows, "doc long, s long, a long, b long").distinct(), "phrase-windows")
+    owned = near.join(need, near["doc"] == need["first"]).select("doc", "data", "own")
+    # most windows stand once: their hashes are counted first, places are only kept of the others
+    twice = save(owned.mapInArrow(windows(), "a long").groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+                 .select("a"), "window-repeated")
+    often_windows = spark.sparkContext.broadcast(_bitmap(twice, "a"))
+    placed = save(owned.mapInArrow(windows(often_windows), "doc long, s long, a long, b long"), "phrase-windows")
     earliest = (placed.groupBy("a", "b").agg(F.min("doc").alias("doc0"), F.count("*").alias("n")).where("n > 1"))
     tied = placed.join(earliest, ["a", "b"])
     # in the first document the earliest start stays
