@@ -36,6 +36,15 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def discard(*saved: DataFrame) -> None:
+    """Delete tables made by :func:`save` that nothing reads any more."""
+    for df in saved:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}

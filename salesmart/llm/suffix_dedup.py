@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import BITMAP_BITS, bitmap_of, maybe_in, prepare, save
+from salesmart.llm.common import BITMAP_BITS, bitmap_of, discard, maybe_in, prepare, save
 from salesmart.llm.textkernel import INVERSE, mix, powers, prefix_sums
 
 MATCH, GRAM = 100, 24
@@ -137,7 +137,8 @@ def repeated(docs: DataFrame) -> DataFrame:
                    "phrase-dictionary")
     mixed = (entries.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
     partial = save(entries.join(mixed, "g").select("g", "c1", "c2", "first"), "phrase-partial")
-    common = entries.where("last > first")
+    common = save(entries.where("last > first").select("c1", "c2", "first"), "phrase-common")
+    discard(entries)
     told = spark.sparkContext.broadcast(_bitmap(common, "c1"))
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,15 +198,16 @@ def repeated(docs: DataFrame) -> DataFrame:
                  .select("a"), "window-repeated")
     often_windows = spark.sparkContext.broadcast(_bitmap(twice, "a"))
     placed = save(owned.mapInArrow(windows(often_windows), "doc long, s long, a long, b long"), "phrase-windows")
-    earliest = (placed.groupBy("a", "b").agg(F.min("doc").alias("doc0"), F.count("*").alias("n")).where("n > 1"))
-    tied = placed.join(earliest, ["a", "b"])
-    # in the first document the earliest start stays
-    start = (tied.where("doc = doc0").groupBy("a", "b").agg(F.min("s").alias("s0")))
-    later = (tied.join(start, ["a", "b"]).where("doc > doc0 or s > s0")
+    discard(twice)
+    earliest = (placed.groupBy("a", "b").agg(F.min(F.struct("doc", "s")).alias("m"), F.count("*").alias("n"))
+                .where("n > 1"))
+    later = (placed.join(earliest, ["a", "b"]).where(F.struct("doc", "s") > F.col("m"))
              .select("doc", "s", (F.col("s") + MATCH).alias("e")))
     every = whole.unionByName(later)
     # a document's spans are bounded by its length
-    return (every.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans")))
+    spans = save(every.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans")), "phrase-spans")
+    discard(common, partial, held, placed)
+    return spans
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -221,7 +223,7 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row for each row of ``docs``."""
     prepare(docs.sparkSession)
-    spans = save(repeated(docs), "phrase-spans")
+    spans = repeated(docs)
     place = F.coalesce("doc_id", F.lit(_LAST))
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"), place.alias("place"))
     full = rows.join(spans, rows["place"] == spans["doc"], "left").select("doc_id", "data", "spans")
