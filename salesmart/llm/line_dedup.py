@@ -20,6 +20,8 @@ that repeats another is treated like it. Extra columns are ignored by :func:`rep
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ from salesmart.llm.common import BITMAP_BITS, prepare, save, unused
 
 EDITS = 2
 LEAST = 24
-LETTERS = "etanorih"
+LETTERS = "etanorihsdlcumwf"
 _LAST = (1 << 63) - 1
 
 
@@ -49,44 +51,40 @@ def _segment(length: Column, i: int) -> tuple[Column, Column]:
     return start.cast("int"), (short + F.when(F.lit(i) >= n_short, 1).otherwise(0)).cast("int")
 
 
-def _index_keys() -> Column:
-    n = F.col("n")
-    keys = []
-    for i in range(EDITS + 1):
-        start, size = _segment(n, i)
-        keys.append(F.xxhash64(F.lit(i), n, F.substr(F.col("line"), start + 1, size)))
-    return F.array(*keys)
+def _index_key(i: int) -> Column:
+    start, size = _segment(F.col("n"), i)
+    return F.xxhash64(F.col("n"), F.substr(F.col("line"), start + 1, size))
 
 
-def _probe_keys() -> Column:
-    """Substrings where a segment of a line shorter by 0 to EDITS characters can have survived."""
+def _probe_keys(i: int) -> Column:
+    """Substrings where segment i of a line shorter by 0 to EDITS characters can have survived: array of (less, key)."""
     keys = []
     for less in range(EDITS + 1):
         n = F.col("n") - less
-        for i in range(EDITS + 1):
-            start, size = _segment(n, i)
-            low, high = max(-i, less - (EDITS - i)), min(i, less + (EDITS - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                inside = (at >= 0) & (at + size <= F.col("n"))
-                keys.append(F.when(inside, F.xxhash64(F.lit(i), n, F.substr(F.col("line"), at + 1, size))))
+        start, size = _segment(n, i)
+        low, high = max(-i, less - (EDITS - i)), min(i, less + (EDITS - i))
+        for shift in range(low, high + 1):
+            at = start + shift
+            inside = (at >= 0) & (at + size <= F.col("n"))
+            key = F.xxhash64(n, F.substr(F.col("line"), at + 1, size))
+            keys.append(F.when(inside, F.struct(F.lit(less).alias("less"), key.alias("key"))))
     return F.array_compact(F.array(*keys))
 
 
 def _letter_counts() -> Column:
-    """Counts of the frequent letters, eight bits each."""
+    """Counts of the frequent letters, four bits each: differences modulo 16 are never above the true ones."""
     out = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
         count = F.col("n") - F.length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(255)), 8 * i))
+        out = out.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(15)), 4 * i))
     return out
 
 
 def _letters_apart(a: str, b: str) -> Column:
     total = F.lit(0)
     for i in range(len(LETTERS)):
-        x, y = (F.shiftrightunsigned(F.col(c), 8 * i).bitwiseAND(F.lit(255)) for c in (a, b))
-        total = total + F.least(F.abs(x - y), F.lit(256) - F.abs(x - y))
+        x, y = (F.shiftrightunsigned(F.col(c), 4 * i).bitwiseAND(F.lit(15)) for c in (a, b))
+        total = total + F.least(F.abs(x - y), F.lit(16) - F.abs(x - y))
     return total
 
 
@@ -145,14 +143,23 @@ def _members(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def near_lines(lines: DataFrame) -> DataFrame:
-    """uid of the lines (uid, line, n, first) that an earlier line is within the distance of."""
-    bag = lines.withColumn("bag", _letter_counts())
-    index = bag.select("uid", "bag", F.explode(_index_keys()).alias("key"))
-    probe = bag.select(F.col("uid").alias("other"), F.col("bag").alias("other_bag"), F.explode(_probe_keys()).alias("key"))
-    pairs = (probe.join(index, "key").where((F.col("uid") != F.col("other"))
-                                            & (_letters_apart("bag", "other_bag") <= 2 * EDITS))
-             .select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b")).distinct())
-    pairs = save(pairs, "line-pairs")
+    """uid of the lines (uid, line, n, bag, first) that an earlier line is within the distance of.
+
+    One join for each segment, so that only its keys are on disk at a time.
+    """
+    found = []
+    for i in range(EDITS + 1):
+        index = lines.select("uid", "bag", _index_key(i).alias("key"))
+        probe = lines.select("uid", F.col("bag").alias("other_bag"), F.explode(_probe_keys(i)).alias("p"))
+        # lines of one length probe each other, so one direction is enough; a longer line (negative) always counts
+        probe = probe.select(F.when(F.col("p.less") > 0, -1 - F.col("uid")).otherwise(F.col("uid")).alias("other"),
+                             "other_bag", F.col("p.key").alias("key"))
+        once = (F.col("other") < 0) | (F.col("uid") < F.col("other"))
+        met = probe.join(index, "key").where(once & (_letters_apart("bag", "other_bag") <= 2 * EDITS))
+        other = F.when(F.col("other") < 0, -1 - F.col("other")).otherwise(F.col("other"))
+        found.append(save(met.select(F.least("uid", other).alias("a"), F.greatest("uid", other).alias("b")),
+                          f"line-pairs-{i}"))
+    pairs = save(reduce(DataFrame.unionByName, found).distinct(), "line-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("uid"))
     some = save(_members(lines, ends).select("uid", "line", "first"), "line-members")
     side = lambda s: some.select(F.col("uid").alias(s), F.col("line").alias(f"line_{s}"),
@@ -173,7 +180,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     held = rows.select(order.alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
     lines = (held.where(F.length("line") >= LEAST).groupBy("line").agg(F.min("doc").alias("first"))
              .select(F.monotonically_increasing_id().alias("uid"), "line", F.length("line").alias("n"), "first"))
-    lines = save(lines, "line-distinct")
+    lines = save(lines.withColumn("bag", _letter_counts()), "line-distinct")
     near = save(near_lines(lines), "line-near")
     judged = (lines.select("uid", _key(F.col("line")).alias("k"), "first")
               .join(near.withColumn("near", F.lit(True)), "uid", "left").select("k", "first", "near"))
