@@ -31,6 +31,7 @@ from salesmart.llm.textkernel import INVERSE, NOT_SPACE, hash_words, mix, powers
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE = 600
+SALTS = 64
 ROUNDS = 3
 BLOCK, LONGEST = 31, 16
 BYTE_P, SMOOTH = 1e-6, 0.05
@@ -223,8 +224,11 @@ def fit(learn: DataFrame, path: str = VOCABULARY) -> tuple[list[str], list[bytes
     spark = learn.sparkSession
     pieces = read_pieces(path)
     shared = spark.sparkContext.broadcast(pieces)  # the fixed vocabulary
+    # in SALTS parts a language first, so that the last ranking reads a bounded number of rows
+    part = F.expr(f"row_number() over (partition by lang, pmod(h, {SALTS}) order by h, doc_id)")
     order = F.expr("row_number() over (partition by lang order by h, doc_id)")
     ids = (learn.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
+           .withColumn("r", part).where(F.col("r") <= SAMPLE)
            .withColumn("r", order).where(F.col("r") <= SAMPLE).select("lang", "doc_id").distinct())
     ids = save(ids, "lang-ids")
     langs = sorted(r["lang"] for r in ids.select("lang").distinct().collect())
