@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from salesmart.functions import text as tx
 from salesmart.functions.similarity import best_match_udf
+from salesmart.operators.fuzzy import best_matches
 from salesmart.sources import reference_data as rd
 
 CANONICAL_CITIES = sorted({c for _, c in rd.CITY_ALIASES})
@@ -106,13 +107,10 @@ def clean_product_name(df: DataFrame, col: str, products: DataFrame, *,
     exact = cat.select(F.col("_pn").alias("_qn"), F.col("_last._pid").alias("_ex_id"),
                        F.col("_last._pname").alias("_ex_name"))
     d = d.join(exact, "_qn", "left")
-    # one candidate array (catalogue size = distinct normalised names)
-    cands = cat.select(F.array_sort(F.collect_list(F.struct("_first", "_pn", "_last"))).alias("_c"))
-    need = d.filter(~F.col("_blank") & F.col("_ex_id").isNull()).select("_qn").distinct()
-    need = need.select("_qn", cands.scalar().alias("_c"))
-    best = best_match_udf("token_set_ratio", threshold)(F.col("_qn"), F.transform("_c", lambda x: x["_pn"]))
-    fz = need.withColumn("_b", best).select(
-        "_qn", F.try_element_at(F.col("_c"), F.col("_b.idx"))["_last"].alias("_hit"), (F.col("_b.score") / 100).alias("_fzs"))
+    cands = cat.select(F.lit(0).alias("g"), F.col("_pn").alias("t"), F.col("_first").alias("pos"), F.col("_last").alias("hit"))
+    need = d.filter(~F.col("_blank") & F.col("_ex_id").isNull()).select(F.lit(0).alias("g"), F.col("_qn").alias("q")).distinct()
+    fz = best_matches(need, cands, threshold).select(
+        F.col("q").alias("_qn"), F.col("hit").alias("_hit"), (F.col("score") / 100).alias("_fzs"))
     d = d.join(fz, "_qn", "left")
     blank = F.col("_blank")
     name = (F.when(blank, raw).when(F.col("_ex_id").isNotNull(), F.col("_ex_name"))

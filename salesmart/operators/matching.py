@@ -8,12 +8,10 @@
 
 Scale: the mapping table is joined on (distributor, code) like any
 dimension (Spark picks broadcast or shuffle by size). The fuzzy step runs
-on *distinct* (distributor, description) pairs only. Its candidates are the
-distinct descriptions of the distributor, each at the position of its first
-mapping row - identical descriptions score identically, so the first-best
-answer is unchanged - which bounds the candidate list by the description
-vocabulary, not by the mapping's row count. The list size per distributor
-is checked before scoring (an error, never a silent cut, when exceeded).
+on *distinct* (distributor, description) pairs against the distinct
+descriptions of the distributor, each at the position of its first mapping
+row (identical descriptions score identically, so the first-best answer is
+unchanged), block by block (``operators.fuzzy``).
 """
 
 from __future__ import annotations
@@ -21,14 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.similarity import best_match_udf
-from salesmart.session import materialize
-from salesmart.sources import star
+from salesmart.operators.fuzzy import best_matches
 from salesmart.sources.grid import CODES
 from salesmart.sources.tables import Source
 
-MAX_CANDIDATES = 200_000
-
 
 def load_mapping(raw: DataFrame) -> DataFrame:
     """Typed mapping table (A-10): confidence numeric (default 1.0), flag in {true, 1, yes}."""
@@ -82,8 +76,7 @@ def derive_mapping(src: Source) -> DataFrame:
 
 
 def map_product_codes(feed: DataFrame, mapping: DataFrame, *, code_col: str = "dist_product_code",
-                      desc_col: str = "product_name_raw", cutoff: float = 70.0,
-                      max_candidates: int = MAX_CANDIDATES) -> DataFrame:
+                      desc_col: str = "product_name_raw", cutoff: float = 70.0) -> DataFrame:
     """Add sap_product_id, sap_product_name, mapping_confidence, mapping_exact."""
     code = F.trim(F.coalesce(F.col(code_col).cast("string"), F.lit("")))
     desc = F.trim(F.coalesce(F.col(desc_col).cast("string"), F.lit("")))
@@ -94,26 +87,15 @@ def map_product_codes(feed: DataFrame, mapping: DataFrame, *, code_col: str = "d
                   .alias("_ex")))
     d = d.join(exact, ["distributor_code", "_code"], "left")
     # fuzzy candidates: distinct descriptions per distributor, first position
-    cands = (mapping.groupBy("distributor_code", "dist_product_desc")
+    cands = (mapping.groupBy(F.col("distributor_code").alias("g"), F.col("dist_product_desc").alias("t"))
              .agg(F.min_by(F.struct("map_order", "sap_product_id", "sap_product_name"), "map_order").alias("_m"))
-             .groupBy("distributor_code")
-             .agg(F.array_sort(F.collect_list(F.struct(F.col("_m.map_order").alias("o"),
-                                                       F.col("dist_product_desc").alias("t"),
-                                                       F.col("_m.sap_product_id").alias("id"),
-                                                       F.col("_m.sap_product_name").alias("name")))).alias("_c")))
-    # one row per distributor: small, materialised once and reused below
-    cands = materialize(cands, "map-candidates")
-    biggest = cands.select(F.max(F.size("_c"))).first()[0] or 0
-    if biggest > max_candidates:
-        raise ValueError(f"fuzzy candidate list of {biggest} descriptions exceeds {max_candidates}; "
-                         "raise max_candidates (exact scoring is kept, nothing is cut)")
+             .select("g", "t", F.col("_m.map_order").alias("pos"),
+                     F.struct(F.col("_m.sap_product_id").alias("id"), F.col("_m.sap_product_name").alias("name")).alias("hit")))
     need = (d.filter(F.col("_ex").isNull() & (F.length("_desc") > 3))
-            .select("distributor_code", "_desc").distinct()
-            .join(cands, "distributor_code"))
-    best = best_match_udf("token_set_ratio", cutoff)(F.col("_desc"), F.transform("_c", lambda x: x["t"]))
-    fz = need.withColumn("_b", best).select(
-        "distributor_code", "_desc", F.try_element_at(F.col("_c"), F.col("_b.idx")).alias("_hit"),
-        (F.col("_b.score") / 100).alias("_fzs"))
+            .select(F.col("distributor_code").alias("g"), F.col("_desc").alias("q")).distinct())
+    fz = best_matches(need, cands, cutoff).select(
+        F.col("g").alias("distributor_code"), F.col("q").alias("_desc"), F.col("hit").alias("_hit"),
+        (F.col("score") / 100).alias("_fzs"))
     d = d.join(fz, ["distributor_code", "_desc"], "left")
     ex, hit = F.col("_ex"), F.col("_hit")
     return (d.withColumn("sap_product_id", F.coalesce(ex["sap_product_id"], hit["id"]))
@@ -143,7 +125,3 @@ def merge_unmapped(existing: DataFrame, new: DataFrame) -> DataFrame:
     return allrows.groupBy(*keys).agg(F.first("source_system").alias("source_system"),
                                       F.sum("occurrence_count").alias("occurrence_count"),
                                       F.min("first_seen").alias("first_seen"))
-
-
-def master_products(src: Source) -> DataFrame:
-    return star.products(src)

@@ -129,12 +129,11 @@ SELECT zone_name, year_month,
                                   + rdiv(cents("SUM(sales_amount)") + " * 100", cents("SUM(target_amount)"), 3)
                                   + """ END, 0) AS achievement_pct
 FROM fz GROUP BY zone_name, year_month""")
-ORACLE["seller_month_heatmap"] = C("""
-PIVOT (SELECT full_name, year_month, CAST(achievement_pct AS DOUBLE) AS a FROM fcm) ON year_month USING first(a)
-GROUP BY full_name""")
-ORACLE["category_zone_margin_heatmap"] = S(f""", cz AS (
-  SELECT category, zone_name, {mean_dec('margin_pct', 3, 3)} AS v FROM sales GROUP BY category, zone_name)
-PIVOT cz ON zone_name USING first(v) GROUP BY category""")
+ORACLE["seller_month_heatmap"] = C("SELECT full_name, year, " + ", ".join(
+    f"first(CAST(achievement_pct AS DOUBLE)) FILTER (WHERE month_num = {i}) AS month_{i}" for i in range(1, 13)) + """
+FROM fcm GROUP BY full_name, year""")
+ORACLE["category_zone_margin_heatmap"] = S(f"""
+SELECT category, zone_name, {mean_dec('margin_pct', 3, 3)} AS margin_pct FROM sales GROUP BY category, zone_name""")
 ORACLE["top_clients_by_ticket"] = S(f""", g AS (
   SELECT client_key, client_name, SUM(net_amount) AS n, COUNT(DISTINCT invoice_number) AS invoices
   FROM sales GROUP BY client_key, client_name),

@@ -75,8 +75,9 @@ ORACLE["zone_monthly"] = S(ZM + "SELECT * FROM zm")
 ORACLE["zone_totals"] = S(ZM + f"""SELECT zone_name, {sum_rounded('net')} AS net, CAST(SUM(clients) AS BIGINT) AS clients
 FROM zm GROUP BY zone_name""")
 ORACLE["zone_yearly"] = S(ZM + f"SELECT year, zone_name, {sum_rounded('net')} AS net FROM zm GROUP BY year, zone_name")
-ORACLE["zone_month_pivot"] = S(ZM + """SELECT zone_name, COALESCE(COLUMNS(* EXCLUDE (zone_name)), 0)
-FROM (PIVOT (SELECT zone_name, year_month, net FROM zm) ON year_month USING SUM(net))""")
+ORACLE["zone_month_pivot"] = S(ZM + "SELECT zone_name, year, " + ", ".join(
+    f"COALESCE(SUM(net) FILTER (WHERE month_num = {i}), 0) AS month_{i}" for i in range(1, 13)) + """
+FROM zm GROUP BY zone_name, year""")
 
 # K-4
 CR = f""", cr AS (
@@ -198,9 +199,8 @@ UNION ALL
 (SELECT 'lowest' AS extreme, product_name, margin_pct FROM mp
  ORDER BY margin_pct ASC, product_name DESC, category DESC, lab_name DESC LIMIT 1))
 SELECT ex.*, (SELECT {mean_of('margin_pct')} FROM mp) AS mean_margin_pct FROM ex""")
-ORACLE["margin_heatmap"] = S(MP + f""", cl AS (
-SELECT category, lab_name, {mean_of('margin_pct')} AS v FROM mp GROUP BY category, lab_name)
-PIVOT cl ON lab_name USING first(v) GROUP BY category""")
+ORACLE["margin_heatmap"] = S(MP + f"""
+SELECT category, lab_name, {mean_of('margin_pct')} AS margin_pct FROM mp GROUP BY category, lab_name""")
 
 # K-12
 TD = f""", td AS (

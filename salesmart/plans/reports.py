@@ -18,7 +18,7 @@ from salesmart.functions.measures import mean, money
 from salesmart.operators.commission import fact_commission
 from salesmart.operators.ranking import rank_over, running_total
 from salesmart.plans.filters import ALL, Filters
-from salesmart.plans.screens import facts
+from salesmart.plans.screens import facts, month_grid
 from salesmart.sources import star
 from salesmart.sources.calendar import calendar
 from salesmart.sources.tables import Source
@@ -234,16 +234,14 @@ def achievement_by_zone(src: Source) -> DataFrame:
 
 
 def seller_month_heatmap(src: Source) -> DataFrame:
-    """Salesperson x month achievement grid (E-25)."""
-    fc = fact_commission(src)
-    return (fc.groupBy("full_name").pivot("year_month")
-            .agg(F.first(F.col("achievement_pct").cast("double"))))
+    """Salesperson x month achievement grid, a row per salesperson and year (E-25)."""
+    return month_grid(fact_commission(src), ["full_name", "year"], F.first(F.col("achievement_pct").cast("double")))
 
 
 def category_zone_margin_heatmap(src: Source, flt: Filters = ALL) -> DataFrame:
-    """Category x zone mean margin grid (E-25)."""
+    """Category x zone mean margin, a row per cell (E-25)."""
     f = facts(src, flt, product=True)
-    return f.groupBy("category").pivot("zone_name").agg(mean("margin_pct", 3))
+    return f.groupBy("category", "zone_name").agg(mean("margin_pct", 3).alias("margin_pct"))
 
 
 def top_clients_by_ticket(src: Source, flt: Filters = ALL, n: int = 20) -> DataFrame:

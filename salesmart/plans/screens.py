@@ -137,6 +137,12 @@ def zone_monthly(src: Source, flt: Filters = ALL) -> DataFrame:
     return _zone_monthly(src, flt)
 
 
+def month_grid(df: DataFrame, keys: list[str], cell: Column) -> DataFrame:
+    """One row per ``keys``, a column for each of the twelve months."""
+    grid = df.groupBy(*keys).pivot("month_num", list(range(1, 13))).agg(cell)
+    return grid.select(*keys, *[F.col(str(i)).alias(f"month_{i}") for i in range(1, 13)])
+
+
 def _zone_monthly(src: Source, flt: Filters) -> DataFrame:
     f = facts(src, flt, product=True)
     return f.groupBy("year_month", "year", "month_num", "zone_name").agg(
@@ -155,9 +161,9 @@ def zone_yearly(src: Source, flt: Filters = ALL) -> DataFrame:
 
 
 def zone_month_pivot(src: Source, flt: Filters = ALL) -> DataFrame:
-    """Zone x month grid of net sales, missing cells 0 (E-12)."""
+    """Zone x month grid of net sales, a row per zone and year, missing cells 0 (E-12)."""
     m = _zone_monthly(src, flt)
-    return m.groupBy("zone_name").pivot("year_month").agg(F.sum("net")).fillna(0)
+    return month_grid(m, ["zone_name", "year"], F.sum("net")).fillna(0)
 
 
 # --------------------------------------------------------------------------- K-4 clients
@@ -364,9 +370,9 @@ def margin_extremes(src: Source, flt: Filters = ALL) -> DataFrame:
 
 
 def margin_heatmap(src: Source, flt: Filters = ALL) -> DataFrame:
-    """Category x laboratory mean margin (E-13)."""
+    """Category x laboratory mean margin, a row per cell: laboratories grow with the data (E-13)."""
     m = margin_by_product(src, flt)
-    return m.groupBy("category").pivot("lab_name").agg(mean_of("margin_pct", 4))
+    return m.groupBy("category", "lab_name").agg(mean_of("margin_pct", 4).alias("margin_pct"))
 
 
 # --------------------------------------------------------------------------- K-12 ticket

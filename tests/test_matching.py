@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.similarity import ratio, token_set_ratio, token_sort_ratio
 from salesmart.operators import cleanse as cl
+from salesmart.operators import fuzzy
 from salesmart.operators.matching import derive_mapping, map_product_codes
 from salesmart.plans import cleansing_queries as cq
 from salesmart.sources import grid
@@ -128,3 +129,31 @@ def test_product_name_cleansing_matches_brute_force(spark):
         else:
             assert r.matched_product_id == best[0][0] and r.product_name_clean == best[0][1]
             assert r.product_match_confidence == pytest.approx(best[1] / 100)
+
+
+def test_best_matches_equals_scoring_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "CHUNK", 7)
+    monkeypatch.setattr(fuzzy, "BLOCK", 3)
+    words = ["blue", "green", "greem", "steel", "st", "tin", "copper", "coper", "ñandú", "x"]
+    texts = [" ".join(words[(i * k + k) % 10] for k in range(1, 2 + i % 4)) for i in range(40)] + ["", "  "]
+    asked = [f"{a} {b}" for a in words for b in words[::3]] + ["", "zzz", "grean", "coppre tim"]
+    cands = spark.createDataFrame([(g, t, g * 1000 + i, (i,)) for g in (1, 2) for i, t in enumerate(dict.fromkeys(texts[g:]))]
+                                  + [(1, None, 5000, (0,))], "g int, t string, pos int, hit struct<id: int>")
+    queries = spark.createDataFrame([(g, q) for g in (1, 2, 3) for q in asked] + [(1, None)], "g int, q string").distinct()
+    got = {(r.g, r.q): (r.hit.id, r.score) for r in fuzzy.best_matches(queries, cands, 60.0).collect()}
+    want = {}
+    for g in (1, 2):
+        for q in asked:
+            scored = [(-token_set_ratio(q, t), i) for i, t in enumerate(dict.fromkeys(texts[g:]))]
+            if scored and -min(scored)[0] >= 60.0:
+                want[g, q] = (min(scored)[1], -min(scored)[0])
+    assert len(want) > 20 and got == want
+
+
+def test_more_candidates_than_any_chunk_holds(spark):
+    n = 200_500
+    cands = spark.range(n).select(F.lit("D").alias("g"), F.concat(F.lit("item "), F.hex("id")).alias("t"),
+                                  F.col("id").alias("pos"), F.struct("id").alias("hit"))
+    queries = spark.createDataFrame([("D", "itm 2A3F"), ("D", "2a3f item item"), ("D", "qqqqqqqq")], "g string, q string")
+    got = {r.q: r.hit.id for r in fuzzy.best_matches(queries, cands, 70.0).collect()}
+    assert got["2a3f item item"] == 0x23 and got["itm 2A3F"] == 0x2A3F and "qqqqqqqq" not in got
