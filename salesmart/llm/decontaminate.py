@@ -125,3 +125,19 @@ def sketch_length(n: int) -> int:
     num, den = CONTAINMENT
     top = 2 ** (int(math.log2(n)) + 1) - 1
     return min(n, top - math.ceil(top * num / den) + 1)
+
+
+#: DuckDB SQL of the query's rows: all shared shingles, as strings.
+LEAKS_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w
+           FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+b AS (SELECT DISTINCT item_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w
+      FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+ds AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+bs AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
+n AS (SELECT id, COUNT(*) AS n_item FROM bs GROUP BY id),
+j AS (SELECT ds.id AS doc_id, bs.id AS item_id, COUNT(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_shared, round(n_shared / n_item, 6) AS containment
+FROM j JOIN n ON n.id = j.item_id WHERE n_shared * 100 >= n_item * 80"""

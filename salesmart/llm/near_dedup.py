@@ -218,3 +218,23 @@ def _first_rows(docs: DataFrame) -> DataFrame:
     single = again.groupBy("doc_id", "text").agg(
         *[F.first(c).alias(c) for c in docs.columns if c not in ("doc_id", "text")]).select(*docs.columns)
     return docs.join(repeated, "doc_id", "left_anti").unionByName(single)
+
+
+#: DuckDB SQL of the query's rows: all pairs that share a shingle, on full sets.
+COMPONENTS_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+l AS MATERIALIZED (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+                        GROUP BY ALL) p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * k >= 85 * (na.n + nb.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS c FROM documents WHERE doc_id IS NOT NULL
+      UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a WHERE r.c < l.b),
+m AS (SELECT a, MIN(c) AS c FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, coalesce(d.doc_id = m.c, true) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id"""

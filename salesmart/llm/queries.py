@@ -60,4 +60,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op7_near_duplicates, op8_toxicity, op9_language, op10_nearest_vectors, pipeline)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op4_chat": chat.RENDER_SQL}
+ORACLE: dict[str, str] = {"op4_chat": chat.RENDER_SQL, "op5_benchmark_leaks": decontaminate.LEAKS_SQL,
+                          "op6_repeated_strings": suffix_dedup.REPEATS_SQL, "op7_near_duplicates": near_dedup.COMPONENTS_SQL}

@@ -245,3 +245,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                  pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return full.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+#: DuckDB SQL of the query's rows: every 100-byte string of every text.
+REPEATS_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+-- 100-byte strings by their place; long texts are first cut into overlapping blocks
+blocks AS (SELECT doc_id, b, substring(h, 2 * b + 1, 2 * (1024 + 99)) AS h
+           FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 1024)) AS b FROM d)),
+g AS MATERIALIZED (SELECT doc_id, b + i AS p, md5_number(substring(h, 2 * i + 1, 200)) AS s
+      FROM (SELECT doc_id, b, h, unnest(range(0, least(1024, length(h) // 2 - 99))) AS i FROM blocks)),
+f AS (SELECT s, MIN((doc_id, p)) AS first FROM g GROUP BY s HAVING COUNT(*) > 1),
+c AS (SELECT doc_id, p FROM g JOIN f USING (s) WHERE (doc_id, p) > first),
+e AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 1 ELSE 0 END AS gap FROM c),
+runs AS (SELECT doc_id, k, MIN(p) AS lo, MAX(p) + 100 AS hi
+         FROM (SELECT *, SUM(gap) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM e) GROUP BY doc_id, k),
+kept AS (SELECT doc_id, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS before FROM runs),
+t AS (SELECT doc_id, SUM(hi - lo) AS n_removed, COUNT(*) AS n_spans, MAX(hi) AS last,
+             list((before, lo) ORDER BY lo) AS parts FROM kept GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(array_to_string(list_transform(parts, lambda x: substring(h, 2 * x[1] + 1, 2 * (x[2] - x[1]))), '')
+                    || substring(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id"""
