@@ -148,12 +148,12 @@ def repeated(docs: DataFrame) -> DataFrame:
         def rows() -> Iterator[list[np.ndarray]]:
             for batch in batches:
                 for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    seen: set[tuple[int, int]] = set()
+                    seen = np.empty(0, dtype=np.uint64)
                     for at, p in parses(data):
-                        again = np.zeros(p.c1.size, dtype=bool)
-                        for i, pair in enumerate(zip(p.c1.tolist(), p.c2.tolist(), strict=True)):
-                            again[i] = pair in seen
-                            seen.add(pair)
+                        found, first = np.unique(p.c1, return_index=True)
+                        again = np.ones(p.c1.size, dtype=bool)
+                        again[first] = np.isin(found, seen)
+                        seen = np.union1d(seen, found)
                         own = np.flatnonzero(again | _has(often, p.c1))
                         yield [np.full(own.size, doc), p.lo[own] + at, p.hi[own] + at + MATCH,
                                _signed(p.c1[own]), _signed(p.c2[own]), again[own]]
@@ -166,12 +166,16 @@ def repeated(docs: DataFrame) -> DataFrame:
              .select("doc", "s", "e").unionByName(held.where("again").select("doc", "s", "e")))
 
     def windows(repeated_hashes=None):
-        """mapInArrow function: windows of the wanted phrases; all hashes, or the places of those in a bitmap."""
+        """mapInArrow function: windows of the wanted phrases; all hashes, or the places of those in a bitmap.
+
+        A place whose string stands earlier in the same document is marked.
+        """
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             for batch in batches:
                 for doc, data, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     wanted, done = np.array(own, dtype=np.int64), np.empty(0, dtype=np.int64)
+                    kept: list[tuple[np.ndarray, ...]] = []  # places in the document, at most its length
                     for at, p in parses(data):
                         c1 = _signed(p.c1)
                         found, first = np.unique(c1, return_index=True)
@@ -185,9 +189,16 @@ def repeated(docs: DataFrame) -> DataFrame:
                                 yield [_signed(a)]
                             else:
                                 hit = _has(repeated_hashes.value, a)
-                                yield [np.full(hit.sum(), doc), start[hit] + at, _signed(a[hit]), _signed(b[hit])]
-
-        names = ["a"] if repeated_hashes is None else ["doc", "s", "a", "b"]
+                                kept.append((start[hit] + at, _signed(a[hit]), _signed(b[hit])))
+                    if kept:
+                        start, a, b = (np.concatenate(x) for x in zip(*kept, strict=True))
+                        order = np.lexsort((start, b, a))
+                        start, a, b = start[order], a[order], b[order]
+                        again = np.zeros(start.size, dtype=bool)
+                        again[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+                        yield [np.full(start.size, doc), start, a, b, again]
+
+        names = ["a"] if repeated_hashes is None else ["doc", "s", "a", "b", "again"]
         return lambda batches: _batches(names, rows(batches))
 
     need = partial.groupBy("first").agg(F.collect_list("c1").alias("own"))  # phrases of one document
@@ -197,27 +208,29 @@ def repeated(docs: DataFrame) -> DataFrame:
     twice = save(owned.mapInArrow(windows(), "a long").groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
                  .select("a"), "window-repeated")
     often_windows = spark.sparkContext.broadcast(_bitmap(twice, "a"))
-    placed = save(owned.mapInArrow(windows(often_windows), "doc long, s long, a long, b long"), "phrase-windows")
+    placed = save(owned.mapInArrow(windows(often_windows), "doc long, s long, a long, b long, again boolean"), "phrase-windows")
     discard(twice)
-    earliest = (placed.groupBy("a", "b").agg(F.min(F.struct("doc", "s")).alias("m"), F.count("*").alias("n"))
-                .where("n > 1"))
-    later = (placed.join(earliest, ["a", "b"]).where(F.struct("doc", "s") > F.col("m"))
-             .select("doc", "s", (F.col("s") + MATCH).alias("e")))
-    every = whole.unionByName(later)
+    once = placed.where("not again").select("doc", "s", "a", "b")
+    earliest = (once.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+                .where("last > first").select("a", "b", "first"))
+    later = (once.join(earliest, ["a", "b"]).where("doc > first").select("doc", "s")
+             .unionByName(placed.where("again").select("doc", "s")))
+    every = whole.unionByName(later.select("doc", "s", (F.col("s") + MATCH).alias("e")))
     # a document's spans are bounded by its length
-    spans = save(every.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans")), "phrase-spans")
+    spans = save(every.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "phrase-spans")
     discard(common, partial, held, placed)
     return spans
 
 
-def _merged(spans: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for p in spans:
-        if out and p["s"] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], p["e"])
-        else:
-            out.append([p["s"], p["e"]])
-    return [tuple(x) for x in out]
+def _merged(start: np.ndarray, end: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Maximal runs that the spans cover in a text of n bytes (rows of one doc_id can differ in length)."""
+    order = np.argsort(start)
+    start, end = start[order], np.minimum(np.maximum.accumulate(end[order]), n)
+    start, end = start[start < n], end[start < n]
+    if not start.size:
+        return []
+    new = np.concatenate([[True], start[1:] > end[:-1]])
+    return list(zip(start[new].tolist(), end[np.concatenate([new[1:], [True]])].tolist(), strict=True))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -231,8 +244,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for data, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                runs = [(s, min(e, len(data))) for s, e in _merged(own or []) if s < len(data)]
+            own = batch.column(2)
+            own_start, own_end = (own.values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            places = zip(batch.column(1).to_pylist(), own.is_valid().to_pylist(), own.offsets.to_pylist(),
+                         own.offsets.to_pylist()[1:])
+            for data, has, i, j in places:
+                runs = _merged(own_start[i:j], own_end[i:j], len(data)) if has else []
                 digest, at = hashlib.sha256(), 0
                 for s, e in runs:
                     digest.update(data[at:s])
