@@ -131,15 +131,16 @@ def _trimmed(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.withColumns({c: F.left(F.col(c), F.length(c) - F.col("cut")) for c in (a, b)}).drop("cut")
 
 
-def _members(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``lines`` whose uid may be wanted; the bitmap is a table of BITMAP_BITS / 64 rows at most."""
-    slot = F.xxhash64("uid").bitwiseAND(F.lit(BITMAP_BITS - 1))
+def _members(rows: DataFrame, wanted: DataFrame, key: str, always: Column | None = None) -> DataFrame:
+    """The rows whose key may be in ``wanted`` (or ``always``); the bitmap is a table of BITMAP_BITS / 64 rows at most."""
+    slot = F.xxhash64(key).bitwiseAND(F.lit(BITMAP_BITS - 1))
     words = (wanted.select(slot.alias("s")).select(F.shiftrightunsigned("s", 6).alias("w"),
                                                    F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bits"))
              .groupBy("w").agg(F.bit_or("bits").alias("bits")))
-    hit = F.expr("shiftright(bits, cast(s & 63 as int)) & 1") == 1
-    return (lines.withColumn("s", slot).withColumn("w", F.shiftrightunsigned("s", 6))
-            .join(F.broadcast(words), "w").where(hit).drop("w", "s", "bits"))
+    hit = F.expr("coalesce(shiftright(bits, cast(s & 63 as int)) & 1, 0)") == 1
+    return (rows.withColumn("s", slot).withColumn("w", F.shiftrightunsigned("s", 6))
+            .join(F.broadcast(words), "w", "inner" if always is None else "left")
+            .where(hit if always is None else always | hit).drop("w", "s", "bits"))
 
 
 def near_lines(lines: DataFrame) -> DataFrame:
@@ -161,7 +162,7 @@ def near_lines(lines: DataFrame) -> DataFrame:
                           f"line-pairs-{i}"))
     pairs = save(reduce(DataFrame.unionByName, found).distinct(), "line-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("uid"))
-    some = save(_members(lines, ends).select("uid", "line", "first"), "line-members")
+    some = save(_members(lines, ends, "uid").select("uid", "line", "first"), "line-members")
     side = lambda s: some.select(F.col("uid").alias(s), F.col("line").alias(f"line_{s}"),
                                  F.col("first").alias(f"first_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -178,16 +179,23 @@ def repeats(docs: DataFrame) -> DataFrame:
     rows = _rows(docs)
     order = F.coalesce("doc_id", F.lit(_LAST))
     held = rows.select(order.alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
-    lines = (held.where(F.length("line") >= LEAST).groupBy("line").agg(F.min("doc").alias("first"))
-             .select(F.monotonically_increasing_id().alias("uid"), "line", F.length("line").alias("n"), "first"))
+    lines = (held.where(F.length("line") >= LEAST).groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+             .select(F.monotonically_increasing_id().alias("uid"), "line", F.length("line").alias("n"), "first", "last"))
     lines = save(lines.withColumn("bag", _letter_counts()), "line-distinct")
     near = save(near_lines(lines), "line-near")
-    judged = (lines.select("uid", _key(F.col("line")).alias("k"), "first")
-              .join(near.withColumn("near", F.lit(True)), "uid", "left").select("k", "first", "near"))
-    at = rows.select("doc_id", "h", order.alias("doc"), F.posexplode("lines").alias("pos", "line"))
-    at = (at.where(F.length("line") >= LEAST).select("doc_id", "h", "doc", "pos", _key(F.col("line")).alias("k")))
+    # a line that stands in one document only, and is near no other, can only repeat inside that document
+    judged = save(lines.join(near.withColumn("near", F.lit(True)), "uid", "left").where("near or last > first")
+                  .select(_key(F.col("line")).alias("k"), "first", "near"), "line-judged")
+    full = F.filter("lines", lambda x: F.length(x) >= LEAST)
+    # counted before the lines are dealt out, as beside a generator it would be counted for each line
+    marked = rows.withColumn("twice", F.size(F.array_distinct(full)) < F.size(full))
+    at = (marked.select("doc_id", "h", order.alias("doc"), "twice", F.posexplode("lines").alias("pos", "line"))
+          .where(F.length("line") >= LEAST))
+    at = at.select("doc_id", "h", "doc", "twice", "pos", _key(F.col("line")).alias("k"))
+    at = _members(at, judged, "k", F.col("twice"))
     per_doc = at.groupBy("doc_id", "h", "doc", "k").agg(F.sort_array(F.collect_set("pos")).alias("at"))
-    gone = (per_doc.join(judged, "k").withColumn("all", F.coalesce("near", F.lit(False)) | (F.col("doc") > F.col("first")))
+    gone = (per_doc.join(judged, "k", "left")
+            .withColumn("all", F.coalesce("near", F.lit(False)) | F.coalesce(F.col("doc") > F.col("first"), F.lit(False)))
             .where(F.col("all") | (F.size("at") > 1))
             .select("doc_id", "h", F.when(F.col("all"), F.col("at")).otherwise(F.expr("slice(at, 2, size(at))")).alias("at")))
     gone = (gone.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g"))
