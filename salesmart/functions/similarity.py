@@ -10,7 +10,7 @@ The scorer runs in an Arrow-batched pandas UDF. It is the only per-row
 Python in the matching path and it is kept small: the LCS length is the
 bit-parallel algorithm (one pass over b with integer bit operations), so a
 pair costs O(len b) big-integer steps. It is only ever called on *distinct*
-values against a bounded candidate list (see ``operators.matching``).
+values: cities against a literal list, descriptions in blocks (``operators.fuzzy``).
 """
 
 from __future__ import annotations
