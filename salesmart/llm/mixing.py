@@ -5,14 +5,20 @@ Token mass is raked to three marginals: source, language and topic. Topics come
 ``other`` and keep their share. Source targets are the sources' token shares to the power
 ``TEMPERATURE``, so that a dominant source gives way to small ones.
 
-A cell's calibrated mass is its token mass times a source, a language and a topic factor, never more
-than ``1 / RATE`` times its mass; ``RATE`` times that is the share of the cell to sample, so every
-document has a probability of at most 1. Documents are drawn by a hash of seed and doc_id.
+A cell's calibrated mass is its token mass times a source, a language and a topic factor, without a
+limit. The sampling rate is ``RATE``, or 1 over the largest factor of a cell that has mass if that is
+less; rate times factor is the share of the cell to sample, so every document has a probability of at
+most 1 and the expected sample has the fitted marginals. A rare category with a large target lowers the
+rate, not the fit. Documents are drawn by a hash of seed and doc_id.
 
 One row per source holds its mass in each (language, topic) cell, at most as many cells as the
-targets name. A cycle fits the source factor inside the row, then one global aggregate (pre-summed in
-every task) returns the cells' sums, from which the language and topic factors follow. The driver
-only sees these few sums. The cycle runs ``CYCLES`` times.
+targets name. The source's factor follows from the others inside the row. A cycle is one global
+aggregate (pre-summed in every task) of the cells' sums, from which the language and topic factors
+follow; the driver only sees these few sums. Cycles end when language and topic shares are within
+``TOLERANCE`` of their targets (the source shares then hold by construction). Targets that no factors
+can meet (a topic that only stands in one source, say) end once ``STALL`` cycles gain less than a
+twentieth, or after ``CYCLES`` cycles, with a warning that names the rest.
+:func:`marginals` gives target and fitted share of each category.
 
 Null and empty texts have no tokens: they have no mass, but get their cell's probability like any
 document. Null source or language counts as the value ''. Rows of one doc_id (null: '') are drawn
@@ -22,17 +28,21 @@ kept by :func:`sample`.
 
 from __future__ import annotations
 
+import warnings
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import prepare, save, unused
-from salesmart.session import materialize
 
 LANG_TARGETS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
 TOPIC_TARGETS = {"prose": 0.70, "brief": 0.10, "table": 0.10, "licensed": 0.10}
 TEMPERATURE = 0.5
 RATE = 0.5
-CYCLES = 12
+TOLERANCE = 1e-6
+CYCLES = 200
+STALL = 10
 SEED = "mix-1"
 OTHER = "other"
 
@@ -70,8 +80,18 @@ def _full_targets(targets: dict[str, float], mass: dict[str, float]) -> dict[str
     return out | ({OTHER: rest} if rest > 0 else {})
 
 
-def factors(described: DataFrame) -> DataFrame | None:
-    """source, fit: an array with one factor per (language, topic) cell. None if there is no mass."""
+class Fit(NamedTuple):
+    """Fitted factors: by_source has source, fit (a factor for each (language, topic) cell), has_mass (for each cell),
+    own (mass) and target (share times total mass)."""
+    by_source: DataFrame
+    rate: float
+    cycles: int
+    residual: float
+    shares: list[tuple[str, str, float, float]]
+
+
+def factors(described: DataFrame) -> Fit | None:
+    """The fit; shares are (axis, category, target, fitted) of language and topic. None if there is no mass."""
     cells = [(a, b) for a in [*LANG_TARGETS, OTHER] for b in [*TOPIC_TARGETS, OTHER]]
     lang, kind = _named(F.col("lang"), LANG_TARGETS), _named(F.col("topic"), TOPIC_TARGETS)
     mass = described.groupBy("source").agg(*[
@@ -96,30 +116,60 @@ def factors(described: DataFrame) -> DataFrame | None:
     want = [_full_targets(t, marginal(axis, base)) for axis, t in enumerate((LANG_TARGETS, TOPIC_TARGETS))]
     fit: list[dict[str, float]] = [dict.fromkeys(w, 1.0) for w in want]
     target = F.pow("own", F.lit(TEMPERATURE)) / F.lit(float(sums["z"])) * F.lit(float(total))
-    # the source's factor is carried as a column, the few other factors as literals
-    state = rows.withColumn("s", F.lit(1.0))
-
-    def cell_factors(source_factor: str) -> Column:
-        both = [fit[0].get(a, 0.0) * fit[1].get(b, 0.0) for a, b in cells]
-        return F.array(*[F.least(F.lit(1.0 / RATE), F.col(source_factor) * F.lit(x)) for x in both])
-
-    def weighed(source_factor: str) -> Column:
-        return F.zip_with("m", cell_factors(source_factor), lambda m, f: m * f)
-
-    for _ in range(CYCLES):
-        state = state.withColumn("now", F.aggregate(weighed("s"), F.lit(0.0), lambda x, y: x + y))
-        state = state.withColumn("s", F.when(F.col("now") > 0, F.col("s") * target / F.col("now")).otherwise(0.0))
-        state = materialize(state.select("source", "m", "own", "s"), "mix-cycle")
-        w = weighed("s")
-        got = state.select(w.alias("w")).agg(*[F.sum(F.col("w")[i]).alias(f"w{i}") for i in range(len(cells))]).first()
-        sums_now = list(got)
+    dot = F.lit(0.0)
+
+    def with_source_factor() -> DataFrame:
+        """s: the source's factor that meets its target, given the few other factors (literals)."""
+        both = F.array(*[F.lit(fit[0].get(a, 0.0) * fit[1].get(b, 0.0)) for a, b in cells])
+        now = F.aggregate(F.zip_with("m", both, lambda m, f: m * f), dot, lambda x, y: x + y)
+        return (rows.withColumn("target", target).withColumn("both", both).withColumn("now", now)
+                .withColumn("s", F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(0.0)))
+
+    cycles, history = 0, []
+    while True:
+        state = with_source_factor()
+        w = state.select(F.expr("posexplode(zip_with(m, both, (x, f) -> x * f * s))").alias("cell", "w"))
+        got = {r["cell"]: r["w"] for r in w.groupBy("cell").agg(F.sum("w").alias("w")).collect()}
+        sums_now = [got[i] for i in range(len(cells))]
+        mass_now = sum(sums_now)
+        shares = [(axis, k, want[i][k], v / mass_now) for i, axis in enumerate(("lang", "topic"))
+                  for k, v in marginal(i, sums_now).items() if k in want[i]]
+        residual = max(abs(x[2] - x[3]) for x in shares)
+        history.append(residual)
+        if residual <= TOLERANCE or cycles == CYCLES or (cycles >= STALL and residual > 0.95 * history[-1 - STALL]):
+            break
+        cycles += 1
         for axis in (0, 1):
             now = marginal(axis, sums_now)
-            mass_now = sum(now.values())
             step = {k: want[axis][k] * mass_now / now[k] if now[k] > 0 else 1.0 for k in fit[axis]}
             fit[axis] = {k: f * step[k] for k, f in fit[axis].items()}
             sums_now = [v * step.get(cell[axis], 0.0) for cell, v in zip(cells, sums_now, strict=True)]
-    return state.select("source", cell_factors("s").alias("fit"))
+    if residual > TOLERANCE:
+        warnings.warn(f"mixing: after {cycles} cycles a share is still {residual:.6f} from its target", stacklevel=2)
+    by_source = save(state.select("source", "own", "target", F.transform("m", lambda m: m > 0).alias("has_mass"),
+                                  F.transform("both", lambda x: x * F.col("s")).alias("fit")), "mix-factors")
+    largest = by_source.agg(F.max(F.array_max(F.zip_with("fit", "has_mass", lambda f, has: F.when(has, f))))).first()[0]
+    return Fit(by_source, min(RATE, 1.0 / largest), cycles, residual, shares)
+
+
+def _prob(fit: Column, cell: Column, rate: float) -> Column:
+    """Share of the cell to sample; only cells without mass can have a factor above 1 / rate."""
+    return F.round(F.least(F.lit(1.0), F.lit(rate) * F.coalesce(F.element_at(fit, cell), F.lit(0.0))), 9)
+
+
+def marginals(docs: DataFrame) -> DataFrame:
+    """axis, category, target, fitted: the wanted and the reached share of token mass of each category."""
+    spark = docs.sparkSession
+    prepare(spark)
+    fitted = factors(save(_described(docs), "mix-rows"))
+    schema = "axis string, category string, target double, fitted double"
+    if fitted is None:
+        return spark.createDataFrame([], schema)
+    out = (fitted.by_source.crossJoin(F.broadcast(fitted.by_source.agg(F.sum("own").alias("total"))))
+           .where("own > 0").select(F.lit("source").alias("axis"), F.col("source").alias("category"),
+                                    (F.col("target") / F.col("total")).alias("target"),
+                                    (F.col("target") / F.col("total")).alias("fitted")))
+    return out.unionByName(spark.createDataFrame(fitted.shares, schema))
 
 
 def _cell_index(lang: Column, kind: Column) -> Column:
@@ -143,8 +193,8 @@ def calibrate(docs: DataFrame) -> DataFrame:
     if fitted is None:
         out = rows.withColumn("prob", F.lit(float(RATE)))
     else:
-        out = (rows.join(fitted, "source", "left")
-               .withColumn("prob", F.round(F.lit(RATE) * F.coalesce(F.element_at("fit", _cell_index(F.col("lang"), F.col("topic"))), F.lit(0.0)), 9)))
+        out = (rows.join(fitted.by_source.select("source", "fit"), "source", "left")
+               .withColumn("prob", _prob(F.col("fit"), _cell_index(F.col("lang"), F.col("topic")), fitted.rate)))
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", "prob", (_uniform() < F.col("prob")).alias("sampled"))
 
 
@@ -156,9 +206,10 @@ def sample(docs: DataFrame) -> DataFrame:
         return docs.where(_uniform() < RATE)
     # names that no column of the documents has
     key, kind, fit = (unused(docs, n) for n in ("mix_source", "mix_topic", "mix_fit"))
-    fitted = fitted.select(F.col("source").alias(key), F.col("fit").alias(fit))
+    rate = fitted.rate
+    fitted = fitted.by_source.select(F.col("source").alias(key), F.col("fit").alias(fit))
     with_topic = docs.withColumn(kind, topic(F.col("text"), n_tokens(F.col("text"))))
     cell = _cell_index(F.coalesce("lang", F.lit("")), F.col(kind))
-    prob = F.round(F.lit(RATE) * F.element_at(F.col(fit), cell), 9)
+    prob = _prob(F.col(fit), cell, rate)
     joined = with_topic.join(fitted, F.coalesce(with_topic["source"], F.lit("")) == fitted[key], "left")
-    return joined.where(_uniform() < F.coalesce(prob, F.lit(0.0))).select(*docs.columns)
+    return joined.where(_uniform() < prob).select(*docs.columns)

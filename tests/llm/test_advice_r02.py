@@ -1,0 +1,21 @@
+"""Cases of the second review: whole results where a limit or a common group used to cut them."""
+
+from pyspark.sql import functions as F
+
+from salesmart.llm import mixing
+
+
+def test_mixing_meets_far_targets(spark):
+    # briefs have a hundredth of the mass, their target is a tenth: ten times their share
+    words = " ".join(["word"] * 200)
+    rows = [(i, words if i % 5 else "few words here " * 4, ("en", "de", "fr", "es")[i % 4], f"src{i % 3}") for i in range(300)]
+    rows += [(1000 + i, t, "en", f"src{i % 3}") for i in range(12) for t in ("a | b " + words, "licence " + words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.calibrate(docs).withColumn("mass", F.col("prob") * F.col("n_tokens")).cache()
+    total = got.agg(F.sum("mass")).first()[0]
+    for axis, targets in (("topic", mixing.TOPIC_TARGETS), ("lang", mixing.LANG_TARGETS)):
+        share = {r[0]: r[1] / total for r in got.groupBy(axis).agg(F.sum("mass")).collect()}
+        assert all(abs(share[k] - v) < 1e-5 for k, v in targets.items()), (axis, share)
+    assert got.agg(F.max("prob")).first()[0] <= 1
+    told = mixing.marginals(docs).collect()
+    assert len(told) == 11 and all(abs(r.target - r.fitted) < 1e-5 for r in told)
