@@ -7,6 +7,10 @@ shared minimum, so bands of registers are the locality-sensitive keys. A candida
 judged by the joint likelihood of its registers given both exact set sizes (only pairs five sigmas
 below the limit go), then confirmed on the full shingle sets of both texts.
 
+The limit is an argument: ``SIMILARITY`` (85/100) for the query, ``STAGE_SIMILARITY`` (80/100) for the
+pipeline's stage. A lower limit takes more registers, so that a pair right at the limit shares no
+band with a probability of at most ``MISS``.
+
 No group is expanded into all its pairs. Documents of equal sets form a class with one
 representative. In each bucket every member is first compared with the bucket's smallest member;
 what that links becomes components. Members of buckets that still hold several components go
@@ -21,7 +25,8 @@ share its component. Extra columns are ignored by :func:`components`, and kept b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -31,22 +36,36 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import bitmap_of, connected_components, maybe_in, prepare, save
 from salesmart.llm.textkernel import mix, shingle_set
 
-REGISTERS, BAND = 64, 4
+BAND, MISS = 4, 1e-5
 BASE, RATE = 1.001, 20.0
 SIMILARITY = (85, 100)
-_SEED = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64))
-_ODD = mix(np.arange(1001, 1001 + REGISTERS, dtype=np.uint64)) | np.uint64(1)
-_KEY = mix(np.arange(5001, 5001 + REGISTERS, dtype=np.uint64)) | np.uint64(1)
+STAGE_SIMILARITY = (80, 100)
+
+
+def n_registers(similarity: tuple[int, int]) -> int:
+    """As many as miss a pair at the limit in all bands with a probability of at most MISS."""
+    num, den = similarity
+    return BAND * ceil(log(MISS) / log(1 - (num / den) ** BAND))
+
+
+REGISTERS = n_registers(SIMILARITY)
+_MOST = 1000
+_SEED = mix(np.arange(1, 1 + _MOST, dtype=np.uint64))
+_ODD = mix(np.arange(1001, 1001 + _MOST, dtype=np.uint64)) | np.uint64(1)
+_KEY = mix(np.arange(5001, 5001 + _MOST, dtype=np.uint64)) | np.uint64(1)
 _STEP = 4096
 
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, reg binary, bands array<long>"
 
 
-def registers(items: np.ndarray) -> np.ndarray:
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def registers(items: np.ndarray, count: int = REGISTERS) -> np.ndarray:
     """SetSketch of a set of 64-bit hashes; sketches of parts merge by element-wise maximum."""
-    low = np.full(REGISTERS, np.uint64(2**64 - 1))
+    low = np.full(count, np.uint64(2**64 - 1))
     for i in range(0, items.size, _STEP):
-        part = (items[i: i + _STEP][None, :] ^ _SEED[:, None]) * _ODD[:, None]
+        part = (items[i: i + _STEP][None, :] ^ _SEED[:count, None]) * _ODD[:count, None]
         part ^= part >> np.uint64(32)
         part *= np.uint64(0xD6E8FEB86659FD93)
         low = np.minimum(low, part.min(axis=1))
@@ -56,11 +75,15 @@ def registers(items: np.ndarray) -> np.ndarray:
 
 def bands_of(reg: np.ndarray) -> np.ndarray:
     """One key for each band of ``BAND`` registers."""
-    part = (reg.astype(np.uint64) + np.uint64(1)) * _KEY
-    return mix(part.reshape(-1, BAND).sum(axis=1, dtype=np.uint64) + np.arange(REGISTERS // BAND, dtype=np.uint64))
+    part = (reg.astype(np.uint64) + np.uint64(1)) * _KEY[:reg.size]
+    return mix(part.reshape(-1, BAND).sum(axis=1, dtype=np.uint64) + np.arange(reg.size // BAND, dtype=np.uint64))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(count: int) -> Batches:
+    return lambda batches: _sketched(batches, count)
+
+
+def _sketched(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
                         ("reg", pa.binary()), ("bands", pa.list_(pa.int64()))])
     for batch in batches:
@@ -70,7 +93,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(items.size)
             f1.append(int(mix(items).sum(dtype=np.uint64).view(np.int64)))
             f2.append(int(mix(items ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
-            reg = registers(items) if items.size else None
+            reg = registers(items, count) if items.size else None
             regs.append(None if reg is None else reg.tobytes())
             bands.append([] if reg is None else bands_of(reg).view(np.int64).tolist())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
@@ -78,21 +101,25 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(bands, pa.list_(pa.int64()))], schema=schema)
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(similarity: tuple[int, int]) -> Batches:
+    return lambda batches: _likely_pairs(batches, similarity)
+
+
+def _likely_pairs(batches: Iterator[pa.RecordBatch], similarity: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Pairs whose registers do not speak against the similarity (log-likelihood ratio under 12.5)."""
-    num, den = SIMILARITY
-    limit = num / den
+    num, den = similarity
+    limit, count = num / den, n_registers(similarity)
     grid = np.linspace(0.0, 1.0, 101)[None, :]
 
     def share(x):
         return -np.log(np.maximum(1 - np.clip(x, 1e-9, 1) * (BASE - 1) / BASE, 1e-300)) / np.log(BASE)
 
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, count)
                 for c in ("reg_a", "reg_b"))
         na, nb = (batch.column(c).to_numpy().astype(float)[:, None] for c in ("n_a", "n_b"))
         up, down = ((a > b).sum(1), (a < b).sum(1))
-        same = REGISTERS - up - down
+        same = count - up - down
         u, v = na / (na + nb), nb / (na + nb)
         j = np.minimum(grid, np.minimum(u / v, v / u))
         p, q = share(u - v * j), share(v - u * j)
@@ -103,9 +130,13 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(best - above <= 12.5)).select(["a", "b"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with 100 * intersection >= 85 * union on the full sets."""
-    num, den = SIMILARITY
+def _confirm(similarity: tuple[int, int]) -> Batches:
+    return lambda batches: _confirmed(batches, similarity)
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch], similarity: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Pairs with den * intersection >= num * union on the full sets."""
+    num, den = similarity
     for batch in batches:
         keep, last, own = [], None, None
         for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
@@ -117,18 +148,18 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, similarity: tuple[int, int], name: str) -> DataFrame:
     """Candidate pairs (a, b) -> those confirmed."""
-    num, den = SIMILARITY
+    num, den = similarity
     side = lambda s: reps.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("reg").alias(f"reg_{s}"))
     sized = (pairs.join(side("a"), "a").join(side("b"), "b")
              .where(f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b)"))
-    likely = save(sized.mapInArrow(_likely, "a long, b long"), f"{name}-likely")
+    likely = save(sized.mapInArrow(_likely(similarity), "a long, b long"), f"{name}-likely")
     wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id"))
     found = maybe_in(texts, "doc_id", bitmap_of(wanted, "doc_id"))
     text = lambda s: found.select(F.col("doc_id").alias(s), F.col("data").alias(f"text_{s}"))
     full = likely.join(text("a"), "a").join(text("b"), "b")
-    return save(full.mapInArrow(_confirm, "a long, b long").distinct(), f"{name}-links")
+    return save(full.mapInArrow(_confirm(similarity), "a long, b long").distinct(), f"{name}-links")
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,14 +174,14 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["rep", "c", "n", "h"])
 
 
-def _prefix_pairs(involved: DataFrame, texts: DataFrame) -> DataFrame:
+def _prefix_pairs(involved: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs of different components that may reach the similarity, by an exact prefix filter.
 
     Shingles are ordered from rare to frequent. Two sets that reach the similarity share one of their
-    first ``n - ceil(0.85 n) + 1`` shingles, at positions that leave room for enough common ones.
+    first ``n - ceil(similarity * n) + 1`` shingles, at positions that leave room for enough common ones.
     Members of a large bucket that are merely alike differ in their rare shingles and form no pair.
     """
-    num, den = SIMILARITY
+    num, den = similarity
     found = maybe_in(texts, "doc_id", bitmap_of(involved, "rep"))
     items = save(found.join(involved, found["doc_id"] == involved["rep"]).select("rep", "c", "data")
                  .mapInArrow(_items, "rep long, c long, n long, h long").distinct(), "near-items")
@@ -167,12 +198,12 @@ def _prefix_pairs(involved: DataFrame, texts: DataFrame) -> DataFrame:
             .select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct())
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row for each row of ``docs``."""
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
-    sketch = save(texts.mapInArrow(_sketch, SKETCH), "near-sketch")
+    sketch = save(texts.mapInArrow(_sketch(n_registers(similarity)), SKETCH), "near-sketch")
     reps = save(sketch.where("n_shingles > 0 and doc_id is not null")
                 .groupBy(F.col("n_shingles").alias("n"), "f1", "f2", "reg", "bands")
                 .agg(F.min("doc_id").alias("rep")), "near-reps")
@@ -180,15 +211,15 @@ def components(docs: DataFrame) -> DataFrame:
     pivots = rows.groupBy("key").agg(F.min("rep").alias("p"), F.count("*").alias("k")).where("k > 1").drop("k")
     buckets = save(rows.join(pivots, "key"), "near-buckets")
     first = _verified(buckets.where("rep <> p").select(F.col("p").alias("a"), F.col("rep").alias("b")).distinct(),
-                      reps, texts, "near-1")
+                      reps, texts, similarity, "near-1")
     label = connected_components(first, "near-1")
     named = (buckets.join(label.select(F.col("node").alias("rep"), F.col("comp").alias("c")), "rep", "left")
              .join(label.select(F.col("node").alias("p"), F.col("comp").alias("pc")), "p", "left")
              .select("key", "rep", F.coalesce("c", "rep").alias("c"), F.coalesce("pc", "p").alias("pc")))
     mixed = named.where("c <> pc").select("key").distinct()
     involved = save(named.join(mixed, "key", "left_semi").select("rep", "c").distinct(), "near-open")
-    rest = _prefix_pairs(involved, texts)
-    second = _verified(rest, reps, texts, "near-2")
+    rest = _prefix_pairs(involved, texts, similarity)
+    second = _verified(rest, reps, texts, similarity, "near-2")
     comps = connected_components(first.unionByName(second), "near-2")
     classes = (reps.join(comps, reps["rep"] == comps["node"], "left")
                .select(F.col("n").alias("n_shingles"), "f1", "f2", F.coalesce("comp", "rep").alias("comp")))
@@ -198,12 +229,12 @@ def components(docs: DataFrame) -> DataFrame:
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """The documents of ``docs`` (all columns), one of each group: the one with the smallest doc_id.
 
     A row that repeats a kept doc_id with the same text goes too; rows with a null doc_id stay.
     """
-    gone = components(docs).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = components(docs, similarity).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
     kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
     return _first_rows(kept)
 

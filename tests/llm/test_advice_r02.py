@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from salesmart.llm import mixing
+import corpus_pipeline
+from salesmart.llm import mixing, near_dedup
+from tests.llm.fixtures import shingle_set
 
 
 def test_mixing_meets_far_targets(spark):
@@ -19,3 +21,17 @@ def test_mixing_meets_far_targets(spark):
     assert got.agg(F.max("prob")).first()[0] <= 1
     told = mixing.marginals(docs).collect()
     assert len(told) == 11 and all(abs(r.target - r.fitted) < 1e-5 for r in told)
+
+
+def test_near_dedup_stage_links_from_four_fifths(spark):
+    # 104 words make 100 shingles; one changed word in the middle of each copy takes 5 of them
+    rows = []
+    for g in range(8):
+        words = [f"w{g}x{i}" for i in range(104)]
+        other = [*words[:30], "other", *words[31:70], "changed", *words[71:]]
+        rows += [(10 * g, " ".join(words)), (10 * g + 1, " ".join(other))]
+    a, b = (shingle_set(t) for _, t in rows[:2])
+    assert 80 <= 100 * len(a & b) / len(a | b) < 85
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in corpus_pipeline.dedup_documents(spark, docs, "").collect()} == {10 * g for g in range(8)}
+    assert near_dedup.components(docs).where("kept").count() == 16
