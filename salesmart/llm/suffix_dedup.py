@@ -16,7 +16,8 @@ needed (equal strings together, first place first) comes from grouped minima on
 
 Null and empty texts, and texts under MATCH bytes, keep all bytes. Documents with a null doc_id come
 last and count as one place. Rows of one doc_id with different texts share their place: neither is
-earlier than the other. Very long texts are parsed in blocks that overlap by MATCH - 1 bytes.
+earlier than the other, but each has its own spans, as phrases and spans are kept by doc_id and a hash
+of the text. Very long texts are parsed in blocks that overlap by MATCH - 1 bytes.
 Extra columns are ignored.
 """
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import BITMAP_BITS, bitmap_of, discard, maybe_in, prepare, save
@@ -115,28 +116,37 @@ def _batches(names: list[str], parts: Iterator[list[np.ndarray]], rows: int = 10
 
 
 def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) -> one row for each distinct phrase of the document."""
+    """(doc, h, text) -> one row for each distinct phrase of the document."""
     def rows() -> Iterator[list[np.ndarray]]:
         for batch in batches:
-            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, h, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for _, p in parses(data):
                     _, first = np.unique(p.c1, return_index=True)
-                    yield [*(_signed(x[first]) for x in (p.g, p.c1, p.c2)), np.full(first.size, doc)]
+                    yield [*(_signed(x[first]) for x in (p.g, p.c1, p.c2)), np.full(first.size, doc),
+                           np.full(first.size, h)]
 
-    yield from _batches(["g", "c1", "c2", "doc"], rows())
+    yield from _batches(["g", "c1", "c2", "doc", "h"], rows())
+
+
+def _text_hash() -> Column:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return F.xxhash64(text, F.length(text))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """doc, spans: for each document with removed bytes its maximal removed runs (array of start, end)."""
+    """doc, h, spans: for each text with removed bytes its removed runs (array of start, end)."""
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.col("text").cast("binary").alias("data"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), _text_hash().alias("h"),
+                        F.col("text").cast("binary").alias("data"))
     texts = texts.where(F.length("data") >= MATCH)
-    parse = texts.mapInArrow(_phrases, "g long, c1 long, c2 long, doc long")
+    phrases = "g long, c1 long, c2 long, doc long, h long"
+    parse = texts.mapInArrow(_phrases, phrases)
     # the dictionary: each phrase, its first document and whether others have it
-    entries = save(parse.groupBy("g", "c1", "c2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")),
+    entries = save(parse.groupBy("g", "c1", "c2").agg(F.min(F.struct("doc", "h")).alias("own"), F.max("doc").alias("last"))
+                   .select("g", "c1", "c2", F.col("own.doc").alias("first"), F.col("own.h").alias("h"), "last"),
                    "phrase-dictionary")
     mixed = (entries.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
-    partial = save(entries.join(mixed, "g").select("g", "c1", "c2", "first"), "phrase-partial")
+    partial = save(entries.join(mixed, "g").select("c1", "c2", "first", "h"), "phrase-partial")
     common = save(entries.where("last > first").select("c1", "c2", "first"), "phrase-common")
     discard(entries)
     told = spark.sparkContext.broadcast(_bitmap(common, "c1"))
@@ -147,7 +157,7 @@ def repeated(docs: DataFrame) -> DataFrame:
 
         def rows() -> Iterator[list[np.ndarray]]:
             for batch in batches:
-                for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for doc, h, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     seen = np.empty(0, dtype=np.uint64)
                     for at, p in parses(data):
                         found, first = np.unique(p.c1, return_index=True)
@@ -155,15 +165,15 @@ def repeated(docs: DataFrame) -> DataFrame:
                         again[first] = np.isin(found, seen)
                         seen = np.union1d(seen, found)
                         own = np.flatnonzero(again | _has(often, p.c1))
-                        yield [np.full(own.size, doc), p.lo[own] + at, p.hi[own] + at + MATCH,
+                        yield [np.full(own.size, doc), np.full(own.size, h), p.lo[own] + at, p.hi[own] + at + MATCH,
                                _signed(p.c1[own]), _signed(p.c2[own]), again[own]]
 
-        yield from _batches(["doc", "s", "e", "c1", "c2", "again"], rows())
+        yield from _batches(["doc", "h", "s", "e", "c1", "c2", "again"], rows())
 
-    held = save(texts.mapInArrow(occurrences, "doc long, s long, e long, c1 long, c2 long, again boolean"),
+    held = save(texts.mapInArrow(occurrences, "doc long, h long, s long, e long, c1 long, c2 long, again boolean"),
                 "phrase-places")
     whole = (held.where("not again").join(common.select("c1", "c2", "first"), ["c1", "c2"]).where("first < doc")
-             .select("doc", "s", "e").unionByName(held.where("again").select("doc", "s", "e")))
+             .select("doc", "h", "s", "e").unionByName(held.where("again").select("doc", "h", "s", "e")))
 
     def windows(repeated_hashes=None):
         """mapInArrow function: windows of the wanted phrases; all hashes, or the places of those in a bitmap.
@@ -173,7 +183,7 @@ def repeated(docs: DataFrame) -> DataFrame:
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             for batch in batches:
-                for doc, data, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for doc, h, data, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     wanted, done = np.array(own, dtype=np.int64), np.empty(0, dtype=np.int64)
                     kept: list[tuple[np.ndarray, ...]] = []  # places in the document, at most its length
                     for at, p in parses(data):
@@ -196,34 +206,44 @@ def repeated(docs: DataFrame) -> DataFrame:
                         start, a, b = start[order], a[order], b[order]
                         again = np.zeros(start.size, dtype=bool)
                         again[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-                        yield [np.full(start.size, doc), start, a, b, again]
+                        yield [np.full(start.size, doc), np.full(start.size, h), start, a, b, again]
 
-        names = ["a"] if repeated_hashes is None else ["doc", "s", "a", "b", "again"]
+        names = ["a"] if repeated_hashes is None else ["doc", "h", "s", "a", "b", "again"]
         return lambda batches: _batches(names, rows(batches))
 
-    need = partial.groupBy("first").agg(F.collect_list("c1").alias("own"))  # phrases of one document
+    # phrases of one text; where several texts share the first place, each owns those that it holds
+    several = save(texts.groupBy("doc").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi")
+                   .select("doc"), "phrase-several")
+    owners = partial.select("first", F.col("h").alias("first_h"), "c1")
+    if not several.isEmpty():
+        again = texts.join(several, "doc", "left_semi").select("doc", "h", "data").mapInArrow(_phrases, phrases)
+        owners = owners.unionByName(
+            again.join(partial.select("c1", "c2", "first"), ["c1", "c2"]).where("doc = first")
+            .select("first", F.col("h").alias("first_h"), "c1"))
+    need = save(owners.groupBy("first", "first_h").agg(F.collect_set("c1").alias("own")), "phrase-owners")
     near = maybe_in(texts, "doc", bitmap_of(need, "first"))
-    owned = near.join(need, near["doc"] == need["first"]).select("doc", "data", "own")
+    owned = near.join(need, (near["doc"] == need["first"]) & (near["h"] == need["first_h"])).select("doc", "h", "data", "own")
     # most windows stand once: their hashes are counted first, places are only kept of the others
     twice = save(owned.mapInArrow(windows(), "a long").groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
                  .select("a"), "window-repeated")
     often_windows = spark.sparkContext.broadcast(_bitmap(twice, "a"))
-    placed = save(owned.mapInArrow(windows(often_windows), "doc long, s long, a long, b long, again boolean"), "phrase-windows")
-    discard(twice)
-    once = placed.where("not again").select("doc", "s", "a", "b")
+    placed = save(owned.mapInArrow(windows(often_windows), "doc long, h long, s long, a long, b long, again boolean"),
+                  "phrase-windows")
+    discard(twice, need, several)
+    once = placed.where("not again").select("doc", "h", "s", "a", "b")
     earliest = (once.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
                 .where("last > first").select("a", "b", "first"))
-    later = (once.join(earliest, ["a", "b"]).where("doc > first").select("doc", "s")
-             .unionByName(placed.where("again").select("doc", "s")))
-    every = whole.unionByName(later.select("doc", "s", (F.col("s") + MATCH).alias("e")))
-    # a document's spans are bounded by its length
-    spans = save(every.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "phrase-spans")
+    later = (once.join(earliest, ["a", "b"]).where("doc > first").select("doc", "h", "s")
+             .unionByName(placed.where("again").select("doc", "h", "s")))
+    every = whole.unionByName(later.select("doc", "h", "s", (F.col("s") + MATCH).alias("e")))
+    # a text's spans are bounded by its length; rows that repeat it find the same ones
+    spans = save(every.groupBy("doc", "h").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "phrase-spans")
     discard(common, partial, held, placed)
     return spans
 
 
 def _merged(start: np.ndarray, end: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Maximal runs that the spans cover in a text of n bytes (rows of one doc_id can differ in length)."""
+    """Maximal runs that the spans cover in a text of n bytes."""
     order = np.argsort(start)
     start, end = start[order], np.minimum(np.maximum.accumulate(end[order]), n)
     start, end = start[start < n], end[start < n]
@@ -238,8 +258,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     spans = repeated(docs)
     place = F.coalesce("doc_id", F.lit(_LAST))
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"), place.alias("place"))
-    full = rows.join(spans, rows["place"] == spans["doc"], "left").select("doc_id", "data", "spans")
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"), place.alias("place"),
+                       _text_hash().alias("row_h"))
+    full = rows.join(spans, (rows["place"] == spans["doc"]) & (rows["row_h"] == spans["h"]), "left").select("doc_id", "data", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

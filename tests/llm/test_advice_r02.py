@@ -1,10 +1,13 @@
 """Cases of the second review: whole results where a limit or a common group used to cut them."""
 
+import hashlib
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from salesmart.llm import mixing, near_dedup
-from tests.llm.fixtures import shingle_set
+from salesmart.llm import mixing, near_dedup, suffix_dedup
+from tests.llm.fixtures import sentence, shingle_set
 
 
 def test_mixing_meets_far_targets(spark):
@@ -35,3 +38,33 @@ def test_near_dedup_stage_links_from_four_fifths(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r.doc_id for r in corpus_pipeline.dedup_documents(spark, docs, "").collect()} == {10 * g for g in range(8)}
     assert near_dedup.components(docs).where("kept").count() == 16
+
+
+def test_repeated_strings_by_text_not_only_by_id(spark):
+    rng = random.Random(8)
+    shared, *own = (sentence(rng, 60) for _ in range(6))
+    again = sentence(rng, 40)
+    rows = [(1, shared + own[0]), (None, shared + own[1]), (None, own[2] * 2), (None, own[3]),
+            (7, own[4] + shared), (7, again[::-1] + "; " + own[0][::-1]),
+            # the second text holds a phrase of the first one, and a part of it again
+            (9, again + " one " + own[1][::-1]), (9, own[2][::-1] + again + " two " + again[20:])]
+    texts = [(sentence(rng, 3) if i is None else "") + t for i, t in rows]
+    rows = [(i, t) for (i, _), t in zip(rows, texts, strict=True)] + [(None, texts[1])]
+    place = [1 << 62 if i is None else i for i, _ in rows]
+    first = {}
+    for at, (_, t) in zip(place, rows, strict=True):
+        for p in range(len(t) - 99):
+            first[t[p: p + 100]] = min(at, first.get(t[p: p + 100], at))
+    want = []
+    for at, (i, t) in zip(place, rows, strict=True):
+        gone, seen = [False] * len(t), set()
+        for p in range(len(t) - 99):
+            w = t[p: p + 100]
+            if first[w] < at or w in seen:
+                gone[p: p + 100] = [True] * 100
+            seen.add(w)
+        kept = "".join(c for c, g in zip(t, gone, strict=True) if not g)
+        want.append((-1 if i is None else i, sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(-1 if r.doc_id is None else r.doc_id, r.n_removed, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs).collect()]
+    assert sorted(got) == sorted(want)
