@@ -1,7 +1,10 @@
 """Line dedup by a segment-partition edit join (method 3, DataFrame functions only).
 
-A line repeats an earlier one if at most ``EDITS`` single-character edits lead from one to the other.
-Distinct lines are split into ``EDITS + 1`` segments; within that distance at least one segment
+A line repeats an earlier one if it is equal, whatever its length, or if few single-character edits lead
+from one to the other: ``EDITS`` where both have ``LEAST`` characters or more, one where the shorter
+has ``LEAST_ONE`` to ``LEAST - 1``, none below, where one edit makes another word.
+
+Lines of ``LEAST`` characters or more are split into ``EDITS + 1`` segments; within that distance at least one segment
 survives unchanged, near its place. So each line is indexed under its length and segments, and
 probes, for each length it may match, the few substrings that the positions of a surviving segment
 allow (multi-match-aware windows of PassJoin). Candidates whose counts of frequent letters differ by
@@ -11,7 +14,10 @@ bit-parallel edit distance: one word holds the ``2 * EDITS + 1`` diagonals of th
 Lines are ordered by the smallest doc_id that holds them (null last), then by the line's text. A line
 is removed from a document if it stands there already, if a smaller doc_id holds the same line, or
 if any line earlier in that order is within the distance. This is judged on the input, not on what
-is left. Lines shorter than ``LEAST`` characters are never removed and never cause a removal.
+is left. Blank lines (white space only) are never removed and never cause a removal.
+
+For one edit, the shorter lines meet under themselves and themselves without one character: lines one
+edit apart share such a key, and few distinct lines can share one, so there is no large group.
 
 Null and empty texts have no line to remove. Rows of one doc_id are told apart by their text; a row
 that repeats another is treated like it. Extra columns are ignored by :func:`repeats`, kept by
@@ -28,7 +34,8 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import BITMAP_BITS, prepare, save, unused
 
 EDITS = 2
-LEAST = 24
+LEAST = 12
+LEAST_ONE = 6
 LETTERS = "etanorihsdlcumwf"
 _LAST = (1 << 63) - 1
 
@@ -38,6 +45,10 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text, F.length(text)).alias("h"), F.split(text, "\n", -1).alias("lines"))
 
 
+def _full(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\x0b\x0c")) != ""
+
+
 def _key(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
@@ -173,24 +184,38 @@ def near_lines(lines: DataFrame) -> DataFrame:
     return middles.where(within_edits("x", "y")).select("uid").distinct()
 
 
+def near_short_lines(lines: DataFrame) -> DataFrame:
+    """uid of the lines that an earlier line is within one edit of, one of both being shorter than LEAST."""
+    short = lines.where(F.col("n").between(LEAST_ONE, LEAST))
+    less = F.transform(F.sequence(F.lit(1), F.col("n")),
+                       lambda i: F.concat(F.left("line", i - 1), F.substr(F.col("line"), i + 1)))
+    keyed = save(short.select("uid", "line", "n", "first", F.explode(F.array_distinct(F.concat(F.array("line"), less)))
+                              .alias("key")), "line-short")
+    side = lambda s: keyed.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("uid", "line", "n", "first")])
+    return (side("a").join(side("b"), "key")
+            .where((F.struct("first_a", "line_a") < F.struct("first_b", "line_b")) & (F.least("n_a", "n_b") < LEAST)
+                   & (F.levenshtein("line_a", "line_b") <= 1))
+            .select(F.col("uid_b").alias("uid")).distinct())
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, h, n_lines, n_removed, removed (line numbers from 0), for each row of ``docs``."""
     prepare(docs.sparkSession)
     rows = _rows(docs)
     order = F.coalesce("doc_id", F.lit(_LAST))
     held = rows.select(order.alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
-    lines = (held.where(F.length("line") >= LEAST).groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    lines = (held.where(_full(F.col("line"))).groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .select(F.monotonically_increasing_id().alias("uid"), "line", F.length("line").alias("n"), "first", "last"))
     lines = save(lines.withColumn("bag", _letter_counts()), "line-distinct")
-    near = save(near_lines(lines), "line-near")
+    near = save(near_lines(lines.where(F.col("n") >= LEAST)).unionByName(near_short_lines(lines)).distinct(), "line-near")
     # a line that stands in one document only, and is near no other, can only repeat inside that document
     judged = save(lines.join(near.withColumn("near", F.lit(True)), "uid", "left").where("near or last > first")
                   .select(_key(F.col("line")).alias("k"), "first", "near"), "line-judged")
-    full = F.filter("lines", lambda x: F.length(x) >= LEAST)
+    full = F.filter("lines", _full)
     # counted before the lines are dealt out, as beside a generator it would be counted for each line
     marked = rows.withColumn("twice", F.size(F.array_distinct(full)) < F.size(full))
     at = (marked.select("doc_id", "h", order.alias("doc"), "twice", F.posexplode("lines").alias("pos", "line"))
-          .where(F.length("line") >= LEAST))
+          .where(_full(F.col("line"))))
     at = at.select("doc_id", "h", "doc", "twice", "pos", _key(F.col("line")).alias("k"))
     at = _members(at, judged, "k", F.col("twice"))
     per_doc = at.groupBy("doc_id", "h", "doc", "k").agg(F.sort_array(F.collect_set("pos")).alias("at"))

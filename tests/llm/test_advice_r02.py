@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from salesmart.llm import mixing, near_dedup, suffix_dedup
+from salesmart.llm import line_dedup, mixing, near_dedup, suffix_dedup
 from tests.llm.fixtures import sentence, shingle_set
 
 
@@ -68,3 +68,34 @@ def test_repeated_strings_by_text_not_only_by_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = [(-1 if r.doc_id is None else r.doc_id, r.n_removed, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_line_repeats_of_short_lines(spark):
+    texts = ["All rights reserved.\nRead more\n\nok\nabc\n}", "All rights reserved.\n\nRead mora\nabd\nok",
+             "ok\nok\n  \n  \nAll rights reservd!\nFourteen chars\nRed more", "Fourten  chars\nRead  mor\n}\nsixsix\nsixs1x\nsxsi1x",
+             "twelve chars\ntwelv chars\ntwelv char", None, "\n\n"]
+
+    def edits(a, b):
+        prev = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            cur = [i]
+            for j, y in enumerate(b, 1):
+                cur.append(min(prev[j - 1] + (x != y), prev[j] + 1, cur[-1] + 1))
+            prev = cur
+        return prev[-1]
+
+    lines = [(t or "").split("\n") for t in texts]
+    first = {}
+    for i, own in enumerate(lines):
+        for x in own:
+            if x.strip():
+                first.setdefault(x, i)
+    order = sorted(first, key=lambda x: (first[x], x.encode()))
+    allowed = lambda n: 2 if n >= 12 else 1 if n >= 6 else 0
+    near = {x for k, x in enumerate(order) for y in order[:k] if edits(x, y) <= allowed(min(len(x), len(y)))}
+    want = [[p for p, x in enumerate(own) if x.strip() and (first[x] < i or x in near or x in own[:p])]
+            for i, own in enumerate(lines)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in line_dedup.repeats(docs).collect()}
+    assert got == dict(enumerate(want))
+    assert want[1] == [0, 2, 4] and want[2][:2] == [0, 1] and 4 in want[2]
