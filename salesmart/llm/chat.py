@@ -7,7 +7,7 @@ dropped by an anti-join; of conversations that are equal the smallest conv_id st
 number. What stays is rendered as ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn.
 
 Turns are ordered by turn (null first), then role, then text. Rows that repeat one (same conv_id,
-turn, role and text) count once. A null role or text counts as ''. Rows with a null conv_id form
+turn, role and text) count once; they are dropped by a grouped distinct before any window. A null role or text counts as ''. Rows with a null conv_id form
 one conversation of that id. An empty table gives an empty result; extra columns are ignored.
 """
 
@@ -24,10 +24,8 @@ _PARTS = ["p0", "p1", "p2", "p3"]
 def _turns(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                                 F.coalesce("text", F.lit("")).alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    row = F.struct("turn", "role", "text")
-    again = F.coalesce(F.lag(row).over(order).eqNullSafe(row), F.lit(False))
-    return rows.withColumn("again", again).where("not again").drop("again")
+    # before any window: a conversation of mostly repeats is reduced in every task
+    return rows.distinct()
 
 
 def prefixes(conversations: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from salesmart.llm import line_dedup, mixing, near_dedup, suffix_dedup
+from salesmart.llm import chat, line_dedup, mixing, near_dedup, suffix_dedup
 from tests.llm.fixtures import sentence, shingle_set
 
 
@@ -99,3 +99,13 @@ def test_line_repeats_of_short_lines(spark):
     got = {r.doc_id: r.removed for r in line_dedup.repeats(docs).collect()}
     assert got == dict(enumerate(want))
     assert want[1] == [0, 2, 4] and want[2][:2] == [0, 1] and 4 in want[2]
+
+
+def test_chat_repeats_go_before_the_windows(spark):
+    turns = [(1, 0, "user", "a")] * 300 + [(1, 1, "bot", "b")] * 300 + [(2, 0, "user", "a"), (None, 0, "user", "z")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    plan = chat.prefixes(df)._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [x.strip(" :+-").split(" ")[0] for x in plan.splitlines()]
+    assert "Window" in nodes and "Aggregate" in nodes[len(nodes) - nodes[::-1].index("Window"):]
+    got = {tuple(r) for r in chat.render(df).collect()}
+    assert {(r[0], r[1], r[2]) for r in got} == {(1, 2, 1), (None, 1, 1)}
