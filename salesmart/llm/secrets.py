@@ -5,11 +5,16 @@ to a password-like name (``assign``), access identifiers (``access``), long hexa
 
 Multipart linking adds weak candidates: opaque strings without a tell-tale name (``opaque``), key or
 user identifiers (``ident``) and endpoints (``endpoint``). Alone they mean nothing. Parts belong to
-a class (identifier: access, ident; secret: assign, hex, opaque; endpoint: endpoint); a weak
-candidate is reported only if parts of both other classes begin within ``SCOPE`` code points of it. The
-interval join keys parts by document and bin of SCOPE code points and meets the three bins around a
-candidate; a bin is first reduced to the smallest and largest start of each class, which decides the
-test exactly and keeps the join from making pairs. Base findings always stay.
+a class (identifier: access, ident; secret: assign, hex, opaque; endpoint: endpoint). Identifier and
+secret are complementary: an identifier or opaque string is reported if a part of the other class,
+which does not overlap it, is near; no endpoint is needed. A candidate that a base finding covers is
+reported already; it is listed again only if parts of both other classes are near. An endpoint is
+complementary to a pair only: it is reported if an identifier and a secret are near.
+Near is a gap of at most ``SCOPE`` code points between the end of one span and the start of the other,
+or starts that are no farther apart. The interval join keys parts by document and bin of SCOPE code
+points, once by their start and once by their end, and meets the bins around a candidate's start and end;
+a bin is first reduced to the smallest and largest start and end of each class, which decides the test
+exactly and keeps the join from making pairs. Base findings always stay.
 
 Null texts count as empty; a document without findings has empty lists. Rows that repeat a doc_id are
 told apart by their text; a repeated row gets the same result. Extra columns are ignored. Positions are code
@@ -18,6 +23,8 @@ points, the end is exclusive; spans are ``kind:start:end`` by start, then kind a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,22 +84,45 @@ def scan(docs: DataFrame) -> DataFrame:
     parts = (found.where(F.size(F.concat(*WEAK)) > 0).select("doc_id", "h", F.explode(every).alias("s"))
              .select("doc_id", "h", "s.*").distinct())
     kind_of = F.coalesce(*[F.when(F.col("kind") == k, F.lit(v[3])) for k, v in (BASE | WEAK).items()])
-    parts = save(parts.withColumn("class", kind_of).withColumn("bin", F.floor(F.col("start") / SCOPE)), "secret-rows")
-    ends = [f(F.when(F.col("class") == c, F.col("start"))).alias(f"{w}_{c}")
-            for c in CLASSES for w, f in (("lo", F.min), ("hi", F.max))]
-    bins = parts.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g"), F.col("bin").alias("near")).agg(*ends)
-    weak = parts.where(F.col("kind").isin(*WEAK)).withColumn(
-        "near_bin", F.explode(F.array(*[F.col("bin") + i for i in (-1, 0, 1)])))
+    bin_of = lambda c: F.floor(F.col(c) / SCOPE)
+    parts = save(parts.withColumn("class", kind_of), "secret-rows")
+    # each part at its start and at its end
+    both = parts.select("doc_id", "h", "class", F.explode(F.array(
+        F.struct(bin_of("start").alias("near"), F.col("start").alias("s"), F.lit(None).cast("int").alias("e")),
+        F.struct(bin_of("end").alias("near"), F.lit(None).cast("int").alias("s"), F.col("end").alias("e")))).alias("x"))
+    ends = [f(F.when(F.col("class") == c, F.col(f"x.{x}"))).alias(f"{w}_{x}_{c}")
+            for c in CLASSES for x in ("s", "e") for w, f in (("lo", F.min), ("hi", F.max))]
+    bins = both.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g"), F.col("x.near").alias("near")).agg(*ends)
+    weak = parts.where(F.col("kind").isin(*WEAK)).withColumn("near_bin", F.explode(F.array_distinct(F.array(
+        *[bin_of("start") + i for i in (-1, 0, 1)], *[bin_of("end") + i for i in (0, 1)]))))
     met = weak.join(bins, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))
                     & (F.col("near_bin") == F.col("near")))
-    within = lambda c: F.max(
-        (F.abs(F.col(f"lo_{c}") - F.col("start")) <= SCOPE) | (F.abs(F.col(f"hi_{c}") - F.col("start")) <= SCOPE))
+
+    def any_of(tests: list[Column]) -> Column:
+        return F.coalesce(F.max(reduce(lambda x, y: x | y, [F.coalesce(t, F.lit(False)) for t in tests])), F.lit(False))
+
+    def apart(c: str) -> list[Column]:
+        """A part of the class ends before, or starts after the candidate, with a gap of at most SCOPE."""
+        return [*[F.col(f"{w}_s_{c}").between(F.col("end"), F.col("end") + SCOPE) for w in ("lo", "hi")],
+                *[F.col(f"{w}_e_{c}").between(F.col("start") - SCOPE, F.col("start")) for w in ("lo", "hi")]]
+
+    def beside(c: str) -> list[Column]:
+        return [F.abs(F.col(f"{w}_s_{c}") - F.col("start")) <= SCOPE for w in ("lo", "hi")]
+
     keys = ["doc_id", "h", "start", "rank", "kind", "end", "class"]
-    seen = met.groupBy(*keys).agg(*[F.coalesce(within(c), F.lit(False)).alias(f"has_{c}") for c in CLASSES])
+    seen = met.groupBy(*keys).agg(*[any_of(apart(c)).alias(f"apart_{c}") for c in CLASSES],
+                                  *[any_of(apart(c) + beside(c)).alias(f"has_{c}") for c in CLASSES])
     full = F.lit(True)
     for c in CLASSES:
         full = full & ((F.col("class") == c) | F.col(f"has_{c}"))
-    linked = (seen.where(full).groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g"))
+    pair = (((F.col("class") == "identifier") & F.col("apart_secret"))
+            | ((F.col("class") == "secret") & F.col("apart_identifier")))
+    known = found.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), F.concat(*BASE).alias("base")).where(
+        F.size("base") > 0).distinct()
+    seen = seen.where(full | pair).withColumn("full", full).join(
+        known, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left").drop("d", "g")
+    covered = F.coalesce(F.exists("base", lambda b: (b["start"] <= F.col("start")) & (b["end"] >= F.col("end"))), F.lit(False))
+    linked = (seen.where(F.col("full") | ~covered).groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g"))
               .agg(F.collect_list(F.struct("start", "rank", "kind", "end")).alias("weak")))
     base = F.array_sort(F.concat(*BASE))
     out = found.join(linked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left")
