@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from salesmart.llm import ann, chat, decontaminate, langid, line_dedup, mixing, near_dedup, secrets, suffix_dedup, toxicity
+from salesmart.llm import (ann, chat, decontaminate, langid, line_dedup, mixing, near_dedup, secrets, suffix_dedup,
+                           toxicity, window_dedup)
 from salesmart.llm.common import table
 
 
@@ -51,14 +52,20 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixture, op2_secrets, op3_line_repeats, op4_chat, op5_benchmark_leaks, op6_repeated_strings,
-                            op7_near_duplicates, op8_toxicity, op9_language, op10_nearest_vectors, pipeline)}
+                            op7_near_duplicates, op8_toxicity, op9_language, op10_nearest_vectors,
+                            op13_repeated_passages, pipeline)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {"op4_chat": chat.RENDER_SQL, "op5_benchmark_leaks": decontaminate.LEAKS_SQL,
-                          "op6_repeated_strings": suffix_dedup.REPEATS_SQL, "op7_near_duplicates": near_dedup.COMPONENTS_SQL}
+                          "op6_repeated_strings": suffix_dedup.REPEATS_SQL, "op7_near_duplicates": near_dedup.COMPONENTS_SQL,
+                          "op13_repeated_passages": window_dedup.WINDOWS_SQL}
