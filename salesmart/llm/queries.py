@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from salesmart.llm import (ann, chat, decontaminate, langid, line_dedup, mixing, near_dedup, secrets, suffix_dedup,
-                           toxicity, window_dedup)
+from salesmart.llm import (ann, chat, decontaminate, langid, lexical, line_dedup, merkle, mixing, near_dedup, secrets,
+                           suffix_dedup, toxicity, window_dedup)
 from salesmart.llm.common import table
 
 
@@ -52,6 +52,14 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"), merkle.tampered()).drop("copied")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -63,9 +71,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixture, op2_secrets, op3_line_repeats, op4_chat, op5_benchmark_leaks, op6_repeated_strings,
                             op7_near_duplicates, op8_toxicity, op9_language, op10_nearest_vectors,
-                            op13_repeated_passages, pipeline)}
+                            op11_manifest, op12_ranked_search, op13_repeated_passages, pipeline)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {"op4_chat": chat.RENDER_SQL, "op5_benchmark_leaks": decontaminate.LEAKS_SQL,
                           "op6_repeated_strings": suffix_dedup.REPEATS_SQL, "op7_near_duplicates": near_dedup.COMPONENTS_SQL,
+                          "op11_manifest": merkle.AUDIT_SQL, "op12_ranked_search": lexical.SEARCH_SQL,
                           "op13_repeated_passages": window_dedup.WINDOWS_SQL}
