@@ -104,10 +104,10 @@ class Phrases:
                    + np.asarray(size).astype(np.uint64))
 
 
-def parses(data: bytes | None) -> Iterator[tuple[int, Phrases]]:
+def parses(data: bytes | None, size: int = BLOCK) -> Iterator[tuple[int, Phrases]]:
     """(index of the first word, phrases) of a text's overlapping blocks: every window is in one of them."""
     first, held = 0, np.empty(0, dtype=np.uint64)
-    for _, _, words in word_blocks(data):
+    for _, _, words in word_blocks(data, size):
         held = np.concatenate([held, words])
         if held.size >= WINDOW:
             yield first, Phrases(held)
