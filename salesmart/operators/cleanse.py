@@ -6,10 +6,9 @@ an older duplicate of a kept row (counted, not lost silently):
 
     rows(input) = rows(clean) + rows(rejected) + duplicates_removed
 
-All steps are column expressions or joins against bounded literal lists,
-except the fuzzy city step, which scores only the *distinct* unresolved
-normalised names (a pandas UDF over a 32-entry literal list) and joins the
-answers back.
+All steps are column expressions or joins against bounded literal lists. The
+fuzzy city step scores only the *distinct* unresolved normalised names, each
+against a literal list of 32, and joins the answers back.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions import text as tx
-from salesmart.functions.similarity import best_match_udf
+from salesmart.functions.similarity import ratios, sorted_tokens
 from salesmart.operators.fuzzy import best_matches
 from salesmart.sources import reference_data as rd
 
@@ -58,12 +57,14 @@ def clean_city(df: DataFrame, col: str, *, threshold: float = rd.CITY_FUZZY_THRE
     d = d.withColumn("_ex", F.try_element_at(F.filter(ordered, lambda a: a["k"] == F.col("_cn")), F.lit(1))["v"])
     hit = F.filter(ordered, lambda a: F.contains(F.col("_cn"), a["k"]) | F.contains(a["k"], F.col("_cn")))
     d = d.withColumn("_sub", F.try_element_at(hit, F.lit(1))["v"])
-    cand_norm = F.array(*[tx.normalize_text(F.lit(c)) for c in CANONICAL_CITIES])
+    cand_norm = F.array(*[sorted_tokens(tx.normalize_text(F.lit(c))) for c in CANONICAL_CITIES])
     cand_name = F.array(*[F.lit(c) for c in CANONICAL_CITIES])
     fuzzy = ~F.col("_blank") & F.col("_ex").isNull() & F.col("_sub").isNull()
-    best = best_match_udf("token_sort_ratio", threshold)(F.when(fuzzy, F.col("_cn")), cand_norm)
-    d = d.withColumn("_b", best)
-    d = d.withColumn("_fz", F.try_element_at(cand_name, F.col("_b.idx"))).withColumn("_fzs", F.col("_b.score") / 100)
+    # the first city of the highest token-sort similarity
+    scores = ratios(sorted_tokens(F.when(fuzzy, F.col("_cn"))), cand_norm)
+    d = d.withColumn("_b", F.array_max(F.transform(scores, lambda s, i: F.when(
+        s >= threshold, F.struct(s.alias("score"), (-i).alias("back"))))))
+    d = d.withColumn("_fz", F.get(cand_name, -F.col("_b.back"))).withColumn("_fzs", F.col("_b.score") / 100)
     city = (F.when(F.col("_blank"), F.lit(rd.DEFAULT_CITY))
             .when(F.col("_ex").isNotNull(), F.col("_ex"))
             .when(F.col("_sub").isNotNull(), F.col("_sub"))

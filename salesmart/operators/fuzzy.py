@@ -1,119 +1,193 @@
-"""Best token-set match of every query among all candidates of its group (D-9, L-7).
-
-Candidates are rows, dealt by a hash of their text into chunks of about ``CHUNK``; distinct queries are
-dealt into blocks of about ``BLOCK``. Every block meets every chunk of its group, one row for each
-(block, chunk), and these rows are spread over the tasks. Inside one, the similarity of a pair is first
-bounded from lengths, shared tokens and letter counts (see :func:`best_in_chunk`), so that only pairs
-that can still win are scored. The best of a query over its chunks is a grouped minimum. Nothing is
-cut: any number of candidates takes more chunks, not larger ones.
-"""
-
-from __future__ import annotations
+"""Best token-set match of every query among all candidates of its group (D-9, L-7, J-2), by an index.
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+Queries and candidates are reduced to distinct token sets; equal sets score alike. A pair's score is the largest
+of three similarities, and each has an index that misses no pair at a given cutoff c:
 
-from salesmart.functions.similarity import token_set_ratio
-from salesmart.session import materialize
+* shared tokens against all tokens of one side (100 if it has no others): with n characters that side needs
+  ``c n / (2 - c)`` characters of shared tokens, so one shared token is among its rarest ones, up to that length.
+  These few tokens of one side meet all tokens of the other by equality (:func:`token_pairs`).
+* both sides whole: insertions and deletions are at most ``(1 - c)`` of both lengths, and each changes at most
+  three letter pairs (one letter). So the bags of pairs (letters, where c is too low for pairs) overlap by a
+  known number, and the rarest elements of both sides up to that number share one (:func:`bag_pairs`).
 
-BLOCK, CHUNK = 256, 1024
-LETTER_CLASSES = 64
-_FOUND = "array<struct<i: int, c: int, score: double>>"
+Candidates met are bounded again by lengths, letter counts and edits (all sound) before they are scored. Cutoffs fall in
+steps: a query whose best score reaches a step is settled, as every pair at that step has been met, and a query's
+own best score serves as its cutoff meanwhile. So most queries never come to the low steps, where the index is wide.
 
+All of it is joins by equality, aggregates and built-in functions. A pair met under several elements is scored under
+the first of them only. Null texts and texts without tokens match nothing.
+"""
 
-def _letters(texts: list[str]) -> np.ndarray:
-    """Counts of letters by class (code point modulo LETTER_CLASSES), one row for each text."""
-    out = np.zeros((len(texts), LETTER_CLASSES), dtype=np.int32)
-    for row, text in zip(out, texts, strict=True):
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) % LETTER_CLASSES
-        row += np.bincount(codes, minlength=LETTER_CLASSES).astype(np.int32)
-    return out
+from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
-def best_in_chunk(queries: list[str], texts: list[str], cutoff: float) -> list[tuple[int, int, float]]:
-    """(query, candidate, score), places from 1: each query's best score >= cutoff, the first on ties.
+from salesmart.functions import similarity as sim
+from salesmart.session import materialize
 
-    A pair's score is the largest of three similarities. The two that compare with the shared tokens
-    follow from lengths. The third needs an edit distance, which is at least the difference in letter
-    counts (shared tokens cancel out). Candidates are scored in the order of this upper bound, until
-    it falls below the best score found.
-    """
-    tokens = [set(t.split()) for t in texts]
-    n_tokens = np.array([len(s) for s in tokens])
-    size = np.array([sum(map(len, s)) + max(len(s) - 1, 0) for s in tokens], dtype=float)
-    letters = _letters(["".join(s) for s in tokens])
-    holders: dict[str, list[int]] = {}
-    for c, own in enumerate(tokens):
-        for token in own:
-            holders.setdefault(token, []).append(c)
-    out = []
-    for i, query in enumerate(queries):
-        own = set(query.split())
-        if not own:
-            continue
-        n = float(sum(map(len, own)) + len(own) - 1)
-        apart = np.abs(letters - _letters(["".join(own)])).sum(axis=1)
-        bound = 100.0 * (1 - apart / (size + n))
-        shared, both = np.zeros(len(texts), dtype=int), np.zeros(len(texts))
-        for token in own:
-            at = holders.get(token, [])
-            shared[at] += 1
-            both[at] += len(token)
-        some = shared > 0
-        section = both + shared - 1
-        for total in (n, size):
-            bound = np.where(some, np.maximum(bound, 100.0 * (1 - (total - section) / (section + total))), bound)
-        bound = np.where(some & ((shared == len(own)) | (shared == n_tokens)), 100.0, bound)
-        bound = np.where(n_tokens == 0, -1.0, bound) + 1e-6
-        likely = np.flatnonzero(bound >= cutoff)
-        best_c, best_s = -1, cutoff
-        for c in likely[np.argsort(-bound[likely], kind="stable")].tolist():
-            if bound[c] < best_s:
-                break
-            score = token_set_ratio(query, texts[c])
-            if score > best_s or score == best_s and (best_c < 0 or c < best_c):
-                best_c, best_s = c, score
-        if best_c >= 0:
-            out.append((i + 1, best_c + 1, best_s))
+#: Steps of the cutoff, in per cent, above the cutoff itself.
+STEPS = (90.0, 80.0, 70.0, 55.0, 40.0, 25.0)
+#: Below this cutoff the overlap of letter pairs proves too little, and letters are used.
+PAIRS_FROM = 69.0
+#: FIXED VALUES: frequent letters, whose counts are compared (any choice is sound).
+LETTERS = "aeionrtsldcumpbg"
+_SLACK = 1e-6
+
+
+def _letter_counts(text: Column) -> Column:
+    """Counts of the frequent letters in either case, four bits each: modulo 16, differences are never above the true ones."""
+    out = F.lit(0).cast("long")
+    low = F.lower(text)
+    for i, letter in enumerate(LETTERS):
+        count = F.char_length(low) - F.char_length(F.replace(low, F.lit(letter), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(15)), 4 * i))
     return out
 
 
-def _dealt(df: DataFrame, text: str, size: int, name: str) -> DataFrame:
-    """``df`` with ``part``, one of as many parts of its group as parts of about ``size`` rows need, and ``parts``."""
-    parts = df.groupBy("g").agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
-    parts = materialize(parts, f"fuzzy-{name}")
-    return df.join(parts, "g").withColumn("part", F.pmod(F.xxhash64(text), F.col("parts")).cast("int"))
-
-
-def best_matches(queries: DataFrame, candidates: DataFrame, cutoff: float) -> DataFrame:
+def _letters_apart(a: Column, b: Column) -> Column:
+    total = F.lit(0)
+    for i in range(len(LETTERS)):
+        x, y = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(F.lit(15)) for c in (a, b))
+        total = total + F.least(F.abs(x - y), F.lit(16) - F.abs(x - y))
+    return total
+
+
+def token_sets(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with ``ts`` (sorted distinct tokens), ``n`` (characters, joined by spaces) and ``letters``."""
+    out = df.withColumn("ts", sim.token_set(F.col(text))).where(F.size("ts") > 0)
+    joined = F.array_join("ts", " ")
+    return out.withColumn("n", F.char_length(joined)).withColumn("letters", _letter_counts(joined))
+
+
+def _elements(kind: str) -> Column:
+    """Elements of a token set: its tokens, or its bag of letter pairs or letters, repeats numbered."""
+    if kind == "tokens":
+        return F.col("ts")
+    if kind == "pairs":
+        pair = "transform(sequence(0, char_length(t)), i -> substr(concat(' ', t, ' '), i + 1, 2))"
+        bag = f"array_sort(flatten(transform(ts, t -> {pair})))"
+    else:
+        bag = "array_sort(filter(split(array_join(ts, ' '), ''), c -> c != ''))"
+    # `b` is named by a one-element transform: SQL lambdas have no let
+    numbered = "transform(b, (x, i) -> concat(x, cast(i + 2 - array_position(b, x) as string)))"
+    return F.expr(f"transform(array({bag}), b -> {numbered})[0]")
+
+
+def frequencies(rows: DataFrame, kind: str) -> DataFrame:
+    """g, e, df: how many token sets of a group have the element."""
+    return rows.select("g", F.explode(_elements(kind)).alias("e")).groupBy("g", "e").agg(F.count("*").alias("df"))
+
+
+def by_rarity(rows: DataFrame, kind: str, often: DataFrame) -> DataFrame:
+    """``rows`` with ``es``, their elements, the rarest first (in an order that is the same for all rows of a group)."""
+    each = rows.select("g", "ts", F.explode(_elements(kind)).alias("e")).join(often, ["g", "e"], "left")
+    es = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "e")))
+    es = each.groupBy("g", "ts").agg(F.transform(es, lambda x: x["e"]).alias("es"))
+    return rows.join(es, ["g", "ts"])
+
+
+def _head(kind: str, c: Column) -> Column:
+    """How many of a row's elements ``es`` one of which any match at cutoff c shares."""
+    share = c / (F.lit(200.0) - c)   # of n: the least characters in common, and the least length of the other side by n
+    n = F.col("n")
+    if kind == "tokens":
+        # elements of which the ones before leave enough characters
+        room = n - n * share + _SLACK
+        before = F.transform("es", lambda _, i: F.aggregate(F.slice("es", F.lit(1), i), F.lit(0),
+                                                            lambda acc, t: acc + F.char_length(t) + 1))
+        return F.size(F.filter(before, lambda x: x <= room))
+    both = n * (F.lit(1) + share)
+    lost = (F.lit(1) - c / 100) * both
+    overlap = (both + 2 - 3 * lost) / 2 if kind == "pairs" else (both - lost) / 2
+    return F.least(F.size("es"), F.size("es") - F.ceil(overlap - _SLACK).cast("int") + 1)
+
+
+def _posted(rows: DataFrame, part: Column, side: str) -> DataFrame:
+    """One row for each of the first ``part`` elements, columns named by side."""
+    cols = [F.col(x).alias(f"{side}_{x}") for x in rows.columns if x != "g"]
+    return (rows.withColumn("head", F.slice("es", F.lit(1), part)).where(F.size("head") > 0)
+            .select("g", *cols, F.col("head").alias(f"{side}_head"), F.explode("head").alias("e")))
+
+
+def token_pairs(queries: DataFrame, candidates: DataFrame, cutoff: float) -> DataFrame:
+    """Pairs (q_*, c_*) that share one of either side's rarest tokens: all that shared tokens bring to the cutoff."""
+    c, every = F.lit(cutoff), F.size("es")
+    head = _head("tokens", c)
+    some = _posted(queries, head, "q").join(_posted(candidates, every, "c"), ["g", "e"])
+    some = some.where(F.get(F.array_intersect("q_es", "c_ts"), F.lit(0)) == F.col("e"))
+    rest = _posted(queries, every, "q").join(_posted(candidates, head, "c"), ["g", "e"])
+    rest = rest.where(F.get(F.array_intersect("c_es", "q_ts"), F.lit(0)) == F.col("e"))
+    out = some.unionByName(rest)
+    # shared characters that the cutoff needs of one of the two
+    shared = F.char_length(F.array_join(F.array_intersect("q_ts", "c_ts"), " "))
+    return out.where((shared + _SLACK >= F.least("q_n", "c_n") * (c / (F.lit(200.0) - c))))
+
+
+def bag_pairs(queries: DataFrame, candidates: DataFrame, kind: str, cutoff: float) -> DataFrame:
+    """Pairs (q_*, c_*) whose whole similarity may reach the query's ``least``, which is at least the cutoff."""
+    met = (_posted(queries, _head(kind, F.col("least")), "q")
+           .join(_posted(candidates, _head(kind, F.lit(cutoff)), "c"), ["g", "e"])
+           .where(F.get(F.array_intersect("q_head", "c_head"), F.lit(0)) == F.col("e")))
+    total = F.col("q_n") + F.col("c_n")
+    lost = (F.lit(1) - F.col("q_least") / 100) * total + _SLACK
+    near = (F.abs(F.col("q_n") - F.col("c_n")) <= lost) & (_letters_apart(F.col("q_letters"), F.col("c_letters")) <= lost)
+    only = [F.array_join(F.array_except(f"{x}_ts", f"{y}_ts"), " ") for x, y in (("q", "c"), ("c", "q"))]
+    return met.where(near).where(F.levenshtein(*only) <= lost)
+
+
+def _scored(pairs: DataFrame, least: Column, counts: dict | None) -> DataFrame:
+    """g, q_ts, best: each query's best pair of those that reach ``least``, the first candidate on ties."""
+    if counts is not None:
+        seen = Observation()
+        pairs = pairs.observe(seen, F.count(F.lit(1)).alias("pairs"))
+        counts.setdefault("observed", []).append(seen)
+    score = pairs.withColumn("score", sim.token_set_score(F.col("q_ts"), F.col("c_ts"))).where(F.col("score") >= least)
+    best = F.min(F.struct((-F.col("score")).alias("less"), F.col("c_first.pos").alias("pos"), F.col("c_first.hit").alias("hit")))
+    return score.groupBy("g", "q_ts").agg(best.alias("best")).withColumnRenamed("q_ts", "ts")
+
+
+def best_matches(queries: DataFrame, candidates: DataFrame, cutoff: float, counts: dict | None = None) -> DataFrame:
     """Distinct (g, q) and (g, t, pos, hit) -> (g, q, score, hit): the best candidate with score >= cutoff > 0.
 
     On equal scores the smallest ``pos`` wins; ``pos`` is unique in a group. Null texts match nothing.
+    ``counts`` gets the number of pairs that were scored, under ``pairs``.
     """
-    chunks = (_dealt(candidates.where("t is not null"), "t", CHUNK, "chunks")
-              .groupBy("g", F.col("part").alias("chunk"), "parts")
-              .agg(F.array_sort(F.collect_list(F.struct("pos", "t", "hit"))).alias("cs")))
-    chunks = materialize(chunks, "fuzzy-candidates")
-    n_chunks = chunks.groupBy("g").agg(F.max("parts").alias("chunks"))
-    blocks = (_dealt(queries.where("q is not null"), "q", BLOCK, "blocks")
-              .groupBy("g", F.col("part").alias("block")).agg(F.collect_list("q").alias("qs")))
-    pairs = (blocks.join(n_chunks, "g").select("g", "block", "qs", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-             .join(chunks.select("g", "chunk", "cs"), ["g", "chunk"]))
-    # scoring costs far more than moving: rows are spread by number, not by their few bytes
-    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(tasks, "g", "chunk", "block")
-
-    @F.pandas_udf(_FOUND)
-    def found(qs: pd.Series, ts: pd.Series) -> pd.Series:
-        return pd.Series([[{"i": i, "c": c, "score": s} for i, c, s in best_in_chunk(list(q), list(t), cutoff)]
-                          for q, t in zip(qs, ts, strict=True)])
-
-    hits = pairs.withColumn("found", found.asNondeterministic()("qs", F.transform("cs", lambda x: x["t"])))
-    hits = hits.select("g", "qs", "cs", F.explode("found").alias("f"))
-    hits = hits.select("g", F.element_at("qs", F.col("f.i")).alias("q"), F.element_at("cs", F.col("f.c")).alias("c"),
-                       F.col("f.score").alias("score"))
-    best = hits.groupBy("g", "q").agg(F.min(F.struct((-F.col("score")).alias("less"), F.col("c.pos").alias("pos"),
-                                                     F.col("c.hit").alias("hit"))).alias("b"))
-    return best.select("g", "q", (-F.col("b.less")).alias("score"), F.col("b.hit").alias("hit"))
+    asked = materialize(token_sets(queries, "q").select("g", "q", "ts", "n", "letters"), "fuzzy-queries")
+    sets = token_sets(candidates, "t").groupBy("g", "ts", "n", "letters").agg(F.min(F.struct("pos", "hit")).alias("first"))
+    sets = materialize(sets.join(asked.select("g").distinct(), "g", "left_semi"), "fuzzy-candidates")
+    wanted = asked.select("g", "ts", "n", "letters").distinct()
+    often = materialize(frequencies(sets, "tokens"), "fuzzy-tokens")
+    q, c = (materialize(by_rarity(x, "tokens", often), "fuzzy-by-token") for x in (wanted, sets))
+
+    def better(pairs: DataFrame, least: Column, known: DataFrame | None) -> DataFrame:
+        new = _scored(pairs, least, counts)
+        if known is not None:
+            new = known.unionByName(new).groupBy("g", "ts").agg(F.min("best").alias("best"))
+        return materialize(new, "fuzzy-best")
+
+    def waiting(step: float) -> DataFrame:
+        """Queries that have no score of ``step`` or more yet, with the best they have."""
+        have = best.select("g", "ts", (-F.col("best.less")).alias("score"))
+        out = wanted.join(have, ["g", "ts"], "left").where(F.coalesce("score", F.lit(0.0)) < step - _SLACK)
+        return out.select("g", "ts", "n", "letters", "score")
+
+    best = better(token_pairs(q, c, 100.0), F.lit(100.0), None)
+    if cutoff < 100 and not waiting(100.0).isEmpty():
+        best = better(token_pairs(q.join(waiting(100.0).select("g", "ts"), ["g", "ts"], "left_semi"), c, cutoff),
+                      F.lit(cutoff), best)
+        settled, kind = 100.0, None
+        for step in [*(s for s in STEPS if s > cutoff), cutoff]:
+            left = waiting(settled)
+            if left.isEmpty():
+                break
+            left = left.withColumn("least", F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(step)) - _SLACK).drop("score")
+            if kind != (kind := "pairs" if step >= PAIRS_FROM else "letters"):
+                often = materialize(frequencies(sets, kind), f"fuzzy-{kind}")
+                bags = materialize(by_rarity(sets, kind, often), f"fuzzy-by-{kind}")
+            pairs = bag_pairs(by_rarity(left, kind, often), bags, kind, step)
+            best, settled = better(pairs, F.col("q_least"), best), step
+    if counts is not None:
+        counts["pairs"] = sum(o.get["pairs"] for o in counts.pop("observed"))
+    return (asked.join(best, ["g", "ts"]).where(-F.col("best.less") >= cutoff)
+            .select("g", "q", (-F.col("best.less")).alias("score"), F.col("best.hit").alias("hit")))

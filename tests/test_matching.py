@@ -1,11 +1,12 @@
-"""Fuzzy paths checked against brute force over the same inputs (no SQL oracle for them)."""
+"""Fuzzy paths checked against brute force over the same inputs."""
 
+import random
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from salesmart.functions.similarity import ratio, token_set_ratio, token_sort_ratio
+from salesmart.functions import similarity as sim
 from salesmart.operators import cleanse as cl
 from salesmart.operators import fuzzy
 from salesmart.operators.matching import derive_mapping, map_product_codes
@@ -14,6 +15,7 @@ from salesmart.sources import grid
 from salesmart.sources import reference_data as rd
 from salesmart.sources.tables import Source
 from tests.conftest import SF_SMALL
+from tests.slow_similarity import ratio, token_set_ratio, token_sort_ratio
 
 
 def py_norm(s):
@@ -54,6 +56,29 @@ def test_scorers_basic():
     assert round(ratio("sntiago", "santiago"), 4) == 93.3333
 
 
+def test_column_scorers_equal_the_slow_ones(spark):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("aab cdeé 世\t\u2003") for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 20, 61, 62, 63, 125])))
+             for _ in range(5000)]
+
+    def near(x):
+        x = list(x)
+        for _ in range(rng.randint(0, 4)):
+            x.insert(rng.randint(0, len(x)), rng.choice("abc "))
+            x.pop(rng.randrange(len(x)))
+        return "".join(x)
+
+    pairs = [*zip(texts, texts[1:] + texts[:1], strict=True), *((a, near(a)) for a in texts), (None, "a"), ("a", None)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string").repartition(8)
+    scores = [f(F.col("a"), F.col("b")) for f in (sim.ratio, sim.token_sort_ratio, sim.token_set_ratio)]
+    got = df.select("i", *[x.alias(f"s{k}") for k, x in enumerate(scores)]).collect()
+    assert len(got) == len(pairs) > 10_000
+    for r in got:
+        a, b = pairs[r.i]
+        assert tuple(r)[1:] == ((None,) * 3 if a is None or b is None else
+                                (ratio(a, b), token_sort_ratio(a, b), token_set_ratio(a, b))), (a, b)
+
+
 def test_city_cleansing_matches_brute_force(spark):
     got = cq.city_cleansing(Source(spark, SF_SMALL)).collect()
     assert got
@@ -131,9 +156,7 @@ def test_product_name_cleansing_matches_brute_force(spark):
             assert r.product_match_confidence == pytest.approx(best[1] / 100)
 
 
-def test_best_matches_equals_scoring_every_pair(spark, monkeypatch):
-    monkeypatch.setattr(fuzzy, "CHUNK", 7)
-    monkeypatch.setattr(fuzzy, "BLOCK", 3)
+def test_best_matches_equals_scoring_every_pair(spark):
     words = ["blue", "green", "greem", "steel", "st", "tin", "copper", "coper", "ñandú", "x"]
     texts = [" ".join(words[(i * k + k) % 10] for k in range(1, 2 + i % 4)) for i in range(40)] + ["", "  "]
     asked = [f"{a} {b}" for a in words for b in words[::3]] + ["", "zzz", "grean", "coppre tim"]
@@ -157,3 +180,60 @@ def test_more_candidates_than_any_chunk_holds(spark):
     queries = spark.createDataFrame([("D", "itm 2A3F"), ("D", "2a3f item item"), ("D", "qqqqqqqq")], "g string, q string")
     got = {r.q: r.hit.id for r in fuzzy.best_matches(queries, cands, 70.0).collect()}
     assert got["2a3f item item"] == 0x23 and got["itm 2A3F"] == 0x2A3F and "qqqqqqqq" not in got
+
+
+def catalogue(rng, n):
+    """Product descriptions of invented words, and queries: copies with typos, lost and swapped words, and strangers."""
+    words = ["".join(rng.choice("aeioulnrstdcmpbgfvz") for _ in range(rng.randint(3, 10))) for _ in range(n // 4)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(n)]
+    asked = []
+    for t in rng.sample(texts, n // 5):
+        own = list(t)
+        for _ in range(rng.randint(0, 4)):
+            own.insert(rng.randint(0, len(own)), rng.choice("aeios "))
+            own.pop(rng.randrange(len(own)))
+        own = "".join(own).split()
+        rng.shuffle(own)
+        asked.append(" ".join(own[: rng.randint(1, 5)] + rng.sample(words, rng.randint(0, 2))))
+    return texts, sorted({*asked, "qqq www", "z", "xx yy zz"})
+
+
+def best_of_all(asked, texts, cutoff):
+    out = {}
+    for q in asked:
+        less, i = min((-token_set_ratio(q, t), i) for i, t in enumerate(texts))
+        if -less >= cutoff:
+            out[q] = (i, -less)
+    return out
+
+
+@pytest.mark.parametrize("cutoff", [1.0, 70.0, 85.0, 100.0])
+def test_the_index_misses_no_best_match(spark, cutoff):
+    texts, asked = catalogue(random.Random(7), 400)
+    cands = spark.createDataFrame([("d", t, i, (i,)) for i, t in enumerate(texts)], "g string, t string, pos int, hit struct<id: int>")
+    queries = spark.createDataFrame([("d", q) for q in asked], "g string, q string")
+    counts = {}
+    got = {r.q: (r.hit.id, r.score) for r in fuzzy.best_matches(queries, cands, cutoff, counts).collect()}
+    want = best_of_all(asked, texts, cutoff)
+    assert got == want and len(want) >= 10
+    if cutoff >= 70:
+        assert counts["pairs"] < 0.05 * len(asked) * len(texts)
+
+
+def test_few_pairs_are_scored_on_the_part_table(spark):
+    src = Source(spark, SF_SMALL)
+    mapping = derive_mapping(src).where("distributor_code = 'DIST_B'")
+    cands = mapping.select(F.col("distributor_code").alias("g"), F.col("dist_product_desc").alias("t"), F.col("map_order").alias("pos"),
+                           F.struct(F.col("map_order").alias("id")).alias("hit"))
+    queries = src.part.select(F.lit("DIST_B").alias("g"), F.concat_ws(" ", "p_type", F.upper("p_name"), "p_name").alias("q")).distinct()
+    counts = {}
+    got = {r.q: (r.hit.id, r.score) for r in fuzzy.best_matches(queries, cands, 70.0, counts).collect()}
+    texts = {r.pos: r.t for r in cands.collect()}
+    asked = [r.q for r in queries.collect()]
+    want = {}
+    for q in asked:
+        less, pos = min((-token_set_ratio(q, t), pos) for pos, t in texts.items())
+        if -less >= 70:
+            want[q] = (pos, -less)
+    assert got == want and want
+    assert counts["pairs"] < 0.05 * len(asked) * len(texts)
