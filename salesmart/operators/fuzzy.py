@@ -27,7 +27,7 @@ from salesmart.functions import similarity as sim
 from salesmart.session import materialize
 
 #: Steps of the cutoff, in per cent, above the cutoff itself.
-STEPS = (90.0, 80.0, 70.0, 55.0, 40.0, 25.0)
+STEPS = (85.0, 70.0, 50.0, 25.0)
 #: Below this cutoff the overlap of letter pairs proves too little, and letters are used.
 PAIRS_FROM = 69.0
 #: FIXED VALUES: frequent letters, whose counts are compared (any choice is sound).
@@ -136,17 +136,6 @@ def bag_pairs(queries: DataFrame, candidates: DataFrame, kind: str, cutoff: floa
     return met.where(near).where(F.levenshtein(*only) <= lost)
 
 
-def _scored(pairs: DataFrame, least: Column, counts: dict | None) -> DataFrame:
-    """g, q_ts, best: each query's best pair of those that reach ``least``, the first candidate on ties."""
-    if counts is not None:
-        seen = Observation()
-        pairs = pairs.observe(seen, F.count(F.lit(1)).alias("pairs"))
-        counts.setdefault("observed", []).append(seen)
-    score = pairs.withColumn("score", sim.token_set_score(F.col("q_ts"), F.col("c_ts"))).where(F.col("score") >= least)
-    best = F.min(F.struct((-F.col("score")).alias("less"), F.col("c_first.pos").alias("pos"), F.col("c_first.hit").alias("hit")))
-    return score.groupBy("g", "q_ts").agg(best.alias("best")).withColumnRenamed("q_ts", "ts")
-
-
 def best_matches(queries: DataFrame, candidates: DataFrame, cutoff: float, counts: dict | None = None) -> DataFrame:
     """Distinct (g, q) and (g, t, pos, hit) -> (g, q, score, hit): the best candidate with score >= cutoff > 0.
 
@@ -157,11 +146,17 @@ def best_matches(queries: DataFrame, candidates: DataFrame, cutoff: float, count
     sets = token_sets(candidates, "t").groupBy("g", "ts", "n", "letters").agg(F.min(F.struct("pos", "hit")).alias("first"))
     sets = materialize(sets.join(asked.select("g").distinct(), "g", "left_semi"), "fuzzy-candidates")
     wanted = asked.select("g", "ts", "n", "letters").distinct()
-    often = materialize(frequencies(sets, "tokens"), "fuzzy-tokens")
-    q, c = (materialize(by_rarity(x, "tokens", often), "fuzzy-by-token") for x in (wanted, sets))
-
-    def better(pairs: DataFrame, least: Column, known: DataFrame | None) -> DataFrame:
-        new = _scored(pairs, least, counts)
+    score = sim.token_set_score(F.col("q_ts"), F.col("c_ts"))
+    first = F.min(F.struct((-F.col("score")).alias("less"), F.col("c_first.pos").alias("pos"), F.col("c_first.hit").alias("hit")))
+    observed: list[Observation] = []
+
+    def better(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+        """g, ts, best: each query's best pair so far that reaches the cutoff, the first candidate on ties."""
+        if counts is not None:
+            observed.append(Observation())
+            pairs = pairs.observe(observed[-1], F.count(F.lit(1)).alias("pairs"))
+        new = pairs.withColumn("score", score).where(F.col("score") >= cutoff).groupBy("g", F.col("q_ts").alias("ts"))
+        new = new.agg(first.alias("best"))
         if known is not None:
             new = known.unionByName(new).groupBy("g", "ts").agg(F.min("best").alias("best"))
         return materialize(new, "fuzzy-best")
@@ -169,25 +164,22 @@ def best_matches(queries: DataFrame, candidates: DataFrame, cutoff: float, count
     def waiting(step: float) -> DataFrame:
         """Queries that have no score of ``step`` or more yet, with the best they have."""
         have = best.select("g", "ts", (-F.col("best.less")).alias("score"))
-        out = wanted.join(have, ["g", "ts"], "left").where(F.coalesce("score", F.lit(0.0)) < step - _SLACK)
-        return out.select("g", "ts", "n", "letters", "score")
-
-    best = better(token_pairs(q, c, 100.0), F.lit(100.0), None)
-    if cutoff < 100 and not waiting(100.0).isEmpty():
-        best = better(token_pairs(q.join(waiting(100.0).select("g", "ts"), ["g", "ts"], "left_semi"), c, cutoff),
-                      F.lit(cutoff), best)
-        settled, kind = 100.0, None
-        for step in [*(s for s in STEPS if s > cutoff), cutoff]:
-            left = waiting(settled)
-            if left.isEmpty():
-                break
-            left = left.withColumn("least", F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(step)) - _SLACK).drop("score")
-            if kind != (kind := "pairs" if step >= PAIRS_FROM else "letters"):
-                often = materialize(frequencies(sets, kind), f"fuzzy-{kind}")
-                bags = materialize(by_rarity(sets, kind, often), f"fuzzy-by-{kind}")
-            pairs = bag_pairs(by_rarity(left, kind, often), bags, kind, step)
-            best, settled = better(pairs, F.col("q_least"), best), step
+        out = wanted.join(have, ["g", "ts"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+        return out.where(F.col("score") < step - _SLACK)
+
+    often = materialize(frequencies(sets, "tokens"), "fuzzy-tokens")
+    q, c = (materialize(by_rarity(x, "tokens", often), "fuzzy-by-token") for x in (wanted, sets))
+    best = better(token_pairs(q, c, cutoff), None)
+    settled, kind = 100.0, None
+    for step in [*(s for s in STEPS if s > cutoff), cutoff]:
+        if cutoff >= 100 or waiting(settled).isEmpty():
+            break
+        left = waiting(settled).withColumn("least", F.greatest("score", F.lit(step)) - _SLACK).drop("score")
+        if kind != (kind := "pairs" if step >= PAIRS_FROM else "letters"):
+            often = materialize(frequencies(sets, kind), f"fuzzy-{kind}")
+            bags = materialize(by_rarity(sets, kind, often), f"fuzzy-by-{kind}")
+        best, settled = better(bag_pairs(by_rarity(left, kind, often), bags, kind, step), best), step
     if counts is not None:
-        counts["pairs"] = sum(o.get["pairs"] for o in counts.pop("observed"))
-    return (asked.join(best, ["g", "ts"]).where(-F.col("best.less") >= cutoff)
+        counts["pairs"] = sum(o.get["pairs"] for o in observed)
+    return (asked.join(best, ["g", "ts"])
             .select("g", "q", (-F.col("best.less")).alias("score"), F.col("best.hit").alias("hit")))

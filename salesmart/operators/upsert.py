@@ -7,9 +7,9 @@ Parquet has no MERGE, so an upsert is:
    the table only (partition pruning on the partition column);
 3. matched keys take the incoming values of the updatable columns and keep
    everything else; new keys are inserted; untouched rows pass through;
-4. the merged partitions are first written to the shared checkpoint folder
-   (never overwrite a path that is being read), then swapped into the table
-   with a dynamic partition overwrite - only the touched partitions change.
+4. the merged partitions are written beside the table and swapped in with one
+   small file (``operators.swap``): a reader sees the table before or after the
+   batch, also if the writer dies in between. Only the touched partitions change.
 
 Insert/update counts come from the same pass through an ``Observation``.
 Running the same batch twice leaves the table unchanged (second run: 0
@@ -23,8 +23,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from salesmart.operators import swap
 from salesmart.operators.cleanse import deduplicate
-from salesmart.session import materialize, read_existing
+from salesmart.session import materialize
 
 FACT_KEY = ("source_system", "source_record_id", "invoice_line")
 # Only these change when a fact row is sent again (keys and invoice number stay).
@@ -84,44 +85,50 @@ def merge(current: DataFrame | None, incoming: DataFrame, key: Sequence[str], up
 
 
 def upsert_table(spark, path: str, incoming: DataFrame, key: Sequence[str], updatable: Sequence[str],
-                 partition_col: str | None = None, order_col: str | None = None) -> dict:
-    """Upsert ``incoming`` into the parquet table at ``path``; returns {inserted, updated}."""
-    current = read_existing(spark, path)
+                 partition_col: str | None = None, order_col: str | None = None,
+                 touched: Sequence[str] = ()) -> dict:
+    """Upsert ``incoming`` into the parquet table at ``path``; returns {inserted, updated}.
+
+    With ``touched`` columns the result also has ``touched``: their distinct values in all rows that the
+    batch inserts or updates, as the rows were and as they are sent.
+    """
+    swap.finish(spark, path)
+    current = swap.read(spark, path)
+    incoming = materialize(incoming, "upsert-batch")   # read several times: computed once
+    places = list(dict.fromkeys([*([partition_col] if partition_col else []), *touched]))
+    where = None
+    if places:
+        # partitions of the incoming rows, and those that hold the same keys today (a row may have moved)
+        where = incoming.select(*places)
+        if current is not None:
+            same = incoming.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct()
+            cond = F.lit(True)
+            for k in key:
+                cond = cond & current[k].eqNullSafe(same[f"_k_{k}"])
+            where = where.unionByName(current.join(same, cond, "left_semi").select(*places))
+        where = materialize(where.distinct(), "upsert-touched")
     if current is not None and partition_col:
-        # partitions of the incoming rows, and those that hold the same keys today
-        # (a row may have moved): a handful of years, a literal IN-list for the scan
-        same = incoming.select(*[F.col(k).alias(f"_k_{k}") for k in key]).distinct()
-        cond = F.lit(True)
-        for k in key:
-            cond = cond & current[k].eqNullSafe(same[f"_k_{k}"])
-        holding = current.join(same, cond, "left_semi").select(partition_col)
-        touched = [r[0] for r in incoming.select(partition_col).unionByName(holding).distinct().collect()]
-        current = current.filter(F.col(partition_col).isin(touched))
+        parts = where.select(F.col(partition_col).alias("_part")).distinct()
+        current = current.join(parts, current[partition_col].eqNullSafe(parts["_part"]), "left_semi")
     merged, obs = merge(current, incoming, key, updatable, order_col)
-    staged = materialize(merged, "upsert-stage", [partition_col] if partition_col else None)
+    by = [partition_col] if partition_col else []
+    staged = swap.stage(merged, path, by)
     counts = obs.get
-    # partitioned: only the touched partitions are replaced; unpartitioned:
-    # the staged copy is the whole new table
-    w = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
-    if partition_col and current is not None:
-        # a partition whose rows all moved away is not in the staged copy: its folder goes
-        left = {r[0] for r in staged.select(partition_col).distinct().collect()}
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path
-        for value in set(touched) - left:
-            gone = fs_path(f"{path}/{partition_col}={value}")
-            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-    return {"inserted": int(counts.get("inserted", 0)), "updated": int(counts.get("updated", 0))}
-
-
-def upsert_fact_sales(spark, path: str, incoming: DataFrame, order_col: str | None = None) -> dict:
+    # a partition whose rows all moved away has no folder among the new ones: it goes
+    gone = [swap.part_name(spark, partition_col, r[0]) for r in parts.collect()] if current is not None and by else []
+    swap.commit(spark, path, staged, by, gone)
+    swap.finish(spark, path)
+    out = {"inserted": int(counts.get("inserted", 0)), "updated": int(counts.get("updated", 0))}
+    return out | {"touched": where.select(*touched).distinct()} if touched else out
+
+
+def upsert_fact_sales(spark, path: str, incoming: DataFrame, order_col: str | None = None,
+                      touched: Sequence[str] = ()) -> dict:
     """Fact upsert on (source_system, source_record_id, invoice_line), partitioned by year."""
     inc = coerce_for_load(incoming)
     if "year" not in inc.columns:
         inc = inc.withColumn("year", (F.col("date_key") / 10000).cast("int"))
-    return upsert_table(spark, path, inc, FACT_KEY, FACT_UPDATABLE, "year", order_col)
+    return upsert_table(spark, path, inc, FACT_KEY, FACT_UPDATABLE, "year", order_col, touched)
 
 
 CLIENT_UPDATABLE = ("client_name", "client_name_norm", "client_type", "rnc", "updated_at")
@@ -157,17 +164,17 @@ def upsert_watermark(spark, path: str, source_system: str, value, as_of) -> dict
     """Per-source high-water mark: keeps the greatest value seen (B-6)."""
     row = spark.createDataFrame([(source_system, value, as_of)],
                                 "source_system string, last_value timestamp, updated_at timestamp")
-    current = read_existing(spark, path)
+    current = swap.read(spark, path)
     if current is not None:
         row = (current.unionByName(row).groupBy("source_system")
                .agg(F.max("last_value").alias("last_value"), F.max("updated_at").alias("updated_at")))
-    materialize(row, "watermark").write.mode("overwrite").parquet(path)
+    swap.replace(row, path)
     return {"source_system": source_system}
 
 
 def read_watermark(spark, path: str, source_system: str, default="2018-01-01 00:00:00"):
     """Current watermark of a source as a scalar Column (default when none yet)."""
-    cur = read_existing(spark, path)
+    cur = swap.read(spark, path)
     if cur is None:
         return F.lit(default).cast("timestamp")
     v = cur.filter(F.col("source_system") == source_system).select(F.max("last_value")).scalar()
