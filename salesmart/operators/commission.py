@@ -27,16 +27,21 @@ from salesmart.sources.reference_data import BONUS_SHARE
 from salesmart.sources.tables import Source
 
 
-def fact_commission(src: Source, facts: DataFrame | None = None) -> DataFrame:
+def fact_commission(src: Source, facts: DataFrame | None = None, months: DataFrame | None = None) -> DataFrame:
+    """Commissions of all sales or of the given rows; of all months or of those in ``months`` (year, month_num)."""
     f = facts if facts is not None else star.sales(src, client=False, product=False)
     f = f.filter(~F.col("is_deleted"))
-    monthly = (f.withColumn("month_start", F.trunc("sale_date", "month"))
+    of = f if months is None else f.join(months, ["year", "month_num"], "left_semi")
+    monthly = (of.withColumn("month_start", F.trunc("sale_date", "month"))
                .groupBy("salesperson_key", "month_start")
                .agg(F.sum("net_amount").alias("_sales")))
     lo = f.select(F.trunc(F.min("sale_date"), "month")).scalar()
     hi = f.select(F.trunc(F.max("sale_date"), "month")).scalar()
     sp = star.salespeople(src).filter(F.col("active_flag"))
     grid = sp.select("*", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
+    if months is not None:
+        grid = grid.withColumns({"year": F.year("month_start"), "month_num": F.month("month_start")})
+        grid = grid.join(months, ["year", "month_num"], "left_semi").drop("year", "month_num")
     j = grid.join(monthly, ["salesperson_key", "month_start"], "left")
     sales = F.coalesce(F.col("_sales"), F.lit(0).cast("decimal(25,2)"))
     target, rate = F.col("monthly_target"), F.col("commission_rate")
@@ -60,9 +65,9 @@ def fact_commission(src: Source, facts: DataFrame | None = None) -> DataFrame:
     )
 
 
-def commission_monthly(src: Source) -> DataFrame:
+def commission_monthly(src: Source, facts: DataFrame | None = None, months: DataFrame | None = None) -> DataFrame:
     """Commission mart: one row per salesperson-month with its rank in the month."""
-    fc = fact_commission(src)
+    fc = fact_commission(src, facts, months)
     z = star.zones(src)
     m = fc.join(z, "zone_key")
     # at most one row per salesperson in a month: the window is bounded by the

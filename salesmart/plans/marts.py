@@ -70,12 +70,12 @@ def sales_yoy(src: Source, monthly: DataFrame | None = None) -> DataFrame:
     )
 
 
-def top_clients(src: Source) -> DataFrame:
+def top_clients(src: Source, f: DataFrame | None = None) -> DataFrame:
     """Client x month mart with the rank of each client-month inside its year (E-2, G-1).
 
     The rank is over client-*month* groups, as in the warehouse view.
     """
-    f = star.sales(src)
+    f = star.sales(src) if f is None else f
     sp = star.salespeople(src).select("salesperson_key", F.col("full_name").alias("salesperson"))
     f = f.join(sp, "salesperson_key")
     keys = ["client_key", "client_name", "client_type", "zone_name", "city_name", "salesperson",
@@ -97,9 +97,9 @@ def top_clients(src: Source) -> DataFrame:
         "avg_margin_pct", "avg_ticket", "rank_by_year")
 
 
-def product_margin(src: Source) -> DataFrame:
+def product_margin(src: Source, f: DataFrame | None = None) -> DataFrame:
     """Product x lab x month x zone margins, ranked inside (year, zone) (E-3, G-2)."""
-    f = star.sales(src)
+    f = star.sales(src) if f is None else f
     keys = ["product_key", "product_name", "category", "subcategory", "rx_otc_flag", "lab_name",
             "year", "year_month", "zone_name"]
     g = f.groupBy(*keys).agg(

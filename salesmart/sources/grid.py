@@ -113,6 +113,45 @@ def read_profile(grid: DataFrame, profile: Profile, as_of: datetime | None = Non
     return out
 
 
+#: Columns without which no row of a file can be loaded.
+NEEDED_COLUMNS = ("sale_date", "invoice_number", "dist_product_code", "quantity")
+
+
+def file_status(grid: DataFrame) -> DataFrame:
+    """file, distributor_code, reason: why a landed workbook cannot be read, or NULL (B-10).
+
+    One aggregate over the whole batch, so every file is judged on its own before anything is written:
+    unknown layout, rows without cells, no sheet of the layout, no header row, missing columns, no data rows.
+    """
+    code = F.regexp_extract("file", r"^(DIST_[A-Z])_", 1)
+
+    def of(value) -> Column:
+        """A property of the file's layout, NULL if there is no such layout."""
+        return F.coalesce(*[F.when(code == c, value(p)) for c, p in PROFILES.items()])
+
+    needed = of(lambda p: F.array(*[F.lit(h) for h, c in p.columns if c in NEEDED_COLUMNS]))
+    in_sheet = of(lambda p: F.col("sheet").startswith(p.zone_prefix) if p.multi_sheet else F.col("sheet") == p.sheet)
+    header_row = of(lambda p: F.lit(p.header_row))
+    header = F.when(in_sheet & (F.col("row_num") == header_row), F.transform("cells", lambda c: F.trim(c)))
+    data = in_sheet & (F.col("row_num") > header_row) & F.exists("cells", lambda c: c.isNotNull())
+    sheets = grid.groupBy("file", code.alias("distributor_code"), "sheet").agg(
+        F.bool_or(F.coalesce(in_sheet, F.lit(False))).alias("used"), F.max(header).alias("header"),
+        F.max(needed).alias("needed"), F.count_if(F.coalesce(data, F.lit(False))).alias("rows"),
+        F.count_if(F.col("cells").isNull()).alias("broken"))
+    missing = F.when(F.col("used"), F.array_except("needed", F.coalesce("header", F.array().cast("array<string>"))))
+    files = sheets.groupBy("file", "distributor_code").agg(
+        F.max("needed").alias("needed"), F.bool_or("used").alias("used"), F.sum("rows").alias("rows"),
+        F.sum("broken").alias("broken"), F.bool_or(F.col("used") & F.col("header").isNull()).alias("headless"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(missing)))).alias("missing"))
+    reason = (F.when(F.col("needed").isNull(), F.lit("unknown layout"))
+              .when(F.col("broken") > 0, F.lit("rows without cells"))
+              .when(~F.col("used"), F.lit("no sheet of the layout"))
+              .when(F.col("headless"), F.lit("no header row"))
+              .when(F.size("missing") > 0, F.concat(F.lit("missing columns: "), F.array_join("missing", ", ")))
+              .when(F.col("rows") == 0, F.lit("no data rows")))
+    return files.select("file", "distributor_code", reason.alias("reason"))
+
+
 def parse_number(c: Column, decimal_sep: str) -> Column:
     """Text -> DOUBLE; with a decimal comma: drop '.', ',' -> '.', strip the rest."""
     s = c.cast("string")
