@@ -13,7 +13,7 @@ from salesmart.llm.common import table
 
 
 def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.calibrate(table(spark, sf_dir, "documents"))
+    return mixing.calibrate(table(spark, sf_dir, "documents"), hold_budget=True)
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
