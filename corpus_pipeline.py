@@ -29,7 +29,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.sample(docs)
+    return mixing.sample(docs, hold_budget=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
