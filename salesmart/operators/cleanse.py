@@ -51,7 +51,8 @@ def clean_city(df: DataFrame, col: str, *, threshold: float = rd.CITY_FUZZY_THRE
     """
     ordered = _alias_lists(normalize_aliases)
     spell = df.select(F.col(col).alias("_raw")).distinct()
-    d = spell.withColumn("_cn", tx.normalize_text(F.col("_raw")))
+    # an aggregate's result: no predicate on the answers moves the scoring below the distinct spellings
+    d = spell.groupBy("_raw").agg(F.max(tx.normalize_text(F.col("_raw"))).alias("_cn"))
     d = d.withColumn("_blank", F.col("_raw").isNull() | (F.trim(F.col("_raw")) == ""))
     # exact lookup (first alias in list order; duplicate keys name the same city)
     d = d.withColumn("_ex", F.try_element_at(F.filter(ordered, lambda a: a["k"] == F.col("_cn")), F.lit(1))["v"])

@@ -11,7 +11,7 @@ dimension (Spark picks broadcast or shuffle by size). The fuzzy step runs
 on *distinct* (distributor, description) pairs against the distinct
 descriptions of the distributor, each at the position of its first mapping
 row (identical descriptions score identically, so the first-best answer is
-unchanged), block by block (``operators.fuzzy``).
+unchanged), by an index (``operators.fuzzy``).
 """
 
 from __future__ import annotations
@@ -75,6 +75,14 @@ def derive_mapping(src: Source) -> DataFrame:
     return load_mapping(out)
 
 
+def _descriptions(mapping: DataFrame) -> DataFrame:
+    """Fuzzy candidates: distinct descriptions per distributor, each at its first position."""
+    return (mapping.groupBy(F.col("distributor_code").alias("g"), F.col("dist_product_desc").alias("t"))
+            .agg(F.min_by(F.struct("map_order", "sap_product_id", "sap_product_name"), "map_order").alias("_m"))
+            .select("g", "t", F.col("_m.map_order").alias("pos"),
+                    F.struct(F.col("_m.sap_product_id").alias("id"), F.col("_m.sap_product_name").alias("name")).alias("hit")))
+
+
 def map_product_codes(feed: DataFrame, mapping: DataFrame, *, code_col: str = "dist_product_code",
                       desc_col: str = "product_name_raw", cutoff: float = 70.0) -> DataFrame:
     """Add sap_product_id, sap_product_name, mapping_confidence, mapping_exact."""
@@ -86,11 +94,7 @@ def map_product_codes(feed: DataFrame, mapping: DataFrame, *, code_col: str = "d
              .agg(F.max_by(F.struct("sap_product_id", "sap_product_name", "mapping_confidence"), "map_order")
                   .alias("_ex")))
     d = d.join(exact, ["distributor_code", "_code"], "left")
-    # fuzzy candidates: distinct descriptions per distributor, first position
-    cands = (mapping.groupBy(F.col("distributor_code").alias("g"), F.col("dist_product_desc").alias("t"))
-             .agg(F.min_by(F.struct("map_order", "sap_product_id", "sap_product_name"), "map_order").alias("_m"))
-             .select("g", "t", F.col("_m.map_order").alias("pos"),
-                     F.struct(F.col("_m.sap_product_id").alias("id"), F.col("_m.sap_product_name").alias("name")).alias("hit")))
+    cands = _descriptions(mapping)
     need = (d.filter(F.col("_ex").isNull() & (F.length("_desc") > 3))
             .select(F.col("distributor_code").alias("g"), F.col("_desc").alias("q")).distinct())
     fz = best_matches(need, cands, cutoff).select(
@@ -117,6 +121,20 @@ def unmapped_report(mapped: DataFrame, *, code_col: str = "dist_product_code",
         F.count(F.lit(1)).alias("occurrence_count"), F.min(seen_col).alias("first_seen"))
 
 
+#: Similarity in per cent below which a description is no suggestion.
+SUGGEST_FROM = 40.0
+
+
+def with_suggestions(report: DataFrame, mapping: DataFrame, least: float = SUGGEST_FROM) -> DataFrame:
+    """Unmapped codes with ``suggested_match`` and ``similarity_score`` (0 to 1): the product whose description is
+    nearest, from ``least`` per cent on, far below the cutoff of the mapping (J-2)."""
+    need = report.select(F.col("distributor_code").alias("g"), F.col("product_description").alias("q")).distinct()
+    best = best_matches(need, _descriptions(mapping), least).select(
+        F.col("g").alias("distributor_code"), F.col("q").alias("product_description"),
+        F.col("hit.name").alias("suggested_match"), F.round(F.col("score") / 100, 3).alias("similarity_score"))
+    return report.join(best, ["distributor_code", "product_description"], "left")
+
+
 def merge_unmapped(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Insert-if-absent with counts: existing keys add occurrences, keep the earliest sighting (B-5)."""
     keys = ["distributor_code", "dist_product_code", "product_description"]

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import text as tx
 from salesmart.operators import cleanse as cl
-from salesmart.operators.matching import derive_mapping, map_product_codes, unmapped_report
+from salesmart.operators.matching import derive_mapping, map_product_codes, unmapped_report, with_suggestions
 from salesmart.plans.ingest import AS_OF
+from salesmart.session import materialize
 from salesmart.sources import grid
 from salesmart.sources.tables import Source
 
@@ -142,20 +143,28 @@ def city_cleansing(src: Source) -> DataFrame:
                       cl.zone_from_city(F.col("city_name_clean")).alias("zone_code"))
 
 
-def _mapped(src: Source) -> DataFrame:
-    return map_product_codes(grid.parsed_feed(src, AS_OF), derive_mapping(src))
+_MAPPED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def mapped_feed(src: Source) -> DataFrame:
+    """The parsed workbook rows with their mapped products, written once per version of the source's files."""
+    key = src.state_key()
+    if key not in _MAPPED:
+        _MAPPED[key] = materialize(map_product_codes(grid.parsed_feed(src, AS_OF), derive_mapping(src)), "mapped-feed",
+                                   ["distributor_code"])
+    return _MAPPED[key]
 
 
 def product_code_mapping(src: Source) -> DataFrame:
     """Exact then fuzzy product-code mapping of every workbook line (D-8, D-9)."""
-    return _mapped(src).select("distributor_code", "source_file", "row_num", "dist_product_code",
-                               "product_name_raw", "sap_product_id", "sap_product_name", "mapping_confidence",
-                               "mapping_exact")
+    return mapped_feed(src).select("distributor_code", "source_file", "row_num", "dist_product_code",
+                                   "product_name_raw", "sap_product_id", "sap_product_name", "mapping_confidence",
+                                   "mapping_exact")
 
 
 def unmapped_products(src: Source) -> DataFrame:
-    """Codes left without a product, with counts and first sighting (J-2)."""
-    return unmapped_report(_mapped(src))
+    """Codes left without a product, with counts, first sighting and the nearest description (J-2)."""
+    return with_suggestions(unmapped_report(mapped_feed(src)), derive_mapping(src))
 
 
 def product_name_cleansing(src: Source) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators import cleanse as cl
-from salesmart.operators.matching import derive_mapping, map_product_codes
+from salesmart.operators import staging
 from salesmart.operators.resolve import resolve_keys
 from salesmart.operators.security import NATIONAL_MANAGER, entitlements, secure_view
 from salesmart.operators.upsert import FACT_KEY, FACT_UPDATABLE, merge
@@ -20,6 +20,7 @@ from salesmart.sources import grid, star
 from salesmart.sources.tables import Source
 
 QUALITY_AS_OF = date(2001, 6, 1)
+SPLIT = date(1998, 1, 1)         # rows booked, and files dated, before this are already loaded
 
 
 # --------------------------------------------------------------------------- J-4 quality log
@@ -101,18 +102,19 @@ def national_zone_sales(src: Source) -> DataFrame:
 # --------------------------------------------------------------------------- B-1 / C-16 staging
 
 def staging_payloads(src: Source) -> DataFrame:
-    """Workbook rows staged as JSON payloads, not yet processed (B-1, C-16)."""
+    """Workbook rows staged as JSON payloads by header text, of files that no load has processed yet (B-1, C-16).
+
+    Files dated before ``SPLIT`` are the ones that the ledger has as processed.
+    """
     g = grid.land_grid(src)
-    rows = g.filter(F.col("row_num") > 0)
-    return rows.select(F.col("distributor").alias("distributor_id"), F.col("file").alias("file_name"),
-                       "row_num", F.to_json(F.struct(F.col("sheet"), F.col("cells"))).alias("raw_data"),
-                       F.lit(AS_OF).alias("extracted_at"), F.lit(False).alias("processed_flag")) \
-        .filter(~F.col("processed_flag"))
+    day = F.try_to_date(F.regexp_extract("file", r"_(\d{8})\.", 1), "yyyyMMdd")
+    ledger = g.where(day < F.lit(SPLIT)).select(F.col("file").alias("source_file"), F.lit("processed").alias("outcome")).distinct()
+    rows = staging.unprocessed(staging.payloads(g, AS_OF), ledger)
+    return rows.select("distributor_id", "file_name", "sheet", "row_num", "raw_data", "extracted_at")
 
 
 # --------------------------------------------------------------------------- B-2 merge semantics
 
-SPLIT = date(1998, 1, 1)         # rows booked before this are already loaded
 RESEND_FROM = date(1997, 7, 1)   # the incoming batch re-sends from here, with revised amounts
 
 
@@ -143,9 +145,9 @@ def fact_upsert_merge(src: Source) -> DataFrame:
 
 def resolved_feed_facts(src: Source) -> DataFrame:
     """Workbook lines mapped, cleansed and resolved to star-schema keys (D-1 ... D-7, C-17 ... C-19)."""
+    from salesmart.plans.cleansing_queries import mapped_feed
     from salesmart.plans.load_jobs import default_dimensions, with_line_numbers
-    parsed = with_line_numbers(grid.parsed_feed(src, AS_OF))
-    mapped = map_product_codes(parsed, derive_mapping(src)).withColumn("_seq", F.struct("source_file", "row_num"))
+    mapped = with_line_numbers(mapped_feed(src)).withColumn("_seq", F.struct("source_file", "row_num"))
     clean, _ = cl.cleanse(mapped, seq_col="_seq", as_of=DATA_AS_OF, min_date=DATA_MIN_DATE)
     facts, _ = resolve_keys(clean.drop("_seq"), default_dimensions(src), as_of=datetime(2024, 1, 1))
     return facts

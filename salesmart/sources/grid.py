@@ -117,21 +117,26 @@ def read_profile(grid: DataFrame, profile: Profile, as_of: datetime | None = Non
 NEEDED_COLUMNS = ("sale_date", "invoice_number", "dist_product_code", "quantity")
 
 
+def _of_layout(value) -> Column:
+    """A property of the layout that the row's file name tells, NULL if there is no such layout."""
+    code = F.regexp_extract("file", r"^(DIST_[A-Z])_", 1)
+    return F.coalesce(*[F.when(code == c, value(p)) for c, p in PROFILES.items()])
+
+
+def layout() -> tuple[Column, Column, Column]:
+    """Code, whether the row's sheet is one of the layout, header row: of a grid row by its file name."""
+    in_sheet = _of_layout(lambda p: F.col("sheet").startswith(p.zone_prefix) if p.multi_sheet else F.col("sheet") == p.sheet)
+    return F.regexp_extract("file", r"^(DIST_[A-Z])_", 1), in_sheet, _of_layout(lambda p: F.lit(p.header_row))
+
+
 def file_status(grid: DataFrame) -> DataFrame:
     """file, distributor_code, reason: why a landed workbook cannot be read, or NULL (B-10).
 
     One aggregate over the whole batch, so every file is judged on its own before anything is written:
     unknown layout, rows without cells, no sheet of the layout, no header row, missing columns, no data rows.
     """
-    code = F.regexp_extract("file", r"^(DIST_[A-Z])_", 1)
-
-    def of(value) -> Column:
-        """A property of the file's layout, NULL if there is no such layout."""
-        return F.coalesce(*[F.when(code == c, value(p)) for c, p in PROFILES.items()])
-
-    needed = of(lambda p: F.array(*[F.lit(h) for h, c in p.columns if c in NEEDED_COLUMNS]))
-    in_sheet = of(lambda p: F.col("sheet").startswith(p.zone_prefix) if p.multi_sheet else F.col("sheet") == p.sheet)
-    header_row = of(lambda p: F.lit(p.header_row))
+    code, in_sheet, header_row = layout()
+    needed = _of_layout(lambda p: F.array(*[F.lit(h) for h, c in p.columns if c in NEEDED_COLUMNS]))
     header = F.when(in_sheet & (F.col("row_num") == header_row), F.transform("cells", lambda c: F.trim(c)))
     data = in_sheet & (F.col("row_num") > header_row) & F.exists("cells", lambda c: c.isNotNull())
     sheets = grid.groupBy("file", code.alias("distributor_code"), "sheet").agg(
@@ -304,16 +309,16 @@ def derive_grids(src: Source) -> DataFrame:
     return data.unionByName(_grid_extras(data))
 
 
-_LANDED: dict[tuple[str, str], DataFrame] = {}
+_LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def land_grid(src: Source) -> DataFrame:
     """The landed raw-grid table, partitioned by distributor (one scan per layout prunes to its folder).
 
-    Landing happens once per source folder and application: later readers
+    Landing happens once per version of the source's files: later readers
     scan the landed files, as they would the landing-zone table.
     """
-    key = (src.spark.sparkContext.applicationId, src.root)
+    key = src.state_key()
     if key not in _LANDED:
         import uuid
         path = f"{checkpoint_dir(src.spark).rstrip('/')}/tables/grid-{uuid.uuid4().hex[:12]}"
@@ -325,16 +330,16 @@ def land_grid(src: Source) -> DataFrame:
     return _LANDED[key]
 
 
-_PARSED: dict[tuple[str, str], DataFrame] = {}
+_PARSED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def parsed_feed(src: Source, as_of: datetime | None = None) -> DataFrame:
-    """The parsed workbook rows as a staging table (written once per source folder and application).
+    """The parsed workbook rows as a staging table (written once per version of the source's files).
 
     Consumers of parsed rows (mapping results, the validation queue, key
     resolution) read this table instead of re-parsing every workbook.
     """
-    key = (src.spark.sparkContext.applicationId, src.root)
+    key = src.state_key()
     if key not in _PARSED:
         _PARSED[key] = materialize(read_all_profiles(land_grid(src), as_of), "parsed-feed", ["distributor_code"])
     return _PARSED[key]

@@ -176,7 +176,7 @@ def _build(src: Source, client: bool, product: bool, include_deleted: bool, oute
     return fact
 
 
-_LOADED: dict[tuple[str, str], DataFrame] = {}
+_LOADED: dict[tuple[str, str, str], DataFrame] = {}
 BASE_COLUMNS = ["invoice_number", "invoice_line", "product_key", "supplier_key", "distributor_key", "quantity", "unit_price",
                 "gross_amount", "discount_pct", "discount_amount", "net_amount", "is_deleted", "client_key",
                 "sale_date", "date_key", "year", "month_num", "month_name", "year_month", "salesperson_key",
@@ -187,7 +187,7 @@ PRODUCT_COLUMNS = ["product_name", "category", "subcategory", "rx_otc_flag", "la
 
 
 def loaded_fact(src: Source, path: str | None = None) -> DataFrame:
-    """The denormalised sales fact, written once per source folder and application.
+    """The denormalised sales fact, written once per version of the source's files.
 
     This is the warehouse's load step: every line with all dimension
     attributes (left-joined, with found-flags), soft-deleted lines included,
@@ -195,7 +195,7 @@ def loaded_fact(src: Source, path: str | None = None) -> DataFrame:
     Reports then scan only the columns they use instead of re-joining the
     sources; the found-flags give them exactly the rows an inner join would.
     """
-    key = (src.spark.sparkContext.applicationId, src.root)
+    key = src.state_key()
     if key not in _LOADED or path is not None:
         from salesmart.session import materialize
         wide = _build(src, client=True, product=True, include_deleted=True, outer=True)

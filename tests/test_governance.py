@@ -5,8 +5,12 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from salesmart.operators import runlog, staging
 from salesmart.operators.resolve import UNKNOWN, Dimensions, resolve_keys
+from salesmart.plans import marts
 from salesmart.plans import validation as v
+from salesmart.sources.tables import Source
+from tests.conftest import SF_SMALL
 
 
 def _dims(spark):
@@ -42,10 +46,74 @@ def test_validation_status_latest_decision_wins(spark):
                                    (3, "CIUDAD", "Zz", "Santo Domingo", 30.0)],
                                   "queue_id bigint, entry_type string, raw_value string, suggested_value string, "
                                   "confidence_pct double")
-    log = tempfile.mkdtemp(prefix="salesmart-decisions-") + "/log"
-    auto = v.auto_decisions(queue, datetime(2024, 1, 1))
-    auto.write.parquet(log)
-    v.apply_decision(spark, log, 1, v.REJECTED, datetime(2024, 1, 2), "analyst")
-    status = {r.queue_id: r.status for r in v.with_status(queue, spark.read.parquet(log)).collect()}
-    assert status == {1: v.REJECTED, 2: v.PENDING, 3: v.REJECTED}
-    assert auto.filter(F.col("queue_id") == 1).first().decision == v.APPROVED
+    log = tempfile.mkdtemp(prefix="salesmart-decisions-")
+    state = lambda: {r.queue_id: r.status for r in v.with_status(queue, v.decisions(spark, log)).collect()}
+    # no decision, no status: the confidence decides nothing
+    assert state() == dict.fromkeys((1, 2, 3), v.PENDING)
+    v.apply_decision(spark, log, 1, v.APPROVED, datetime(2024, 1, 1), "analyst")
+    v.apply_decision(spark, log, 3, v.REJECTED, datetime(2024, 1, 1), "analyst")
+    v.apply_decision(spark, log, 1, v.REJECTED, datetime(2024, 1, 2), "other")
+    assert state() == {1: v.REJECTED, 2: v.PENDING, 3: v.REJECTED}
+    v.compact(spark, log)
+    assert state() == {1: v.REJECTED, 2: v.PENDING, 3: v.REJECTED}
+    v.apply_decision(spark, log, 3, v.APPROVED, datetime(2024, 1, 3), "other")
+    v.compact(spark, log)
+    assert state() == {1: v.REJECTED, 2: v.PENDING, 3: v.APPROVED}
+    bands = queue.select("queue_id", v.band(F.col("confidence_pct")).alias("b")).collect()
+    assert {r.queue_id: r.b for r in bands} == {1: "ALTA", 2: "BAJA", 3: "BAJA"}
+
+
+def test_a_decision_changes_the_next_queue_report(spark):
+    src = Source(spark, SF_SMALL)
+    spark.conf.set("salesmart.validation.decisions", tempfile.mkdtemp(prefix="salesmart-decisions-"))
+    try:
+        before = {r.status: r.entries for r in v.validation_status_counts(src).collect()}
+        entry = v.validation_pending(src).first()
+        v.apply_decision(spark, v.decision_log(spark), entry.queue_id, v.APPROVED, datetime(2024, 6, 1), "analyst")
+        after = {r.status: r.entries for r in v.validation_status_counts(src).collect()}
+        assert after == before | {v.PENDING: before[v.PENDING] - 1, v.APPROVED: before[v.APPROVED] + 1}
+        newest = v.validation_history(src).first()
+        assert (newest.raw_value, newest.resolved_by) == (entry.raw_value, "analyst")
+    finally:
+        spark.conf.unset("salesmart.validation.decisions")
+
+
+def test_staged_twice_loaded_once_none_unprocessed(spark):
+    root = tempfile.mkdtemp(prefix="salesmart-staging-")
+    head = ["Fecha", "Num_Factura", "", "Num_Factura", "Cod_Producto", "Cantidad"]
+    g = spark.createDataFrame(
+        [(f, "Ventas", 0, head) for f in ("DIST_A_1.xlsx", "DIST_A_2.xlsx")]
+        + [("DIST_A_1.xlsx", "Ventas", 1, ["2024-01-01", "F1", "x", "again", None]), ("DIST_A_1.xlsx", "Ventas", 2, [None] * 6),
+           ("DIST_A_2.xlsx", "Ventas", 1, ["2024-01-02", 'F"2', "x", "again", "RA-1", "3"]), ("DIST_A_2.xlsx", "Notas", 1, ["no data"])],
+        "file string, sheet string, row_num bigint, cells array<string>")
+    at = datetime(2024, 1, 5)
+    for run in ("a", "a", "b"):
+        staging.stage(g, f"{root}/staging", run, at)
+    assert staging.waiting(spark, f"{root}/none", f"{root}/ledger") is None
+    got = staging.waiting(spark, f"{root}/staging", f"{root}/ledger").orderBy("file_name").collect()
+    assert [(r.distributor_id, r.file_name, r.row_num, r.raw_data) for r in got] == [
+        ("DIST_A", "DIST_A_1.xlsx", 1, '{"Fecha":"2024-01-01","Num_Factura":"F1","column 3":"x","Num_Factura 4":"again",'
+                                       '"Cod_Producto":null,"Cantidad":null}'),
+        ("DIST_A", "DIST_A_2.xlsx", 1, '{"Fecha":"2024-01-02","Num_Factura":"F\\"2","column 3":"x","Num_Factura 4":"again",'
+                                       '"Cod_Producto":"RA-1","Cantidad":"3"}')]
+    done = lambda *files: spark.createDataFrame([(f, "processed") for f in files] + [("DIST_A_9.xlsx", "rejected")],
+                                                "source_file string, outcome string")
+    runlog.put(done("DIST_A_1.xlsx"), f"{root}/ledger", "a")
+    assert [r.file_name for r in staging.waiting(spark, f"{root}/staging", f"{root}/ledger").collect()] == ["DIST_A_2.xlsx"]
+    runlog.put(done("DIST_A_2.xlsx"), f"{root}/ledger", "b")
+    assert staging.waiting(spark, f"{root}/staging", f"{root}/ledger").isEmpty()
+
+
+def test_landed_data_is_seen_by_the_next_report(spark):
+    import shutil
+    root = tempfile.mkdtemp(prefix="salesmart-src-")
+    for name in ("region", "nation", "customer", "part", "orders"):
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", root)
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    half = lines.where("l_orderkey % 2 = 0")
+    half.coalesce(1).write.parquet(f"{root}/lineitem.parquet")
+    net = lambda: marts.sales_by_category(Source(spark, root)).agg(F.sum("total_quantity")).first()[0]
+    before = net()
+    assert before == net()
+    lines.where("l_orderkey % 2 = 1").coalesce(1).write.mode("append").parquet(f"{root}/lineitem.parquet")
+    assert net() > 1.5 * before

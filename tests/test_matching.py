@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from salesmart.functions import similarity as sim
 from salesmart.operators import cleanse as cl
 from salesmart.operators import fuzzy
-from salesmart.operators.matching import derive_mapping, map_product_codes
+from salesmart.operators.matching import SUGGEST_FROM, derive_mapping, map_product_codes, with_suggestions
 from salesmart.plans import cleansing_queries as cq
 from salesmart.sources import grid
 from salesmart.sources import reference_data as rd
@@ -237,3 +237,15 @@ def test_few_pairs_are_scored_on_the_part_table(spark):
             want[q] = (pos, -less)
     assert got == want and want
     assert counts["pairs"] < 0.05 * len(asked) * len(texts)
+
+
+def test_suggestions_are_the_nearest_descriptions(spark):
+    texts, asked = catalogue(random.Random(11), 200)
+    mapping = spark.createDataFrame([("D", t, i, i, f"p{i}") for i, t in enumerate(texts)],
+                                    "distributor_code string, dist_product_desc string, map_order int, sap_product_id int, "
+                                    "sap_product_name string")
+    report = spark.createDataFrame([("D", q) for q in asked], "distributor_code string, product_description string")
+    got = {r.product_description: (r.suggested_match, r.similarity_score) for r in with_suggestions(report, mapping).collect()}
+    want = best_of_all(asked, texts, SUGGEST_FROM)
+    assert got == {q: (f"p{want[q][0]}", pytest.approx(want[q][1] / 100, abs=6e-4)) if q in want else (None, None) for q in asked}
+    assert 0 < sum(s is None for s, _ in got.values()) < len(asked) / 2
