@@ -133,5 +133,6 @@ from salesmart.sources import extracts  # noqa: E402
 for _n in ["sales_csv_roundtrip", "erp_changes_since", "historical_extract", "previous_month_extract",
            "master_clients", "master_products", "seed_salespeople", "sql_zone_year_sales"]:
     register(_n)(getattr(extracts, _n))
-for _n in ["filter_options", "load_summary_by_year", "home_kpis_last_12m", "feed_quality_counters"]:
+for _n in ["filter_options", "load_summary_by_year", "home_kpis_last_12m", "feed_quality_counters", "home_kpis_selected",
+           "home_category_selected", "zone_monthly_period", "client_type_mix_period", "commission_list_selected"]:
     register(_n)(getattr(admin, _n))

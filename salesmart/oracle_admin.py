@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from salesmart.oracle_ingest import FEED_CTE
 from salesmart.oracle_screens import S, TICKET0
 from salesmart.oracle_sql import ORACLE, money, rdiv, with_sales
-from salesmart.plans.admin import LAST_12M_AS_OF
+from salesmart.plans.admin import LAST_12M_AS_OF, PERIOD, SELECTED
 from salesmart.sources.extracts import DELTA_AS_OF, ERP_LAST_LOADED, HISTORY_FROM, HISTORY_TO
-from salesmart.sources.grid import BLANK_INVOICE_LINE
 
 ORACLE["sales_csv_roundtrip"] = S("""
 SELECT invoice_number, invoice_line, sale_date AS full_date, product_key AS product_id, client_key AS client_id,
@@ -53,7 +51,18 @@ SELECT {money('SUM(net_amount)', 0)} AS total_net,
        {rdiv('SUM(CAST(margin_pct * 1000 AS HUGEINT))', 'COUNT(margin_pct) * 1000', 2)} AS avg_margin,
        COUNT(DISTINCT invoice_number) AS invoices, COUNT(DISTINCT client_key) AS clients, {TICKET0}
 FROM sales WHERE sale_date >= DATE '{LAST_12M_AS_OF}' - INTERVAL 12 MONTH""")
-ORACLE["feed_quality_counters"] = with_sales(FEED_CTE + f"""
-SELECT code AS distributor_code, COUNT(*) AS rows, CAST(0 AS BIGINT) AS invalid_quantity,
-       CAST(0 AS BIGINT) AS invalid_price, CAST(0 AS BIGINT) AS invalid_amounts, CAST(0 AS BIGINT) AS invalid_dates
-FROM fl2 WHERE invoice_line <> {BLANK_INVOICE_LINE} GROUP BY code""", include_deleted=True)
+
+
+def _in(column: str, values: tuple) -> str:
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
+
+
+_SELECTED = " AND ".join([_in("year", SELECTED.years), _in("zone_name", SELECTED.zones), _in("category", SELECTED.categories)])
+_PERIOD = " AND ".join([f"sale_date BETWEEN DATE '{PERIOD.date_from}' AND DATE '{PERIOD.date_to}'",
+                        _in("client_type", PERIOD.client_types), "distributor_type = 'EXTERNO'"])
+for _name, _of, _cond in (("home_kpis_selected", "home_kpis", _SELECTED), ("home_category_selected", "home_category_totals", _SELECTED),
+                          ("zone_monthly_period", "zone_monthly", _PERIOD), ("client_type_mix_period", "client_type_mix", _PERIOD)):
+    ORACLE[_name] = ORACLE[_of].replace("FROM sales", f"FROM sales WHERE {_cond}")
+ORACLE["commission_list_selected"] = f"""
+SELECT * FROM ({ORACLE['commission_list']})
+WHERE {_in("CAST(split_part(year_month, '-', 1) AS INTEGER)", SELECTED.years)} AND {_in("zone_name", SELECTED.zones)}"""

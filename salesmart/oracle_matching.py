@@ -90,6 +90,13 @@ near AS (SELECT best.g, best.q, name, score FROM best JOIN cand ON cand.g = best
 SELECT u.*, name AS suggested_match, round(score / 100, 3) AS similarity_score
 FROM u LEFT JOIN near ON near.g = u.distributor_code AND near.q = u.product_description"""
 
+ORACLE["feed_quality_counters"] = f"""
+WITH {MAPPED}
+SELECT distributor_code, COUNT(*) AS rows, CAST(0 AS BIGINT) AS invalid_quantity, CAST(0 AS BIGINT) AS invalid_price,
+       CAST(0 AS BIGINT) AS invalid_amounts, CAST(0 AS BIGINT) AS invalid_dates,
+       round(COUNT(sap_product_id) * CAST(100 AS DOUBLE) / COUNT(*), 1) AS mapped_pct
+FROM mapped GROUP BY distributor_code"""
+
 ORACLE["product_name_cleansing"] = f"""
 WITH feed AS ({ORACLE['feed_parsed_rows']}),
 raw AS (SELECT DISTINCT product_name_raw, {normalize('product_name_raw')} AS q FROM feed),

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.commission import fact_commission
 from salesmart.plans import marts, screens
+from salesmart.plans.cleansing_queries import mapped_feed
 from salesmart.plans.filters import Filters
-from salesmart.sources import grid, star
+from salesmart.sources import star
 from salesmart.sources.tables import Source
 
 LAST_12M_AS_OF = date(2001, 8, 2)
@@ -61,14 +62,45 @@ def quality_counters(df: DataFrame, name: str = "batch_quality") -> tuple[DataFr
 
 
 def feed_quality_counters(src: Source) -> DataFrame:
-    """Quality counters of every parsed workbook, per distributor (E-20)."""
-    feed = grid.read_all_profiles(grid.land_grid(src))
-    return feed.groupBy("distributor_code").agg(
+    """Quality counters and mapped share of every parsed workbook line, per distributor (E-20)."""
+    return mapped_feed(src).groupBy("distributor_code").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("quantity") <= 0).alias("invalid_quantity"),
         F.count_if(F.col("unit_price") <= 0).alias("invalid_price"),
         F.count_if(F.col("net_amount").isNull()).alias("invalid_amounts"),
-        F.count_if(F.col("sale_date").isNull()).alias("invalid_dates"))
+        F.count_if(F.col("sale_date").isNull()).alias("invalid_dates"),
+        F.round(F.count("sap_product_id") * 100 / F.count(F.lit(1)), 1).alias("mapped_pct"))
+
+
+# FIXED VALUES: a selection in each of the dashboard's global filters.
+SELECTED = Filters(years=(1995, 1996, 1997), zones=("ASIA", "EUROPE"), categories=("PROMO", "ECONOMY"))
+PERIOD = Filters(date_from=date(1996, 3, 15), date_to=date(1997, 2, 14), client_types=("BUILDING", "MACHINERY"),
+                 distributor_types=("EXTERNO",))
+
+
+def home_kpis_selected(src: Source) -> DataFrame:
+    """Home KPIs of some years, zones and categories (C-14)."""
+    return screens.home_kpis(src, SELECTED)
+
+
+def home_category_selected(src: Source) -> DataFrame:
+    """Category totals of some years, zones and categories (C-14)."""
+    return screens.home_category_totals(src, SELECTED)
+
+
+def zone_monthly_period(src: Source) -> DataFrame:
+    """Monthly zone figures of a date range, some client types and one distributor type (C-24)."""
+    return screens.zone_monthly(src, PERIOD)
+
+
+def client_type_mix_period(src: Source) -> DataFrame:
+    """Client mix of a date range, some client types and one distributor type (C-24)."""
+    return screens.client_type_mix(src, PERIOD)
+
+
+def commission_list_selected(src: Source) -> DataFrame:
+    """Commissions of some years, taken from YYYY-MM, and zones (C-15)."""
+    return screens.commission_list(src, SELECTED)
 
 
 def refresh_marts(src: Source, root: str) -> dict[str, str]:

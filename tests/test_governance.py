@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import runlog, staging
 from salesmart.operators.resolve import UNKNOWN, Dimensions, resolve_keys
-from salesmart.plans import marts
+from salesmart.plans import load_jobs, marts
 from salesmart.plans import validation as v
 from salesmart.sources.tables import Source
 from tests.conftest import SF_SMALL
@@ -117,3 +117,17 @@ def test_landed_data_is_seen_by_the_next_report(spark):
     assert before == net()
     lines.where("l_orderkey % 2 = 1").coalesce(1).write.mode("append").parquet(f"{root}/lineitem.parquet")
     assert net() > 1.5 * before
+
+
+def test_dimensions_are_cached_until_their_files_move(spark):
+    import shutil
+    root = tempfile.mkdtemp(prefix="salesmart-dims-")
+    for name in ("region", "nation", "part"):
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", root)
+    clients = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    clients.where("c_custkey % 2 = 0").coalesce(1).write.parquet(f"{root}/customer.parquet")
+    src = Source(spark, root)
+    first = load_jobs.default_dimensions(src).clients
+    assert load_jobs.default_dimensions(Source(spark, root)).clients is first and first.count() < clients.count()
+    clients.where("c_custkey % 2 = 1").coalesce(1).write.mode("append").parquet(f"{root}/customer.parquet")
+    assert load_jobs.default_dimensions(src).clients.count() == clients.count()
