@@ -192,3 +192,43 @@ ORACLE["validation_history"] = f"""
 WITH {QUEUE}
 SELECT entry_type, raw_value, suggested_value, confidence_pct, source_distributor, status, resolved_at, resolved_by
 FROM state WHERE status <> '{v.PENDING}'"""
+
+# ----------------------------------------------------------------------------- key resolution
+
+from salesmart.operators.resolve import ZONES  # noqa: E402
+from salesmart.oracle_cleansing import client_clean  # noqa: E402
+from salesmart.plans.cleansing_queries import DATA_AS_OF, DATA_MIN_DATE  # noqa: E402
+from salesmart.plans.governance import RESOLVED_AS_OF  # noqa: E402
+
+_ZONE_KEY = {code: key for key, code, _ in ZONES}
+_CITY_KEYS = ", ".join(f"('{c}', {i + 1}, {_ZONE_KEY[dict(rd.CITY_ZONE)[c]]})" for i, c in enumerate(CANONICAL_CITIES))
+_SELLERS = " ".join(f"WHEN '{c}' THEN {k}" for k, c, *_ in rd.DISTRIBUTORS)
+
+ORACLE["resolved_feed_facts"] = f"""
+WITH {MAPPED},
+{clean_cities("SELECT city_name_raw AS raw FROM feed")},
+city_keys(name, city_key, zone_key) AS (VALUES {_CITY_KEYS}),
+named AS (SELECT c_name AS name, min(c_custkey) AS client_key FROM customer GROUP BY c_name),
+raw_names AS (SELECT raw, {client_clean('raw')} AS clean FROM (SELECT DISTINCT client_name_raw AS raw FROM feed)),
+numbered AS (SELECT *, g AS source_system, CAST(row_number() OVER (PARTITION BY source_file, invoice_number ORDER BY sheet, row_num)
+                                               AS INTEGER) AS invoice_line FROM mapped),
+valid AS (SELECT * FROM numbered WHERE sale_date BETWEEN DATE '{DATA_MIN_DATE}' AND DATE '{DATA_AS_OF}'
+          AND coalesce(quantity > 0, TRUE) AND coalesce(unit_price > 0, TRUE)),
+kept AS (SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY source_system, invoice_number, invoice_line
+                                                        ORDER BY source_file DESC, row_num DESC) = 1),
+net AS (SELECT *, CASE WHEN net_amount < 0 THEN gross_amount ELSE net_amount END AS net FROM kept)
+SELECT CAST(strftime(sale_date, '%Y%m%d') AS INTEGER) AS date_key, coalesce(p_partkey, 0) AS product_key,
+       coalesce(named.client_key, 0) AS client_key, city_key, zone_key,
+       CASE g {_SELLERS} END AS distributor_key,
+       coalesce(CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER), 0) AS laboratory_key, 0 AS salesperson_key,
+       invoice_number, invoice_line, quantity, unit_price, coalesce(gross_amount, net) AS gross_amount,
+       CAST(coalesce(least(greatest(discount_pct, 0), 100), 0) AS DOUBLE) AS discount_pct,
+       CAST(coalesce(discount_amount, 0) AS DOUBLE) AS discount_amount, net AS net_amount,
+       CAST(NULL AS DOUBLE) AS cost_amount, CAST(NULL AS DOUBLE) AS margin_amount, CAST(NULL AS DOUBLE) AS margin_pct,
+       source_system, invoice_number || '-' || invoice_line AS source_record_id, TIMESTAMP '{RESOLVED_AS_OF}' AS load_timestamp,
+       FALSE AS is_deleted,
+       CASE WHEN p_partkey IS NULL THEN 'product,' ELSE '' END || CASE WHEN named.client_key IS NULL THEN 'client,' ELSE '' END
+         || 'salesperson' AS unresolved_keys
+FROM net JOIN cities ON cities.raw IS NOT DISTINCT FROM city_name_raw JOIN city_keys ON city_keys.name = cities.city
+LEFT JOIN part ON p_partkey = sap_product_id
+LEFT JOIN raw_names ON raw_names.raw = client_name_raw LEFT JOIN named ON named.name = raw_names.clean"""

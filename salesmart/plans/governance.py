@@ -143,11 +143,14 @@ def fact_upsert_merge(src: Source) -> DataFrame:
 
 # --------------------------------------------------------------------------- D-1 ... D-7
 
+RESOLVED_AS_OF = datetime(2024, 1, 1)
+
+
 def resolved_feed_facts(src: Source) -> DataFrame:
     """Workbook lines mapped, cleansed and resolved to star-schema keys (D-1 ... D-7, C-17 ... C-19)."""
     from salesmart.plans.cleansing_queries import mapped_feed
     from salesmart.plans.load_jobs import default_dimensions, with_line_numbers
     mapped = with_line_numbers(mapped_feed(src)).withColumn("_seq", F.struct("source_file", "row_num"))
     clean, _ = cl.cleanse(mapped, seq_col="_seq", as_of=DATA_AS_OF, min_date=DATA_MIN_DATE)
-    facts, _ = resolve_keys(clean.drop("_seq"), default_dimensions(src), as_of=datetime(2024, 1, 1))
-    return facts
+    facts, _ = resolve_keys(clean.drop("_seq"), default_dimensions(src), as_of=RESOLVED_AS_OF)
+    return facts.withColumn("unresolved_keys", F.array_join("unresolved_keys", ","))
