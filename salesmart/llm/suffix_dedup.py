@@ -7,10 +7,12 @@ trigger form a phrase (their union of bytes); equal text gives equal triggers, s
 equal phrases wherever they stand, and phrases overlap enough that none of their windows is lost.
 
 The dictionary holds each distinct phrase once with the first document that has it; the parse is
-each document's sequence of phrases. Order in the corpus is settled on the dictionary: a phrase that
+each document's sequence of phrases. Triggers are counted first, in merged sketches that can only estimate too
+much: one that stands once in the corpus can repeat nothing, and its phrase leaves dictionary and parse. Order in the corpus is settled on the dictionary: a phrase that
 stands earlier as a whole repeats all its windows, however many copies there are. Only phrases that
 share a trigger with a different phrase can share some windows: those dictionary entries, at their
-first place, are expanded into their windows, whose first places are compared by 128-bit hashes.
+first place, are expanded into their windows, whose first places are compared. Phrases and windows are equal if
+two 64-bit hashes are, of the trigger and of all bytes.
 Instead of one suffix array of the corpus, which would be a sequential object, the sorted order
 needed (equal strings together, first place first) comes from grouped minima on these hashes.
 
@@ -25,32 +27,35 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import BITMAP_BITS, bitmap_of, discard, maybe_in, prepare, save
+from salesmart.llm.common import BITMAP_BITS, discard, prepare, save
 from salesmart.llm.textkernel import INVERSE, mix, powers, prefix_sums
+from salesmart.llm.window_dedup import estimated, repeated_triggers, sketch_bits
 
-MATCH, GRAM = 100, 24
+MATCH, GRAM = 100, 40
 BLOCK = 1 << 21
+#: Above the sizes of phrases, for a run's start and size in one number.
+SIZES = 1 << 12
+#: Bytes of texts that are parsed together.
+PACK = 1 << 19
 _LAST = (1 << 63) - 1
-_BASE2 = 0xD1342543DE82EF95 | 1
-_INVERSE2 = pow(_BASE2, -1, 1 << 64)
-_CODE2 = np.random.Generator(np.random.PCG64(13)).integers(1, 2**64 - 1, 256, dtype=np.uint64)
 
 
 class Parse:
-    """Phrases of one block: trigger hash g, first and last window, two hashes of the phrase's bytes."""
+    """Phrases of texts that stand one after the other in a buffer: trigger hash g, first and last window, hash c1."""
 
-    def __init__(self, buf: np.ndarray):
+    def __init__(self, buf: np.ndarray, ends: np.ndarray | None = None):
+        """``ends``: where each text ends; windows that reach into the next one are none."""
         self.sums = prefix_sums(buf)
-        self.sums2 = prefix_sums(buf, _BASE2, _CODE2)
         n = buf.size
-        inverse = powers(INVERSE, n)
-        gram = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * inverse[: n - GRAM + 1])
+        gram = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * powers(INVERSE, n)[: n - GRAM + 1])
         # the smallest hash in each window; its low bits give way to the place, so ties go left
         low = (gram >> np.uint64(24) << np.uint64(24)) | np.arange(gram.size, dtype=np.uint64)
         width, have = MATCH - GRAM + 1, 1
@@ -60,19 +65,26 @@ class Parse:
         rest = width - have
         if rest:
             low = np.minimum(low[: low.size - rest], low[rest:])
-        at = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
-        self.lo = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
-        self.hi = np.concatenate([self.lo[1:] - 1, [at.size - 1]])
-        self.g = gram[at[self.lo]]
-        self.c1, self.c2 = self.hashes(self.lo, self.hi + MATCH)
-
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of the bytes start..end."""
+        inside = np.arange(low.size)
+        if ends is not None and ends.size > 1:
+            over = np.zeros(low.size + 1, dtype=np.int64)
+            np.add.at(over, np.maximum(ends[:-1] - MATCH + 1, 0), 1)
+            np.add.at(over, ends[:-1], -1)
+            inside = np.flatnonzero(np.cumsum(over)[:-1] == 0)
+        at = (low[inside] & np.uint64((1 << 24) - 1)).astype(np.int64)
+        cut = np.flatnonzero(np.diff(at))
+        self.lo = inside[np.concatenate([[0], cut + 1])]
+        self.hi = inside[np.concatenate([cut, [at.size - 1]])]
+        self.g = gram[at[np.concatenate([[0], cut + 1])]]
+
+    @cached_property
+    def c1(self) -> np.ndarray:
+        return self.hashes(self.lo, self.hi + MATCH)
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hash of the bytes start..end."""
         top = int(start.max()) if start.size else 0
-        size = (end - start).astype(np.uint64)
-        a = mix((self.sums[end] - self.sums[start]) * powers(INVERSE, top)[start] + size)
-        b = mix((self.sums2[end] - self.sums2[start]) * powers(_INVERSE2, top)[start] + size)
-        return a, b
+        return mix((self.sums[end] - self.sums[start]) * powers(INVERSE, top)[start] + (end - start).astype(np.uint64))
 
 
 def parses(data: bytes | None) -> Iterator[tuple[int, Parse]]:
@@ -82,17 +94,76 @@ def parses(data: bytes | None) -> Iterator[tuple[int, Parse]]:
         yield at, Parse(np.frombuffer(data[at: at + BLOCK + MATCH - 1], dtype=np.uint8))
 
 
+class Pack(NamedTuple):
+    """A parse of many texts, or of one block of a long one: their doc, h and start in the buffer, the block's offset."""
+    parse: Parse
+    doc: np.ndarray
+    h: np.ndarray
+    starts: np.ndarray
+    offset: int
+    ends_text: bool  # no more blocks of the last text follow
+
+    def text_of(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, place, side="right") - 1
+
+
+def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[Pack]:
+    """(doc, h, data) rows, texts of MATCH bytes or more, packed by about PACK bytes."""
+    held: list[tuple[int, int, bytes]] = []
+    size = 0
+
+    def pack() -> Pack:
+        doc, h, data = zip(*held, strict=True)
+        ends = np.cumsum([len(x) for x in data])
+        parse = Parse(np.frombuffer(b"".join(data), dtype=np.uint8), ends)
+        return Pack(parse, np.array(doc), np.array(h), np.concatenate([[0], ends[:-1]]), 0, True)
+
+    for batch in batches:
+        for doc, h, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if len(data) > PACK:
+                last = (len(data) - MATCH) // BLOCK * BLOCK
+                for at, p in parses(data):
+                    yield Pack(p, np.array([doc]), np.array([h]), np.zeros(1, dtype=np.int64), at, at == last)
+                continue
+            held.append((doc, h, data))
+            size += len(data)
+            if size > PACK:
+                yield pack()
+                held, size = [], 0
+    if held:
+        yield pack()
+
+
+def _repeats(*keys: np.ndarray) -> np.ndarray:
+    """Which places have the keys of an earlier one."""
+    order = np.lexsort(keys[::-1])
+    same = np.ones(max(order.size - 1, 0), dtype=bool)
+    for k in keys:
+        same &= k[order[1:]] == k[order[:-1]]
+    out = np.zeros(order.size, dtype=bool)
+    out[order[1:][same]] = True  # lexsort is stable: the first of equal ones comes first
+    return out
+
+
 def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = (keys & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+    slot = (keys & np.uint64(bitmap.size * 64 - 1)).astype(np.int64)
     return (bitmap[slot >> 6] >> (slot & 63)) & 1 == 1
 
 
-def _bitmap(df: DataFrame, col: str) -> np.ndarray:
-    """Membership bitmap of hashes, by their low bits: of fixed size."""
-    words = (df.select(F.col(col).bitwiseAND(F.lit(BITMAP_BITS - 1)).alias("s"))
+def _bits(n: int) -> int:
+    """Bits of a bitmap for n hashes: 32 for each, by powers of two from BITMAP_BITS to 2**28 (32 MB).
+
+    A bitmap that is too small only lets more through; what it lets through is grouped exactly.
+    """
+    return min(max(1 << (32 * n).bit_length(), BITMAP_BITS), 1 << 28)
+
+
+def _bitmap(df: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """Membership bitmap of hashes, by their low bits."""
+    words = (df.select(F.col(col).bitwiseAND(F.lit(bits - 1)).alias("s"))
              .select(F.shiftrightunsigned("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")))
-    out = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
+    out = np.zeros(bits // 64, dtype=np.int64)
     for batch in words.toArrow().to_batches():
         out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return out
@@ -115,130 +186,128 @@ def _batches(names: list[str], parts: Iterator[list[np.ndarray]], rows: int = 10
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
 
 
-def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, h, text) -> one row for each distinct phrase of the document."""
-    def rows() -> Iterator[list[np.ndarray]]:
-        for batch in batches:
-            for doc, h, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for _, p in parses(data):
-                    _, first = np.unique(p.c1, return_index=True)
-                    yield [*(_signed(x[first]) for x in (p.g, p.c1, p.c2)), np.full(first.size, doc),
-                           np.full(first.size, h)]
-
-    yield from _batches(["g", "c1", "c2", "doc", "h"], rows())
-
-
 def _text_hash() -> Column:
     text = F.coalesce(F.col("text"), F.lit(""))
     return F.xxhash64(text, F.length(text))
 
 
+def _span(start: Column, size: Column) -> Column:
+    """Start and size of a run in one number; no phrase is longer than twice MATCH."""
+    return (start * SIZES + size).alias("span")
+
+
+def _key(c1: np.ndarray, doc: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """One hash of a phrase and the text that owns it (as in SQL: c1 ^ doc ^ h)."""
+    return c1 ^ doc ^ h
+
+
 def repeated(docs: DataFrame) -> DataFrame:
-    """doc, h, spans: for each text with removed bytes its removed runs (array of start, end)."""
+    """doc, h, spans: for each text with removed bytes its removed runs (array of :func:`_span`), unmerged."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), _text_hash().alias("h"),
                         F.col("text").cast("binary").alias("data"))
     texts = texts.where(F.length("data") >= MATCH)
-    phrases = "g long, c1 long, c2 long, doc long, h long"
-    parse = texts.mapInArrow(_phrases, phrases)
-    # the dictionary: each phrase, its first document and whether others have it
-    entries = save(parse.groupBy("g", "c1", "c2").agg(F.min(F.struct("doc", "h")).alias("own"), F.max("doc").alias("last"))
-                   .select("g", "c1", "c2", F.col("own.doc").alias("first"), F.col("own.h").alias("h"), "last"),
-                   "phrase-dictionary")
-    mixed = (entries.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"))
-    partial = save(entries.join(mixed, "g").select("c1", "c2", "first", "h"), "phrase-partial")
-    common = save(entries.where("last > first").select("c1", "c2", "first"), "phrase-common")
-    discard(entries)
-    told = spark.sparkContext.broadcast(_bitmap(common, "c1"))
+    # most triggers stand once: windows under them stand nowhere else
+    sketch = repeated_triggers(texts, sketch_bits(texts, (MATCH - GRAM + 2) // 2), parses)
+    often = spark.sparkContext.broadcast(sketch)
 
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases of a document that other documents may have (lo, hi), or that repeat inside it (c1 null)."""
-        often = told.value
+    def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The parse without phrases whose trigger stands once; marked if the text has the phrase before."""
 
         def rows() -> Iterator[list[np.ndarray]]:
-            for batch in batches:
-                for doc, h, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    seen = np.empty(0, dtype=np.uint64)
-                    for at, p in parses(data):
-                        found, first = np.unique(p.c1, return_index=True)
-                        again = np.ones(p.c1.size, dtype=bool)
-                        again[first] = np.isin(found, seen)
-                        seen = np.union1d(seen, found)
-                        own = np.flatnonzero(again | _has(often, p.c1))
-                        yield [np.full(own.size, doc), np.full(own.size, h), p.lo[own] + at, p.hi[own] + at + MATCH,
-                               _signed(p.c1[own]), _signed(p.c2[own]), again[own]]
-
-        yield from _batches(["doc", "h", "s", "e", "c1", "c2", "again"], rows())
-
-    held = save(texts.mapInArrow(occurrences, "doc long, h long, s long, e long, c1 long, c2 long, again boolean"),
-                "phrase-places")
-    whole = (held.where("not again").join(common.select("c1", "c2", "first"), ["c1", "c2"]).where("first < doc")
-             .select("doc", "h", "s", "e").unionByName(held.where("again").select("doc", "h", "s", "e")))
+            seen = np.empty(0, dtype=np.uint64)
+            for k in packs(batches):
+                p = k.parse
+                own = np.flatnonzero(estimated(often.value, p.g))
+                text, c1 = k.text_of(p.lo[own]), p.c1[own]
+                again = _repeats(text, c1) | np.isin(c1, seen)
+                seen = seen[:0] if k.ends_text else np.union1d(seen, c1)
+                move = k.offset - k.starts[text]
+                yield [_signed(p.g[own]), _signed(c1), k.doc[text], k.h[text], p.lo[own] + move, p.hi[own] + move + MATCH, again]
+
+        yield from _batches(["g", "c1", "doc", "h", "s", "e", "again"], rows())
+
+    parse = save(texts.mapInArrow(phrases, "g long, c1 long, doc long, h long, s long, e long, again boolean"), "phrase-parse")
+    # the dictionary: each such phrase, its first document and whether others have it
+    once = parse.where("not again")
+    entries = save(once.groupBy("g", "c1").agg(F.min(F.struct("doc", "h")).alias("own"), F.max("doc").alias("last"))
+                   .select("g", "c1", F.col("own.doc").alias("first"), F.col("own.h").alias("h"), "last"),
+                   "phrase-dictionary")
+    common = save(entries.where("last > first").select("g", "c1", "first"), "phrase-common")
+    mixed = entries.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    partial = save(entries.join(mixed, "g").select("g", "c1", "first", "h"), "phrase-partial")
+    discard(entries)
+    # phrases of one text; where several texts share the first place, each owns those that it holds
+    several = save(texts.groupBy("doc").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi")
+                   .select("doc"), "phrase-several")
+    owners = partial.select("c1", F.col("first").alias("doc"), "h")
+    if not several.isEmpty():
+        own = once.join(several, "doc", "left_semi").select("g", "c1", "doc", "h")
+        owners = owners.unionByName(own.join(partial.select("g", "c1", "first"), ["g", "c1"]).where("doc = first")
+                                    .select("c1", "doc", "h"))
+    keys = owners.select(F.col("c1").bitwiseXOR(F.col("doc")).bitwiseXOR(F.col("h")).alias("k"))
+    # a key too many in the bitmap only compares more windows
+    owned = spark.sparkContext.broadcast(_bitmap(keys, "k", _bits(keys.count())))
 
     def windows(repeated_hashes=None):
-        """mapInArrow function: windows of the wanted phrases; all hashes, or the places of those in a bitmap.
+        """mapInArrow function: windows of the phrases that a text owns; all hashes, or the places of those in a bitmap.
 
         A place whose string stands earlier in the same document is marked.
         """
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-            for batch in batches:
-                for doc, h, data, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    wanted, done = np.array(own, dtype=np.int64), np.empty(0, dtype=np.int64)
-                    kept: list[tuple[np.ndarray, ...]] = []  # places in the document, at most its length
-                    for at, p in parses(data):
-                        c1 = _signed(p.c1)
-                        found, first = np.unique(c1, return_index=True)
-                        r = np.sort(first[np.isin(found, wanted) & ~np.isin(found, done)])
-                        done = np.union1d(done, c1[r])
-                        for i in range(0, r.size, 2000):
-                            lo, size = p.lo[r[i: i + 2000]], (p.hi - p.lo + 1)[r[i: i + 2000]]
-                            start = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-                            a, b = p.hashes(start, start + MATCH)
-                            if repeated_hashes is None:
-                                yield [_signed(a)]
-                            else:
-                                hit = _has(repeated_hashes.value, a)
-                                kept.append((start[hit] + at, _signed(a[hit]), _signed(b[hit])))
-                    if kept:
-                        start, a, b = (np.concatenate(x) for x in zip(*kept, strict=True))
-                        order = np.lexsort((start, b, a))
-                        start, a, b = start[order], a[order], b[order]
-                        again = np.zeros(start.size, dtype=bool)
-                        again[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-                        yield [np.full(start.size, doc), np.full(start.size, h), start, a, b, again]
-
-        names = ["a"] if repeated_hashes is None else ["doc", "h", "s", "a", "b", "again"]
+            done = np.empty(0, dtype=np.uint64)
+            kept: list[tuple[np.ndarray, ...]] = []  # places in the texts of a pack, at most their length
+            for k in packs(batches):
+                p = k.parse
+                own = np.flatnonzero(estimated(often.value, p.g))
+                text = k.text_of(p.lo[own])
+                own = own[_has(owned.value, _key(_signed(p.c1[own]), k.doc[text], k.h[text]).view(np.uint64))]
+                own = own[~(_repeats(k.text_of(p.lo[own]), p.c1[own]) | np.isin(p.c1[own], done))]
+                done = done[:0] if k.ends_text else np.union1d(done, p.c1[own])
+                for i in range(0, own.size, 20_000):
+                    r = own[i: i + 20_000]
+                    size = (p.hi - p.lo + 1)[r]
+                    start = np.repeat(p.lo[r] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                    a = p.hashes(start, start + MATCH)
+                    if repeated_hashes is None:
+                        yield [_signed(a)]
+                    else:
+                        hit = np.flatnonzero(_has(repeated_hashes.value, a))
+                        at = k.text_of(start[hit])
+                        kept.append((at, k.doc[at], k.h[at], start[hit] + k.offset - k.starts[at], _signed(a[hit]),
+                                     _signed(np.repeat(p.g[r], size)[hit])))
+                if kept and k.ends_text:
+                    order = np.argsort(np.concatenate([x[3] for x in kept]), kind="stable")
+                    at, doc, h, start, a, g = (np.concatenate(x)[order] for x in zip(*kept, strict=True))
+                    kept.clear()
+                    yield [doc, h, start, a, g, _repeats(at, a, g)]
+
+        names = ["a"] if repeated_hashes is None else ["doc", "h", "s", "a", "g", "again"]
         return lambda batches: _batches(names, rows(batches))
 
-    # phrases of one text; where several texts share the first place, each owns those that it holds
-    several = save(texts.groupBy("doc").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi")
-                   .select("doc"), "phrase-several")
-    owners = partial.select("first", F.col("h").alias("first_h"), "c1")
-    if not several.isEmpty():
-        again = texts.join(several, "doc", "left_semi").select("doc", "h", "data").mapInArrow(_phrases, phrases)
-        owners = owners.unionByName(
-            again.join(partial.select("c1", "c2", "first"), ["c1", "c2"]).where("doc = first")
-            .select("first", F.col("h").alias("first_h"), "c1"))
-    need = save(owners.groupBy("first", "first_h").agg(F.collect_set("c1").alias("own")), "phrase-owners")
-    near = maybe_in(texts, "doc", bitmap_of(need, "first"))
-    owned = near.join(need, (near["doc"] == need["first"]) & (near["h"] == need["first_h"])).select("doc", "h", "data", "own")
     # most windows stand once: their hashes are counted first, places are only kept of the others
-    twice = save(owned.mapInArrow(windows(), "a long").groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+    twice = save(texts.mapInArrow(windows(), "a long").groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
                  .select("a"), "window-repeated")
-    often_windows = spark.sparkContext.broadcast(_bitmap(twice, "a"))
-    placed = save(owned.mapInArrow(windows(often_windows), "doc long, h long, s long, a long, b long, again boolean"),
+    often_windows = spark.sparkContext.broadcast(_bitmap(twice, "a", _bits(twice.count())))
+    discard(twice, several, partial)
+    placed = save(texts.mapInArrow(windows(often_windows), "doc long, h long, s long, a long, g long, again boolean"),
                   "phrase-windows")
-    discard(twice, need, several)
-    once = placed.where("not again").select("doc", "h", "s", "a", "b")
-    earliest = (once.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-                .where("last > first").select("a", "b", "first"))
-    later = (once.join(earliest, ["a", "b"]).where("doc > first").select("doc", "h", "s")
-             .unionByName(placed.where("again").select("doc", "h", "s")))
-    every = whole.unionByName(later.select("doc", "h", "s", (F.col("s") + MATCH).alias("e")))
+    single = placed.where("not again").select("doc", "h", "s", "a", "g")
+    # one step at a time, so that the shuffled rows of one are gone before the next
+    earliest = save(single.groupBy("a", "g").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+                    .where("last > first").select("a", "g", "first"), "window-earliest")
+    window = _span(F.col("s"), F.lit(MATCH))
+    later = save(single.join(earliest, ["a", "g"]).where("doc > first").select("doc", "h", window)
+                 .unionByName(placed.where("again").select("doc", "h", window)), "window-later")
+    discard(placed, earliest)
+    phrase = _span(F.col("s"), F.col("e") - F.col("s"))
+    whole = save(once.join(common, ["g", "c1"]).where("first < doc").select("doc", "h", phrase)
+                 .unionByName(parse.where("again").select("doc", "h", phrase)), "phrase-whole")
+    discard(common, parse)
     # a text's spans are bounded by its length; rows that repeat it find the same ones
-    spans = save(every.groupBy("doc", "h").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "phrase-spans")
-    discard(common, partial, held, placed)
+    spans = save(whole.unionByName(later).groupBy("doc", "h").agg(F.collect_set("span").alias("spans")), "phrase-spans")
+    discard(whole, later)
     return spans
 
 
@@ -266,7 +335,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             own = batch.column(2)
-            own_start, own_end = (own.values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            coded = own.values.to_numpy(zero_copy_only=False).astype(np.int64)
+            own_start, own_end = coded // SIZES, coded // SIZES + coded % SIZES
             places = zip(batch.column(1).to_pylist(), own.is_valid().to_pylist(), own.offsets.to_pylist(),
                          own.offsets.to_pylist()[1:])
             for data, has, i, j in places:

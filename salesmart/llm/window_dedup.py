@@ -119,8 +119,9 @@ def _slots(g: np.ndarray, row: int, bits: int) -> np.ndarray:
     return ((g * np.uint64(_ROW[row])) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _sketch(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """mapInArrow function: one partition's sketch, as the chunks of it that are not empty.
+def _sketch(bits: int, parse: Callable = parses) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """mapInArrow function: one partition's sketch of the triggers ``g`` that ``parse`` gives of each text,
+    as the chunks of it that are not empty.
 
     A counter stops at two; a chunk is two bit planes, at least one and at least two.
     """
@@ -138,7 +139,7 @@ def _sketch(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                for _, p in parses(data):
+                for _, p in parse(data):
                     held.append(p.g)
                     if sum(x.size for x in held) > 1 << 18:
                         add()
@@ -170,15 +171,15 @@ def _merge(key: tuple, group: pa.Table) -> pa.Table:
     return pa.Table.from_pylist([{"row": row, "chunk": chunk, "part": part, "planes": planes}], _CHUNK)
 
 
-def sketch_bits(texts: DataFrame) -> int:
+def sketch_bits(texts: DataFrame, bytes_per_entry: int = BYTES_PER_ENTRY) -> int:
     """log2 of the counters in a row of the sketch, by the bytes of all texts."""
     size = texts.agg(F.sum(F.length("data"))).first()[0] or 0
-    return min(max((4 * size // BYTES_PER_ENTRY).bit_length(), LEAST_BITS), MOST_BITS)
+    return min(max((4 * size // bytes_per_entry).bit_length(), LEAST_BITS), MOST_BITS)
 
 
-def repeated_triggers(texts: DataFrame, bits: int) -> np.ndarray:
+def repeated_triggers(texts: DataFrame, bits: int, parse: Callable = parses) -> np.ndarray:
     """The merged sketch as bits (row, slot): estimated at least two. At most DEPTH * 2**MOST_BITS bits."""
-    chunks = save(texts.select("data").mapInArrow(_sketch(bits), "row int, chunk long, part long, planes binary"),
+    chunks = save(texts.select("data").mapInArrow(_sketch(bits, parse), "row int, chunk long, part long, planes binary"),
                   "window-sketches")
     last = chunks.agg(F.max("part")).first()[0] or 0
     merged = chunks
@@ -197,7 +198,7 @@ def repeated_triggers(texts: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _estimated(sketch: np.ndarray, g: np.ndarray) -> np.ndarray:
+def estimated(sketch: np.ndarray, g: np.ndarray) -> np.ndarray:
     """Which triggers the sketch estimates as repeated."""
     bits = (sketch.shape[1] * 8).bit_length() - 1
     hit = np.ones(g.size, dtype=bool)
@@ -262,7 +263,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             for batch in batches:
                 for doc, h, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     for first, p in parses(data):
-                        own = np.flatnonzero(_estimated(sketch.value, p.g))
+                        own = np.flatnonzero(estimated(sketch.value, p.g))
                         yield [p.g[own].view(np.int64), p.c[own].view(np.int64), np.full(own.size, doc),
                                np.full(own.size, h), p.lo[own] + first, p.hi[own] + first + WINDOW]
 
@@ -284,7 +285,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             for batch in batches:
                 for doc, h, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     for first, p in parses(data):
-                        own = np.flatnonzero(_estimated(sketch.value, p.g) & _in_bitmap(shared.value, p.c))
+                        own = np.flatnonzero(estimated(sketch.value, p.g) & _in_bitmap(shared.value, p.c))
                         once = _in_bitmap(alone.value, p.c[own])
                         new = np.array([c not in seen for c in p.c[own].tolist()], dtype=bool)
                         own, once = own[once | new], once[once | new]

@@ -254,3 +254,30 @@ def test_words_do_not_depend_on_blocks():
         every[size] = sorted((first + s, int(a)) for first, p in window_dedup.parses(long, size)
                              for s, a in enumerate(p.hashes(np.arange(p.sums.size - 35), 35)))
     assert every[900] == every[1 << 20]
+
+
+# ----------------------------------------------------------------------------- 6, packed texts
+
+def test_texts_parsed_together_are_parsed_alike(monkeypatch):
+    import pyarrow as pa
+
+    from salesmart.llm import suffix_dedup as sd
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 100, int(n)).astype(np.uint8)) for n in (100, 101, 350, 5000, 100, 2200, 140, 9000)]
+    alone = [(i, int(g), int(c), int(lo), int(hi)) for i, x in enumerate(texts)
+             for _, p in sd.parses(x) for g, c, lo, hi in zip(p.g, p.c1, p.lo, p.hi, strict=True)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([7] * len(texts)), pa.array(texts, pa.binary())],
+                                      names=["doc", "h", "data"])
+
+    def packed():
+        for k in sd.packs(iter([rows])):
+            at = k.text_of(k.parse.lo)
+            yield from zip(k.doc[at].tolist(), k.parse.g.tolist(), k.parse.c1.tolist(),
+                           (k.parse.lo - k.starts[at] + k.offset).tolist(), (k.parse.hi - k.starts[at] + k.offset).tolist(), strict=True)
+
+    assert sorted(packed()) == sorted(alone)
+    monkeypatch.setattr(sd, "PACK", 3000)  # some texts are longer than a pack, and than a block
+    monkeypatch.setattr(sd, "BLOCK", 4000)
+    windows = lambda found: sorted((i, g, w) for i, g, _, lo, hi in found for w in range(lo, hi + 1))
+    assert windows(packed()) == windows(alone)
+    assert [k.ends_text for k in sd.packs(iter([rows]))].count(False) == 3
