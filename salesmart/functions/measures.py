@@ -29,7 +29,3 @@ def ratio(num: Column, den: Column, scale: int) -> Column:
 def mean(col: str, scale: int) -> Column:
     """ROUND(AVG(col), scale) computed as an exact decimal SUM / COUNT."""
     return F.round(F.try_divide(F.sum(col), F.nullif(F.count(col), F.lit(0))), scale).cast("double")
-
-
-def share(c: Column, over: Column) -> Column:
-    return F.try_divide(c, F.nullif(over, F.lit(0)))

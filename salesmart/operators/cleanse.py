@@ -233,10 +233,10 @@ def cleanse(df: DataFrame, *, seq_col: str, as_of: date | None = None, min_date:
         df = df.withColumn("client_name_clean", tx.clean_client_name(F.col(client_col)))
     zone_col = tx.first_existing(df.columns, "zone_code_raw", "zone_code")
     if zone_col:
-        # zone spellings are a handful of distinct values: code them once, join back (broadcast)
+        # zone spellings are a handful of distinct values: code them once, join back
         spell = df.select(F.col(zone_col).alias("_zraw")).distinct()
         codes = spell.select("_zraw", tx.zone_code(F.col("_zraw")).alias("zone_code_clean"))
-        df = df.join(F.broadcast(codes), df[zone_col].eqNullSafe(codes["_zraw"]), "left").drop("_zraw")
+        df = df.join(codes, df[zone_col].eqNullSafe(codes["_zraw"]), "left").drop("_zraw")
     else:
         df = df.withColumn("zone_code_clean", zone_from_city(F.col("city_name_clean")))
     df = deduplicate(df, [seq_col])

@@ -9,24 +9,9 @@ a row store).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 from salesmart.sources import star
 from salesmart.sources.tables import Source
 
-FACT_COLUMNS = [
-    "date_key", "sale_date", "year", "month_num", "month_name", "year_month",
-    "product_key", "client_key", "city_key", "zone_key", "distributor_key", "laboratory_key",
-    "salesperson_key", "invoice_number", "invoice_line", "quantity", "unit_price", "gross_amount",
-    "discount_pct", "discount_amount", "net_amount", "cost_amount", "margin_amount", "margin_pct",
-    "source_system", "source_record_id", "is_deleted",
-]
-
-
-def fact_sales_rows(src: Source, include_deleted: bool = True) -> DataFrame:
-    f = star.sales(src, include_deleted=include_deleted)
-    return f.select(*FACT_COLUMNS)
-
 
 def load_fact_sales(src: Source, path: str, mode: str = "overwrite") -> None:
     """Clear-and-reload the denormalised fact table at ``path``, partitioned by year.
@@ -40,7 +25,3 @@ def load_fact_sales(src: Source, path: str, mode: str = "overwrite") -> None:
     if mode != "overwrite":
         raise ValueError("incremental loads go through operators.upsert")
     star.loaded_fact(src, path)
-
-
-def read_fact(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path)

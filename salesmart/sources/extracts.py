@@ -106,7 +106,7 @@ def master_products(src: Source) -> DataFrame:
 def seed_salespeople(src: Source) -> DataFrame:
     """Literal salesperson seed joined to the zone dimension by key (A-11)."""
     sp = salespeople_df(src.spark)
-    z = F.broadcast(star.zones(src))
+    z = star.zones(src)
     return sp.join(z, sp.sp_zone_key == z.zone_key).select(
         "salesperson_key", "salesperson_id", "full_name", "zone_code", "zone_name",
         F.col("commission_rate").cast("double").alias("commission_rate"),

@@ -209,23 +209,5 @@ def distributors_df(spark: SparkSession) -> DataFrame:
         "distributor_key int, distributor_code string, distributor_name string, distributor_type string")
 
 
-def month_names_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i + 1, n) for i, n in enumerate(MONTH_NAMES_ES)],
-                                 "month_num int, month_name string")
-
-
 def holidays_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(HOLIDAYS, "mm_dd string, holiday_name string")
-
-
-def city_aliases_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, a, c) for i, (a, c) in enumerate(CITY_ALIASES)],
-                                 "ordinal int, alias string, canonical string")
-
-
-def zone_aliases_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ZONE_ALIASES, "alias string, zone_code string")
-
-
-def city_zone_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CITY_ZONE, "city_name string, zone_code string")
