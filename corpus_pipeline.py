@@ -40,11 +40,16 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing", mix_sources),
 ]
 
-#: The support vector machine of the first stage has no SQL form; tests compare each stage with brute force.
+#: The support vector machine of the first stage has no SQL form; tests/llm has slow versions of the other stages' decisions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus: rows of ``documents`` that no stage drops, as often as the mixing wants them, all columns.
+
+    Null texts and doc_ids, repeated rows and extra columns go through as each stage's module says; empty tables
+    give an empty corpus.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = save(stage(spark, docs, sf_dir), f"pipeline-{name}")
