@@ -169,7 +169,10 @@ def best_matches(queries: DataFrame, candidates: DataFrame, cutoff: float, count
 
     often = materialize(frequencies(sets, "tokens"), "fuzzy-tokens")
     q, c = (materialize(by_rarity(x, "tokens", often), "fuzzy-by-token") for x in (wanted, sets))
-    best = better(token_pairs(q, c, cutoff), None)
+    best = better(token_pairs(q, c, 100.0), None)
+    if cutoff < 100:  # what one side contains is settled; the others meet all that shared tokens bring to the cutoff
+        open_q = q.join(waiting(100.0).select("g", "ts"), ["g", "ts"], "left_semi")
+        best = better(token_pairs(open_q, c, cutoff), best)
     settled, kind = 100.0, None
     for step in [*(s for s in STEPS if s > cutoff), cutoff]:
         if cutoff >= 100 or waiting(settled).isEmpty():
