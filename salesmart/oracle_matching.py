@@ -77,8 +77,8 @@ mapped AS (
 
 ORACLE["product_code_mapping"] = f"""
 WITH {MAPPED}
-SELECT distributor_code, source_file, row_num, dist_product_code, product_name_raw, sap_product_id, sap_product_name,
-       mapping_confidence, mapping_exact FROM mapped"""
+SELECT distributor_code, source_file, row_num, dist_product_code, product_name_raw, CAST(sap_product_id AS VARCHAR) AS sap_product_id,
+       sap_product_name, mapping_confidence, mapping_exact FROM mapped"""
 
 ORACLE["unmapped_products"] = f"""
 WITH {MAPPED},
@@ -109,7 +109,7 @@ SELECT product_name_raw,
        CASE WHEN trim(product_name_raw) = '' THEN product_name_raw ELSE coalesce(e.name, h.name, product_name_raw) END AS product_name_clean,
        CAST(CASE WHEN trim(product_name_raw) = '' THEN 0 WHEN e.id IS NOT NULL THEN 1 WHEN h.id IS NOT NULL THEN score / 100 ELSE 0 END
             AS DOUBLE) AS product_match_confidence,
-       CASE WHEN trim(product_name_raw) <> '' THEN coalesce(e.id, h.id) END AS matched_product_id
+       CAST(CASE WHEN trim(product_name_raw) <> '' THEN coalesce(e.id, h.id) END AS VARCHAR) AS matched_product_id
 FROM raw LEFT JOIN cat e ON e.t = raw.q LEFT JOIN hits h ON h.q = raw.q"""
 
 _SORTED = "array_to_string(list_sort({}), ' ')"

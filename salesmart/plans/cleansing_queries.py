@@ -158,8 +158,8 @@ def mapped_feed(src: Source) -> DataFrame:
 def product_code_mapping(src: Source) -> DataFrame:
     """Exact then fuzzy product-code mapping of every workbook line (D-8, D-9)."""
     return mapped_feed(src).select("distributor_code", "source_file", "row_num", "dist_product_code",
-                                   "product_name_raw", "sap_product_id", "sap_product_name", "mapping_confidence",
-                                   "mapping_exact")
+                                   "product_name_raw", F.col("sap_product_id").cast("string").alias("sap_product_id"),
+                                   "sap_product_name", "mapping_confidence", "mapping_exact")
 
 
 def unmapped_products(src: Source) -> DataFrame:
@@ -171,4 +171,5 @@ def product_name_cleansing(src: Source) -> DataFrame:
     """Workbook product descriptions -> catalogue names (L-7)."""
     feed = grid.parsed_feed(src, AS_OF).select("product_name_raw").distinct()
     prods = src.part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"))
-    return cl.clean_product_name(feed, "product_name_raw", prods)
+    out = cl.clean_product_name(feed, "product_name_raw", prods)
+    return out.withColumn("matched_product_id", F.col("matched_product_id").cast("string"))

@@ -152,7 +152,7 @@ def test_product_name_cleansing_matches_brute_force(spark):
         if best is None:
             assert r.product_name_clean == raw and r.product_match_confidence == 0.0
         else:
-            assert r.matched_product_id == best[0][0] and r.product_name_clean == best[0][1]
+            assert r.matched_product_id == str(best[0][0]) and r.product_name_clean == best[0][1]
             assert r.product_match_confidence == pytest.approx(best[1] / 100)
 
 
