@@ -22,6 +22,7 @@ from salesmart.plans import marts
 from salesmart.plans.load_jobs import Warehouse
 from salesmart.session import materialize
 from salesmart.sources import star
+from salesmart.sources.reference_data import distributors_df
 from salesmart.sources.tables import Source
 
 MONTH, YEAR = ("year", "month_num"), ("year",)
@@ -40,7 +41,7 @@ def warehouse_sales(src: Source, wh: Warehouse, dims: Dimensions) -> DataFrame:
                                  "sale_date": F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")})
     f = f.withColumn("month_num", F.month("sale_date"))
     f = f.withColumns({"month_name": month_name_es(F.col("month_num")), "year_month": year_month(F.col("sale_date"))})
-    sellers = star.distributors_df(src.spark).select("distributor_code", "distributor_name", "distributor_type")
+    sellers = distributors_df(src.spark).select("distributor_code", "distributor_name", "distributor_type")
     sellers = dims.distributors.select("distributor_key", "distributor_code").join(sellers, "distributor_code")
     clients = star.clients(src).select("client_key", "client_name", "client_type")
     products = star.products(src).select("product_key", "product_name", "category", "subcategory", "rx_otc_flag", "lab_name")
