@@ -15,12 +15,14 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.functions.dates import month_name_es, year_month
 from salesmart.functions.measures import mean, money, ratio, total
 from salesmart.operators.ranking import rank_over
 from salesmart.sources import star
+from salesmart.sources.reference_data import DISTRIBUTORS
 from salesmart.sources.tables import Source
 
 
@@ -29,7 +31,8 @@ def monthly_zone(src: Source, f: DataFrame | None = None) -> DataFrame:
     f = star.sales(src) if f is None else f
     keys = ["year_month", "year", "month_num", "month_name", "zone_code", "zone_name",
             "distributor_code", "distributor_name", "distributor_type"]
-    return f.groupBy(*keys).agg(
+    # grouped by the keys that determine the others; counting distinct values shuffles a row for each of them
+    g = f.groupBy("year", "month_num", "zone_code", "zone_name", "distributor_code").agg(
         F.count_distinct("invoice_number").alias("invoice_count"),
         F.count(F.lit(1)).alias("line_count"),
         F.sum("quantity").cast("double").alias("total_quantity"),
@@ -43,6 +46,15 @@ def monthly_zone(src: Source, f: DataFrame | None = None) -> DataFrame:
         # average ticket per distinct CLIENT in this mart
         ratio(F.sum("net_amount"), F.count_distinct("client_key"), 2).alias("avg_ticket"),
     )
+    sellers = {d[1]: d for d in DISTRIBUTORS}
+
+    def seller(n: int) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for code, d in sellers.items() for x in (code, d[n])]), F.col("distributor_code"))
+
+    g = g.withColumns({"month_name": month_name_es(F.col("month_num")),
+                       "year_month": year_month(F.make_date("year", "month_num", F.lit(1))),
+                       "distributor_name": seller(2), "distributor_type": seller(3)})
+    return g.select(*keys, *[c for c in g.columns if c not in keys])
 
 
 def sales_yoy(src: Source, monthly: DataFrame | None = None) -> DataFrame:
