@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.runlog import put
-from salesmart.session import read_existing
+from salesmart.session import materialize, read_existing
 from salesmart.sources.grid import layout
 
 
@@ -31,7 +31,8 @@ def payloads(grid: DataFrame, at: datetime) -> DataFrame:
     """distributor_id, file_name, sheet, row_num, raw_data (JSON by header text), extracted_at: the data rows."""
     code, in_sheet, header_row = layout()
     g = grid.withColumns({"code": code, "header_row": header_row}).where(in_sheet)
-    header = g.where("row_num = header_row").select("file", "sheet", F.col("cells").alias("header"))
+    # a table of known size: the data rows are shuffled only if it is too large to send
+    header = materialize(g.where("row_num = header_row").select("file", "sheet", F.col("cells").alias("header")), "staging-headers")
     data = g.where(F.col("row_num") > F.col("header_row")).where(F.exists("cells", lambda c: c.isNotNull()))
     values = F.transform("header", lambda _, i: F.get(F.col("cells"), i))
     return data.join(header, ["file", "sheet"]).select(
@@ -46,11 +47,11 @@ def stage(grid: DataFrame, path: str, run_id: str, at: datetime) -> None:
 
 def unprocessed(staged: DataFrame, ledger: DataFrame | None) -> DataFrame:
     """Staged rows of files that no load has processed; a file staged in two batches counts once."""
-    rows = staged.drop("batch").dropDuplicates(["file_name", "sheet", "row_num"])
-    if ledger is None:
-        return rows
-    done = ledger.where("outcome = 'processed'").select(F.col("source_file").alias("file_name")).distinct()
-    return rows.join(done, "file_name", "left_anti")
+    rows = staged.drop("batch")
+    if ledger is not None:   # before the copies of a row are looked for: these are then the open rows only
+        done = ledger.where("outcome = 'processed'").select(F.col("source_file").alias("file_name")).distinct()
+        rows = rows.join(materialize(done, "staging-done"), "file_name", "left_anti")
+    return rows.dropDuplicates(["file_name", "sheet", "row_num"])
 
 
 def waiting(spark: SparkSession, staging_path: str, ledger_path: str) -> DataFrame | None:

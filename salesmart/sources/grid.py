@@ -23,11 +23,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.operators.cleanse import CANONICAL_CITIES, parse_date
-from salesmart.operators.ranking import rank_over
+from salesmart.operators.ranking import running_total
 from salesmart.session import checkpoint_dir, materialize
 from salesmart.sources import star
 from salesmart.sources.profiles import NUMERIC_COLUMNS, PERCENT_COLUMNS, PROFILES, Profile
@@ -48,16 +48,24 @@ LINE_ORDER = ["invoice_number", "invoice_line", "product_key", "supplier_key", "
 
 # --------------------------------------------------------------------------- parsing
 
-def read_profile(grid: DataFrame, profile: Profile, as_of: datetime | None = None) -> DataFrame:
-    """Parse the grid rows of one layout into canonical columns."""
+def _sheets(grid: DataFrame, profile: Profile) -> DataFrame:
+    """The grid rows of the sheets of one layout."""
     g = (grid.filter(F.col("distributor") == profile.code) if "distributor" in grid.columns
          else grid.filter(F.col("file").startswith(profile.code + "_")))
-    if profile.multi_sheet:
-        g = g.filter(F.col("sheet").startswith(profile.zone_prefix))
-    else:
-        g = g.filter(F.col("sheet") == profile.sheet)
-    hdr = (g.filter(F.col("row_num") == profile.header_row)
-           .select("file", "sheet", F.transform("cells", lambda c: F.trim(c)).alias("_h")))
+    return g.filter(F.col("sheet").startswith(profile.zone_prefix) if profile.multi_sheet else F.col("sheet") == profile.sheet)
+
+
+def _headers(grid: DataFrame, profile: Profile) -> DataFrame:
+    """file, sheet, _h: the trimmed header row of every sheet of one layout."""
+    return (_sheets(grid, profile).filter(F.col("row_num") == profile.header_row)
+            .select("file", "sheet", F.transform("cells", lambda c: F.trim(c)).alias("_h")))
+
+
+def read_profile(grid: DataFrame, profile: Profile, as_of: datetime | None = None,
+                 headers: DataFrame | None = None) -> DataFrame:
+    """Parse the grid rows of one layout into canonical columns."""
+    g = _sheets(grid, profile)
+    hdr = _headers(grid, profile) if headers is None else headers
     rows = g.filter(F.col("row_num") > profile.header_row)
     # C-2: rows whose cells are all empty
     rows = rows.filter(F.exists("cells", lambda c: c.isNotNull()))
@@ -171,9 +179,15 @@ def parse_percent(c: Column) -> Column:
 
 def read_all_profiles(grid: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """All six layouts parsed and unioned by column name (H-1)."""
+    # the header rows as a table of known size: the data rows are then shuffled only if that is too large to send
+    headers = None
+    for code in CODES:
+        h = _headers(grid, PROFILES[code]).withColumn("_code", F.lit(code))
+        headers = h if headers is None else headers.unionByName(h)
+    headers = materialize(headers, "grid-headers")
     out = None
     for code in CODES:
-        df = read_profile(grid, PROFILES[code], as_of)
+        df = read_profile(grid, PROFILES[code], as_of, headers.filter(F.col("_code") == code).drop("_code"))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
@@ -207,18 +221,31 @@ def dirty_city(client_key: Column) -> Column:
             .otherwise(F.lit("")))
 
 
+def _numbered(lines: DataFrame) -> DataFrame:
+    """``line_seq``: the global row number over a total order of the lines (invoice, line first).
+
+    Only the invoices and their line counts are sorted and summed up; a line's number is the lines of the invoices
+    before plus its place in its own invoice (a plain window: its partitions are the lines of one invoice).
+    """
+    counts = lines.groupBy("invoice_number").agg(F.count(F.lit(1)).alias("_n"))
+    upto = running_total(counts, "_n", [("invoice_number", False)], out="_upto")
+    place = F.row_number().over(Window.partitionBy("invoice_number").orderBy(
+        *[F.col("discount" if c == "discount_pct" else c).asc_nulls_first() for c in LINE_ORDER[1:]]))
+    return (lines.join(upto, "invoice_number")
+            .withColumn("line_seq", F.col("_upto") - F.col("_n") + place).drop("_upto", "_n"))
+
+
 def feed_lines(src: Source) -> DataFrame:
     """External-distributor order lines with everything a workbook row shows."""
-    f = star.sales(src, include_deleted=True).filter(F.col("distributor_key") > 1)
+    # numbered before the derived columns are there: rows of an invoice are in line order, no two share a position
+    f = star.rows(src, include_deleted=True).filter(star.distributor_key(F.col("supplier_key")) > 1)
+    f = star.described(_numbered(f))
     zone = F.element_at(F.array(*[F.lit(z) for z in DR_ZONES]), F.col("zone_key"))
-    f = f.select(
+    return f.select(
         "*", F.col("distributor_code").alias("code"),
         F.concat(F.col("distributor_code"), F.lit("_"), F.date_format("sale_date", "yyyyMMdd"), F.lit(".xlsx"))
         .alias("file"),
         dirty_city(F.col("client_key")).alias("city_raw"), zone.alias("zone_raw"))
-    # row position: global row number over a total order of the lines (invoice, line first), so
-    # rows of an invoice are in line order and no two rows share a position
-    return rank_over(f, [], [(c, False) for c in LINE_ORDER], out="line_seq", method="row_number")
 
 
 def _cells(code: str) -> list[Column]:
@@ -305,7 +332,7 @@ def derive_grids(src: Source) -> DataFrame:
     CASE on the distributor); header, metadata and empty rows come from the
     distinct (file, sheet) pairs.
     """
-    data = materialize(_grid_data(src), "grid-data", ["distributor"])
+    data = materialize(_grid_data(src), "grid-data", ["distributor"], "zstd")
     return data.unionByName(_grid_extras(data))
 
 
@@ -323,9 +350,9 @@ def land_grid(src: Source) -> DataFrame:
         import uuid
         path = f"{checkpoint_dir(src.spark).rstrip('/')}/tables/grid-{uuid.uuid4().hex[:12]}"
         data = _grid_data(src)
-        data.write.partitionBy("distributor").parquet(path)
+        data.write.partitionBy("distributor").option("compression", "zstd").parquet(path)
         written = src.spark.read.schema(data.schema).parquet(path)
-        _grid_extras(written).write.mode("append").partitionBy("distributor").parquet(path)
+        _grid_extras(written).write.mode("append").partitionBy("distributor").option("compression", "zstd").parquet(path)
         _LANDED[key] = src.spark.read.schema(data.schema).parquet(path).select(*GRID_COLUMNS)
     return _LANDED[key]
 
@@ -341,5 +368,6 @@ def parsed_feed(src: Source, as_of: datetime | None = None) -> DataFrame:
     """
     key = src.state_key()
     if key not in _PARSED:
-        _PARSED[key] = materialize(read_all_profiles(land_grid(src), as_of), "parsed-feed", ["distributor_code"])
+        _PARSED[key] = materialize(read_all_profiles(land_grid(src), as_of), "parsed-feed", ["distributor_code"],
+                                   "zstd")
     return _PARSED[key]

@@ -38,3 +38,17 @@ def test_ranks_checkpoint_no_rows(spark, monkeypatch):
     n = rank_over(df, ["g"], [("v", True)], out="r", method="row_number", tie_breakers=["k"])
     assert rows(n.groupBy("g").agg(F.min("r"), F.max("r"), F.count_distinct("r"))) == [(0, 1, 150, 150), (1, 1, 150, 150)]
     assert running_total(df, "v", [("k", False)]).agg(F.max("running_total")).first()[0] == sum(x % 7 for x in range(300))
+
+
+def test_feed_lines_are_numbered_by_their_invoices_only(spark, monkeypatch):
+    from salesmart.operators import ranking
+    from salesmart.sources import grid
+    written = []
+    keep = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, *a, **k: written.append(df.columns) or keep(df, *a, **k))
+    f = grid.feed_lines(Source(spark, SF_SMALL))
+    assert written and all(set(c) <= {"invoice_number", "_n", "_pid", "_pos"} for c in written)
+    n = f.agg(F.min("line_seq"), F.max("line_seq"), F.count_distinct("line_seq"), F.count("*")).first()
+    assert n[0] == 1 and n[1] == n[2] == n[3]
+    last = f.groupBy("invoice_number").agg(F.min("line_seq").alias("a"), F.max("line_seq").alias("b"), F.count("*").alias("n"))
+    assert last.where("b - a + 1 <> n").isEmpty()
