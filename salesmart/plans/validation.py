@@ -49,18 +49,17 @@ def band(confidence: Column) -> Column:
 
 
 def build_queue(src: Source) -> DataFrame:
-    feed = grid.parsed_feed(src, AS_OF)
-    cities = cl.clean_city(feed.select("distributor_code", "source_file", "extracted_at", "city_name_raw"),
-                           "city_name_raw")
-    c = (cities.filter(F.col("city_match_confidence") < 1.0)
-         .groupBy("distributor_code", "city_name_raw")
-         .agg(F.first("city_name_clean").alias("suggested_value"),
-              F.first("city_match_confidence").alias("conf"),
-              F.min("source_file").alias("source_file"), F.min("extracted_at").alias("created_at"))
-         .select(F.lit(CITY).alias("entry_type"), F.col("city_name_raw").alias("raw_value"), "suggested_value",
-                 "conf", "distributor_code", "source_file", "created_at"))
-    mapped = mapped_feed(src)
-    p = (mapped.filter(~F.col("mapping_exact"))
+    # distinct values first (a hash aggregate with map-side combine): what is cleansed and sorted is then a small part
+    spelled = (grid.parsed_feed(src, AS_OF).select("distributor_code", "city_name_raw", "source_file", "extracted_at").distinct()
+               .groupBy("distributor_code", "city_name_raw")
+               .agg(F.min("source_file").alias("source_file"), F.min("extracted_at").alias("created_at")))
+    c = (cl.clean_city(spelled, "city_name_raw").filter(F.col("city_match_confidence") < 1.0)
+         .select(F.lit(CITY).alias("entry_type"), F.col("city_name_raw").alias("raw_value"),
+                 F.col("city_name_clean").alias("suggested_value"), F.col("city_match_confidence").alias("conf"),
+                 "distributor_code", "source_file", "created_at"))
+    p = (mapped_feed(src).filter(~F.col("mapping_exact"))
+         .select("distributor_code", "product_name_raw", "sap_product_name", "mapping_confidence", "source_file", "extracted_at")
+         .distinct()
          .groupBy("distributor_code", "product_name_raw")
          .agg(F.first("sap_product_name").alias("suggested_value"),
               F.first("mapping_confidence").alias("conf"),
