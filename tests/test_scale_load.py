@@ -52,3 +52,11 @@ def test_feed_lines_are_numbered_by_their_invoices_only(spark, monkeypatch):
     assert n[0] == 1 and n[1] == n[2] == n[3]
     last = f.groupBy("invoice_number").agg(F.min("line_seq").alias("a"), F.max("line_seq").alias("b"), F.count("*").alias("n"))
     assert last.where("b - a + 1 <> n").isEmpty()
+
+
+@pytest.mark.parametrize("query", ["secure_zone_sales", "national_zone_sales"])
+def test_secured_lines_are_not_shuffled_by_zone(spark, query):
+    from salesmart.plans import governance
+    plan = getattr(governance, query)(Source(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("BroadcastHashJoin" in line for line in semi)
