@@ -7,8 +7,9 @@ has ``LEAST_ONE`` to ``LEAST - 1``, none below, where one edit makes another wor
 Lines of ``LEAST`` characters or more are split into ``EDITS + 1`` segments; within that distance at least one segment
 survives unchanged, near its place. So each line is indexed under its length and segments, and
 probes, for each length it may match, the few substrings that the positions of a surviving segment
-allow (multi-match-aware windows of PassJoin). Candidates whose counts of frequent letters differ by
-more than ``2 * EDITS`` go at once (no true pair does), the rest are verified with a banded
+allow (multi-match-aware windows of PassJoin). Candidates whose counts of frequent letters in their first (or last)
+``WINDOW`` characters differ by more than ``2 * EDITS`` go at once: an edit takes at most one character from such a
+window and brings one, so no true pair does. The rest are verified with a banded
 bit-parallel edit distance: one word holds the ``2 * EDITS + 1`` diagonals of the band.
 
 Lines are ordered by the smallest doc_id that holds them (null last), then by the line's text. A line
@@ -37,6 +38,7 @@ EDITS = 2
 LEAST = 12
 LEAST_ONE = 6
 LETTERS = "etanorihsdlcumwf"
+WINDOW = 32
 _LAST = (1 << 63) - 1
 
 
@@ -67,26 +69,31 @@ def _index_key(i: int) -> Column:
     return F.xxhash64(F.col("n"), F.substr(F.col("line"), start + 1, size))
 
 
-def _probe_keys(i: int) -> Column:
-    """Substrings where segment i of a line shorter by 0 to EDITS characters can have survived: array of (less, key)."""
-    keys = []
-    for less in range(EDITS + 1):
-        n = F.col("n") - less
-        start, size = _segment(n, i)
-        low, high = max(-i, less - (EDITS - i)), min(i, less + (EDITS - i))
-        for shift in range(low, high + 1):
-            at = start + shift
-            inside = (at >= 0) & (at + size <= F.col("n"))
-            key = F.xxhash64(n, F.substr(F.col("line"), at + 1, size))
-            keys.append(F.when(inside, F.struct(F.lit(less).alias("less"), key.alias("key"))))
-    return F.array_compact(F.array(*keys))
+def _windows(i: int) -> Column:
+    """(less, shift) of the substrings where segment i of a line shorter by 0 to EDITS characters can have survived."""
+    return F.array(*[F.struct(F.lit(less).alias("less"), F.lit(shift).alias("shift")) for less in range(EDITS + 1)
+                     for shift in range(max(-i, less - (EDITS - i)), min(i, less + (EDITS - i)) + 1)])
 
 
-def _letter_counts() -> Column:
+def _probes(lines: DataFrame, i: int) -> DataFrame:
+    """``lines`` (uid, line, n, other_bag) -> uid, other_bag, less, key: one row for each window inside the line.
+
+    Windows are dealt out first, as one small expression for the key is compiled, and one for each window, which
+    a lambda or a large array takes, is not.
+    """
+    dealt = lines.withColumn("w", F.explode(_windows(i))).select("*", "w.*")
+    n = F.col("n") - F.col("less")
+    start, size = _segment(n, i)
+    dealt = dealt.withColumns({"m": n, "at": start + F.col("shift"), "size": size})
+    dealt = dealt.where("at >= 0 and at + size <= n")
+    return dealt.select("uid", "other_bag", "less", F.xxhash64("m", F.substr("line", F.col("at") + 1, F.col("size"))).alias("key"))
+
+
+def _letter_counts(window: Column) -> Column:
     """Counts of the frequent letters, four bits each: differences modulo 16 are never above the true ones."""
     out = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
-        count = F.col("n") - F.length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
+        count = F.length(window) - F.length(F.replace(window, F.lit(letter), F.lit("")))
         out = out.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(15)), 4 * i))
     return out
 
@@ -155,17 +162,18 @@ def _members(rows: DataFrame, wanted: DataFrame, key: str, always: Column | None
 
 
 def near_lines(lines: DataFrame) -> DataFrame:
-    """uid of the lines (uid, line, n, bag, first) that an earlier line is within the distance of.
+    """uid of the lines (uid, line, n, head, tail, first) that an earlier line is within the distance of.
 
-    One join for each segment, so that only its keys are on disk at a time.
+    One join for each segment, so that only its keys are on disk at a time. Lines that share their first segment
+    are told apart by their ends, all others by their beginnings.
     """
     found = []
     for i in range(EDITS + 1):
-        index = lines.select("uid", "bag", _index_key(i).alias("key"))
-        probe = lines.select("uid", F.col("bag").alias("other_bag"), F.explode(_probe_keys(i)).alias("p"))
+        bag = F.col("head" if i else "tail")
+        index = lines.select("uid", bag.alias("bag"), _index_key(i).alias("key"))
+        probe = _probes(lines.select("uid", "line", "n", bag.alias("other_bag")), i)
         # lines of one length probe each other, so one direction is enough; a longer line (negative) always counts
-        probe = probe.select(F.when(F.col("p.less") > 0, -1 - F.col("uid")).otherwise(F.col("uid")).alias("other"),
-                             "other_bag", F.col("p.key").alias("key"))
+        probe = probe.select(F.when(F.col("less") > 0, -1 - F.col("uid")).otherwise(F.col("uid")).alias("other"), "other_bag", "key")
         once = (F.col("other") < 0) | (F.col("uid") < F.col("other"))
         met = probe.join(index, "key").where(once & (_letters_apart("bag", "other_bag") <= 2 * EDITS))
         other = F.when(F.col("other") < 0, -1 - F.col("other")).otherwise(F.col("other"))
@@ -206,7 +214,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     held = rows.select(order.alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
     lines = (held.where(_full(F.col("line"))).groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .select(F.monotonically_increasing_id().alias("uid"), "line", F.length("line").alias("n"), "first", "last"))
-    lines = save(lines.withColumn("bag", _letter_counts()), "line-distinct")
+    ends = {"head": F.left("line", F.lit(WINDOW)), "tail": F.right("line", F.lit(WINDOW))}
+    lines = save(lines.withColumns({c: _letter_counts(w) for c, w in ends.items()}), "line-distinct")
     near = save(near_lines(lines.where(F.col("n") >= LEAST)).unionByName(near_short_lines(lines)).distinct(), "line-near")
     # a line that stands in one document only, and is near no other, can only repeat inside that document
     judged = save(lines.join(near.withColumn("near", F.lit(True)), "uid", "left").where("near or last > first")
