@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +27,8 @@ def prepare(spark: SparkSession) -> None:
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back; then let Spark drop the shuffle files that fed it."""
-    out = materialize(df, name)
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
-    return out
+    """Write to the shared folder and read back; the shuffle files that fed it are dropped."""
+    return materialize(df, name)
 
 
 def discard(*saved: DataFrame) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -82,11 +83,21 @@ def read_existing(spark: SparkSession, path: str):
     return spark.read.parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more.
+
+    They are dropped when the driver's garbage collector finds their plans gone; a driver with memory to spare may not
+    collect for a whole query, and its executors' disks hold the shuffles of all steps meanwhile.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def materialize(df, name: str, partition_by: list[str] | None = None, compression: str | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage (an executor loss re-reads files instead of recomputing
-    the plan) and lets later scans prune by ``partition_by``.
+    the plan) and lets later scans prune by ``partition_by``. The shuffle files that fed it are dropped.
     """
     import uuid
 
@@ -99,6 +110,7 @@ def materialize(df, name: str, partition_by: list[str] | None = None, compressio
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    release_shuffles(spark)
     # read back with the known schema: an empty result has no files to infer it from
     cols = df.columns
     back = spark.read.schema(df.schema).parquet(path)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.cleanse import CANONICAL_CITIES, parse_date
 from salesmart.operators.ranking import running_total
-from salesmart.session import checkpoint_dir, materialize
+from salesmart.session import checkpoint_dir, materialize, release_shuffles
 from salesmart.sources import star
 from salesmart.sources.profiles import NUMERIC_COLUMNS, PERCENT_COLUMNS, PROFILES, Profile
 from salesmart.sources.tables import Source
@@ -66,17 +66,19 @@ def read_profile(grid: DataFrame, profile: Profile, as_of: datetime | None = Non
     """Parse the grid rows of one layout into canonical columns."""
     g = _sheets(grid, profile)
     hdr = _headers(grid, profile) if headers is None else headers
+    # where each column stands, found once for a sheet and not again for each of its rows
+    hdr = hdr.select("file", "sheet", *[F.array_position("_h", F.lit(h)).cast("int").alias(f"_at_{c}") for h, c in profile.columns])
     rows = g.filter(F.col("row_num") > profile.header_row)
     # C-2: rows whose cells are all empty
     rows = rows.filter(F.exists("cells", lambda c: c.isNotNull()))
     d = rows.join(hdr, ["file", "sheet"])
 
-    def cell(header: str) -> Column:
-        pos = F.array_position(F.col("_h"), F.lit(header)).cast("int")
+    def cell(name: str) -> Column:
+        pos = F.col(f"_at_{name}")
         return F.when(pos > 0, F.try_element_at(F.col("cells"), pos))
 
     out = d.select("file", "sheet", "row_num",
-                   *[cell(h).alias(c) for h, c in profile.columns])
+                   *[cell(c).alias(c) for _, c in profile.columns])
     cols = [c for _, c in profile.columns]
     # C-3: blank invoice numbers
     if "invoice_number" in cols:
@@ -351,6 +353,7 @@ def land_grid(src: Source) -> DataFrame:
         path = f"{checkpoint_dir(src.spark).rstrip('/')}/tables/grid-{uuid.uuid4().hex[:12]}"
         data = _grid_data(src)
         data.write.partitionBy("distributor").option("compression", "zstd").parquet(path)
+        release_shuffles(src.spark)
         written = src.spark.read.schema(data.schema).parquet(path)
         _grid_extras(written).write.mode("append").partitionBy("distributor").option("compression", "zstd").parquet(path)
         _LANDED[key] = src.spark.read.schema(data.schema).parquet(path).select(*GRID_COLUMNS)
