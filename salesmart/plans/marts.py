@@ -167,13 +167,16 @@ def avg_ticket(src: Source) -> DataFrame:
 def distributor_vs_internal(src: Source) -> DataFrame:
     """Distributor vs internal sales (E-7)."""
     f = star.sales(src)
-    return f.groupBy("distributor_type", "distributor_name", "zone_name", "year", "year_month").agg(
+    # grouped by the keys that determine the others, as in monthly_zone
+    g = f.groupBy("distributor_key", "zone_name", "year", "month_num").agg(
         F.count_distinct("invoice_number").alias("invoice_count"),
         F.sum("quantity").cast("double").alias("total_quantity"),
         total("net_amount").alias("total_net"),
         total("margin_amount").alias("total_margin"),
         mean("margin_pct", 3).alias("avg_margin_pct"),
         F.count_distinct("client_key").alias("active_clients"))
+    return g.select(star.of_distributor(3).alias("distributor_type"), star.of_distributor(2).alias("distributor_name"), "zone_name", "year",
+                    year_month(F.make_date("year", "month_num", F.lit(1))).alias("year_month"), *g.columns[4:])
 
 
 def client_year_ranking(src: Source) -> DataFrame:

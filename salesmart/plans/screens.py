@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.functions.dates import year_month
 from salesmart.functions.measures import mean, money, ratio
 from salesmart.operators.commission import fact_commission
 from salesmart.operators.ranking import rank_over
@@ -328,9 +329,12 @@ def lab_top6_trend(src: Source, flt: Filters = ALL) -> DataFrame:
 # --------------------------------------------------------------------------- K-10 distributors
 
 def dist_monthly(src: Source, flt: Filters = ALL) -> DataFrame:
-    return facts(src, flt, product=True).groupBy("distributor_name", "distributor_type", "year_month", "year").agg(
+    # grouped by the keys that determine the others: counting distinct values shuffles a row for each of them
+    g = facts(src, flt, product=True).groupBy("distributor_key", "year", "month_num").agg(
         net0(), F.count_distinct("invoice_number").alias("invoices"),
         F.count_distinct("client_key").alias("clients"), margin2())
+    return g.select(star.of_distributor(2).alias("distributor_name"), star.of_distributor(3).alias("distributor_type"),
+                    year_month(F.make_date("year", "month_num", F.lit(1))).alias("year_month"), "year", *g.columns[3:])
 
 
 def dist_type_trend(src: Source, flt: Filters = ALL) -> DataFrame:

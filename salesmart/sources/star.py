@@ -137,7 +137,7 @@ def _joined(src: Source, client: bool, product: bool, include_deleted: bool, out
     return fact.withColumn("year", F.year("sale_date"))
 
 
-def _of_distributor(n: int) -> Column:
+def of_distributor(n: int) -> Column:
     """Field ``n`` (from the key) of the row's distributor, a literal lookup."""
     return F.element_at(F.array(*[F.lit(d[n]) for d in sorted(DISTRIBUTORS)]), F.col("distributor_key"))
 
@@ -159,7 +159,7 @@ def described(f: DataFrame, product: bool = True) -> DataFrame:
         "source_record_id": F.concat_ws("-", F.col("invoice_number").cast("string"), F.col("invoice_line").cast("string")),
     }).withColumns({
         "net_amount": gross - F.col("discount_amount"),
-        "distributor_code": _of_distributor(1), "distributor_name": _of_distributor(2), "distributor_type": _of_distributor(3),
+        "distributor_code": of_distributor(1), "distributor_name": of_distributor(2), "distributor_type": of_distributor(3),
     })
     if product:
         f = f.withColumn("cost_amount", F.round(qty * F.col("list_price") * F.lit(0.60).cast("decimal(2,2)"), 2))
