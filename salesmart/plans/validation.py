@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import cleanse as cl
 from salesmart.operators import swap
+from salesmart.operators.matching import derive_mapping, map_product_codes
 from salesmart.operators.runlog import put
-from salesmart.plans.cleansing_queries import mapped_feed
 from salesmart.plans.ingest import AS_OF
 from salesmart.session import checkpoint_dir, materialize
 from salesmart.sources import grid
@@ -57,9 +57,12 @@ def build_queue(src: Source) -> DataFrame:
          .select(F.lit(CITY).alias("entry_type"), F.col("city_name_raw").alias("raw_value"),
                  F.col("city_name_clean").alias("suggested_value"), F.col("city_match_confidence").alias("conf"),
                  "distributor_code", "source_file", "created_at"))
-    p = (mapped_feed(src).filter(~F.col("mapping_exact"))
-         .select("distributor_code", "product_name_raw", "sap_product_name", "mapping_confidence", "source_file", "extracted_at")
-         .distinct()
+    # a line's mapping follows from its distributor, code and description: each of these is mapped once, with its first
+    # sighting, and the wide lines are neither joined nor written for the queue
+    coded = materialize(grid.parsed_feed(src, AS_OF).groupBy("distributor_code", "dist_product_code", "product_name_raw")
+                        .agg(F.min("source_file").alias("source_file"), F.min("extracted_at").alias("extracted_at")),
+                        "feed-codes", compression="zstd")
+    p = (map_product_codes(coded, derive_mapping(src)).filter(~F.col("mapping_exact"))
          .groupBy("distributor_code", "product_name_raw")
          .agg(F.first("sap_product_name").alias("suggested_value"),
               F.first("mapping_confidence").alias("conf"),
