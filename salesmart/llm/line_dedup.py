@@ -9,8 +9,14 @@ survives unchanged, near its place. So each line is indexed under its length and
 probes, for each length it may match, the few substrings that the positions of a surviving segment
 allow (multi-match-aware windows of PassJoin). Candidates whose counts of frequent letters in their first (or last)
 ``WINDOW`` characters differ by more than ``2 * EDITS`` go at once: an edit takes at most one character from such a
-window and brings one, so no true pair does. The rest are verified with a banded
-bit-parallel edit distance: one word holds the ``2 * EDITS + 1`` diagonals of the band.
+window and brings one, so no true pair does. Of the rest go those of which too few small parts of one line stand in
+the other, and what is left is verified with a banded bit-parallel edit distance: one word holds the ``2 * EDITS + 1``
+diagonals of the band.
+
+A segment that very many lines share is not paired, as its pairs grow with the square of the group: its lines go on to
+:func:`near_in_groups`, which narrows down the places of the edits until lines that share a key are within the distance
+as they are, so that a grouped minimum is enough. Which segments are so frequent is told from every ``EVERY``-th
+line; a wrong guess costs time and loses no pair, as either way is exact.
 
 Lines are ordered by the smallest doc_id that holds them (null last), then by the line's text. A line
 is removed from a document if it stands there already, if a smaller doc_id holds the same line, or
@@ -39,6 +45,13 @@ LEAST = 12
 LEAST_ONE = 6
 LETTERS = "etanorihsdlcumwf"
 WINDOW = 32
+#: A segment held by ``OFTEN`` or more of every ``EVERY``-th line (about 128 lines) is not paired.
+EVERY, OFTEN = 8, 16
+#: Windows a line is first cut into where a segment is frequent, and parts compared before the edit distance.
+CUTS, PARTS = 6, 8
+#: Lengths that two edits in order add to the shorter line (0 replaced, 1 inserted, -1 deleted; a deletion before an
+#: insertion is an insertion before a deletion, seen from the other line).
+KINDS = [(0, 0), (1, -1), (0, 1), (1, 0), (1, 1)]
 _LAST = (1 << 63) - 1
 
 
@@ -168,18 +181,28 @@ def near_lines(lines: DataFrame) -> DataFrame:
     are told apart by their ends, all others by their beginnings.
     """
     found = []
+    some = lines.where(F.pmod(F.xxhash64("uid"), F.lit(EVERY)) == 0)
+    often = [some.select(F.lit(i).alias("i"), _index_key(i).alias("key")) for i in range(EDITS + 1)]
+    often = save(reduce(DataFrame.unionByName, often).groupBy("i", "key").count().where(F.col("count") >= OFTEN), "line-often")
     for i in range(EDITS + 1):
         bag = F.col("head" if i else "tail")
         index = lines.select("uid", bag.alias("bag"), _index_key(i).alias("key"))
+        # a frequent segment is one row without a line: each line that probes it, its own lines too, is met once
+        skip = often.where(F.col("i") == i).select("key")
+        index = index.join(skip, "key", "left_anti").select("uid", "bag", "key").unionByName(
+            skip.select(F.lit(None).cast("long").alias("uid"), F.lit(None).cast("long").alias("bag"), "key"))
         probe = _probes(lines.select("uid", "line", "n", bag.alias("other_bag")), i)
         # lines of one length probe each other, so one direction is enough; a longer line (negative) always counts
         probe = probe.select(F.when(F.col("less") > 0, -1 - F.col("uid")).otherwise(F.col("uid")).alias("other"), "other_bag", "key")
         once = (F.col("other") < 0) | (F.col("uid") < F.col("other"))
-        met = probe.join(index, "key").where(once & (_letters_apart("bag", "other_bag") <= 2 * EDITS))
+        met = probe.join(index, "key").where(F.col("uid").isNull() | once & (_letters_apart("bag", "other_bag") <= 2 * EDITS))
         other = F.when(F.col("other") < 0, -1 - F.col("other")).otherwise(F.col("other"))
-        found.append(save(met.select(F.least("uid", other).alias("a"), F.greatest("uid", other).alias("b")),
-                          f"line-pairs-{i}"))
-    pairs = save(reduce(DataFrame.unionByName, found).distinct(), "line-pairs")
+        met = met.select(F.when(F.col("uid") < other, F.col("uid")).otherwise(other).alias("a"),
+                         F.when(F.col("uid") < other, other).otherwise(F.col("uid")).alias("b"))
+        found.append(save(met, f"line-pairs-{i}"))
+    met = save(reduce(DataFrame.unionByName, found).distinct(), "line-pairs")
+    pairs = met.where("b is not null")
+    grouped = near_in_groups(lines, met.where("b is null").select(F.col("a").alias("uid")).distinct())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("uid"))
     some = save(_members(lines, ends, "uid").select("uid", "line", "first"), "line-members")
     side = lambda s: some.select(F.col("uid").alias(s), F.col("line").alias(f"line_{s}"),
@@ -189,7 +212,83 @@ def near_lines(lines: DataFrame) -> DataFrame:
     both = both.select(later.alias("uid"), F.col("line_a").alias("x"), F.col("line_b").alias("y"))
     # written, as a filter moved below the cuts would repeat their expressions many times
     middles = save(_trimmed(both, "x", "y"), "line-middles")
-    return middles.where(within_edits("x", "y")).select("uid").distinct()
+    near = middles.where(_parts_stand("x", "y")).where(within_edits("x", "y")).select("uid")
+    return near.unionByName(grouped).distinct()
+
+
+def _parts_stand(a: str, b: str) -> Column:
+    """Whether all but EDITS of the parts of a stand in b, as those do that no edit touches."""
+    n, a, b = F.length(a), F.col(a), F.col(b)
+    total = F.lit(0)
+    for k in range(PARTS):
+        at, end = (F.floor(n * j / PARTS).cast("int") for j in (k, k + 1))
+        total = total + F.contains(b, F.substr(a, at + 1, end - at)).cast("int")
+    return total >= PARTS - EDITS
+
+
+def _cell_key(cells: DataFrame) -> DataFrame:
+    """``cells`` (with line, n) with ``key``: what an edit in each window, [a1, b1) and [a2, b2), leaves of the line.
+
+    Windows count characters of the shorter line; in the longer one (``long``) what follows an edit has moved by its length.
+    """
+    after, last = F.when(F.col("long"), F.col("e1")).otherwise(0), F.when(F.col("long"), F.col("e1") + F.col("e2")).otherwise(0)
+    parts = [F.substr("line", F.lit(1), F.col("a1")),
+             F.substr("line", F.col("b1") + after + 1, F.greatest(F.col("a2") - F.col("b1"), F.lit(0))),
+             F.substr("line", F.col("b2") + last + 1)]
+    return cells.withColumn("key", F.xxhash64("m", "e1", "e2", "a1", "b1", "a2", "b2", *[F.xxhash64(p, F.length(p)) for p in parts]))
+
+
+def _halves(a: str, b: str, e: str) -> Column:
+    """Halves of a window; a window of one character is a place, unless a character comes in there: before it, or at the end."""
+    half = F.floor((F.col(a) + F.col(b)) / 2).cast("int")
+    win = lambda x, y: F.struct(x.alias("a"), y.alias("b"))
+    a, b, e = F.col(a), F.col(b), F.col(e)
+    gaps = F.when(b == F.col("m"), F.array(win(a, a), win(b, b))).otherwise(F.array(win(a, a)))
+    return (F.when(b - a > 1, F.array(win(a, half), win(half, b))).when((b - a == 1) & (e == 1), gaps)
+            .otherwise(F.array(win(a, b))))
+
+
+def near_in_groups(lines: DataFrame, uids: DataFrame) -> DataFrame:
+    """uid of those lines of ``uids`` that an earlier one of them is within the distance of, without pairs.
+
+    Two lines within the distance agree but for two windows of the shorter one that hold an edit each. So a line is
+    put under what is left of it for each two windows (they may be the same), as the shorter and as the longer of
+    two; where two lines meet the windows are halved, until they are places. Lines that still share a key
+    then are within the distance, whichever they are, and the earliest of a key decides for all others.
+    """
+    rows = save(lines.join(uids, "uid", "left_semi").select("uid", "line", "n", "first"), "line-grouped")
+    widest = rows.agg(F.max("n")).first()[0]
+    if widest is None:
+        return rows.select("uid")
+    kinds = F.array(*[F.struct(F.lit(e1).alias("e1"), F.lit(e2).alias("e2"), F.lit(long).alias("long"))
+                      for e1, e2 in KINDS for long in ((False, True) if (e1, e2) != (0, 0) else (False,))])
+    places = F.array(*[F.struct(F.lit(u).alias("u"), F.lit(v).alias("v")) for u in range(CUTS) for v in range(u, CUTS)])
+    m = F.when(F.col("long"), F.col("n") - F.col("e1") - F.col("e2")).otherwise(F.col("n"))
+    edge = lambda c, k: F.floor(F.col("m") * (F.col(c) + k) / CUTS).cast("int")
+    cells = (rows.select("uid", "line", "n", F.explode(kinds).alias("kind")).select("uid", "line", "n", "kind.*").withColumn("m", m)
+             .select("*", F.explode(places).alias("at")).select("*", "at.*")
+             .withColumns({"a1": edge("u", 0), "b1": edge("u", 1), "a2": edge("v", 0), "b2": edge("v", 1)}))
+    columns = ["uid", "e1", "e2", "long", "m", "a1", "b1", "a2", "b2", "key"]
+    narrow = (widest // CUTS + 1).bit_length() + 1
+    for step in range(narrow + 1):
+        cells = save(_cell_key(cells).select(*columns), f"line-cells-{step}")
+        # a key stays where two lines meet, one as the shorter and one as the longer, or either way if lengths stay
+        meet = (cells.groupBy("key").agg(F.min("uid").alias("x"), F.max("uid").alias("y"), F.bool_or("long").alias("l"),
+                                         F.bool_and("long").alias("s"), F.max("e1").alias("e"), F.max("e2").alias("f"))
+                .where("x < y and ((e = 0 and f = 0) or (l and not s))").select("key"))
+        cells = cells.join(meet, "key", "left_semi")
+        if step < narrow:
+            cells = (cells.drop("key").withColumn("w1", F.explode(_halves("a1", "b1", "e1")))
+                     .withColumn("w2", F.explode(_halves("a2", "b2", "e2"))).where("w1.a <= w2.a")
+                     .select("uid", "e1", "e2", "long", "m", F.col("w1.a").alias("a1"), F.col("w1.b").alias("b1"),
+                             F.col("w2.a").alias("a2"), F.col("w2.b").alias("b2")).join(rows, "uid"))
+    own = cells.join(rows, "uid").select("uid", "key", "long", ((F.col("e1") == 0) & (F.col("e2") == 0)).alias("alike"),
+                                         F.struct("first", "line").alias("rank"))
+    own = save(own, "line-places")
+    least = own.groupBy("key").agg(F.min(F.when(~F.col("long"), F.col("rank"))).alias("shorter"),
+                                   F.min(F.when(F.col("long"), F.col("rank"))).alias("longer"))
+    against = F.when(F.col("long") | F.col("alike"), F.col("shorter")).otherwise(F.col("longer"))
+    return own.join(least, "key").where(against < F.col("rank")).select("uid").distinct()
 
 
 def near_short_lines(lines: DataFrame) -> DataFrame:
