@@ -7,16 +7,17 @@ has ``LEAST_ONE`` to ``LEAST - 1``, none below, where one edit makes another wor
 Lines of ``LEAST`` characters or more are split into ``EDITS + 1`` segments; within that distance at least one segment
 survives unchanged, near its place. So each line is indexed under its length and segments, and
 probes, for each length it may match, the few substrings that the positions of a surviving segment
-allow (multi-match-aware windows of PassJoin). Candidates whose counts of frequent letters in their first (or last)
-``WINDOW`` characters differ by more than ``2 * EDITS`` go at once: an edit takes at most one character from such a
-window and brings one, so no true pair does. Of the rest go those of which too few small parts of one line stand in
-the other, and what is left is verified with a banded bit-parallel edit distance: one word holds the ``2 * EDITS + 1``
-diagonals of the band.
-
-A segment that very many lines share is not paired, as its pairs grow with the square of the group: its lines go on to
-:func:`near_in_groups`, which narrows down the places of the edits until lines that share a key are within the distance
-as they are, so that a grouped minimum is enough. Which segments are so frequent is told from every ``EVERY``-th
-line; a wrong guess costs time and loses no pair, as either way is exact.
+allow (multi-match-aware windows of PassJoin). Candidates whose counts of frequent letters differ by more than
+``2 * EDITS`` go at once: an edit takes at most one character and brings one, so no true pair does. Of the rest go those
+of which too few small parts of one line stand in the other, and what is left is verified with a banded bit-parallel edit
+distance: one word holds the ``2 * EDITS + 1`` diagonals of the band.
+
+A segment that many lines share is not paired at once, as its pairs grow with the square of the group: its lines are the
+crowd, which is paired with the counts of letters at hand, so that few false pairs are written.
+Which segments are frequent is told from every ``EVERY``-th line; a wrong guess costs time and loses no pair, as either
+way is exact. A segment of ``MOST`` lines or more is not paired at all: its lines go on to :func:`near_in_groups`, which
+narrows down the places of the edits until lines that share a key are within the distance as they are, so that a
+grouped minimum is enough.
 
 Lines are ordered by the smallest doc_id that holds them (null last), then by the line's text. A line
 is removed from a document if it stands there already, if a smaller doc_id holds the same line, or
@@ -44,9 +45,9 @@ EDITS = 2
 LEAST = 12
 LEAST_ONE = 6
 LETTERS = "etanorihsdlcumwf"
-WINDOW = 32
-#: A segment held by ``OFTEN`` or more of every ``EVERY``-th line (about 128 lines) is not paired.
-EVERY, OFTEN = 8, 16
+#: A segment held by ``OFTEN`` or more of every ``EVERY``-th line (about 24 lines) is left to the crowd, and one that ``MOST``
+#: lines of the crowd hold to the groups.
+EVERY, OFTEN, MOST = 8, 3, 512
 #: Windows a line is first cut into where a segment is frequent, and parts compared before the edit distance.
 CUTS, PARTS = 6, 8
 #: Lengths that two edits in order add to the shorter line (0 replaced, 1 inserted, -1 deleted; a deletion before an
@@ -89,7 +90,7 @@ def _windows(i: int) -> Column:
 
 
 def _probes(lines: DataFrame, i: int) -> DataFrame:
-    """``lines`` (uid, line, n, other_bag) -> uid, other_bag, less, key: one row for each window inside the line.
+    """``lines`` (uid, line, n) -> less, key and the other columns: one row for each window inside the line.
 
     Windows are dealt out first, as one small expression for the key is compiled, and one for each window, which
     a lambda or a large array takes, is not.
@@ -99,15 +100,19 @@ def _probes(lines: DataFrame, i: int) -> DataFrame:
     start, size = _segment(n, i)
     dealt = dealt.withColumns({"m": n, "at": start + F.col("shift"), "size": size})
     dealt = dealt.where("at >= 0 and at + size <= n")
-    return dealt.select("uid", "other_bag", "less", F.xxhash64("m", F.substr("line", F.col("at") + 1, F.col("size"))).alias("key"))
+    key = F.xxhash64("m", F.substr("line", F.col("at") + 1, F.col("size")))
+    return dealt.select(*[c for c in lines.columns if c not in ("line", "n")], "less", key.alias("key"))
+
+
+def _count(line: Column, letter: str) -> Column:
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
 
 
-def _letter_counts(window: Column) -> Column:
+def _letter_counts(line: Column) -> Column:
     """Counts of the frequent letters, four bits each: differences modulo 16 are never above the true ones."""
     out = F.lit(0).cast("long")
     for i, letter in enumerate(LETTERS):
-        count = F.length(window) - F.length(F.replace(window, F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(15)), 4 * i))
+        out = out.bitwiseOR(F.shiftleft(_count(line, letter).cast("long").bitwiseAND(F.lit(15)), 4 * i))
     return out
 
 
@@ -174,37 +179,61 @@ def _members(rows: DataFrame, wanted: DataFrame, key: str, always: Column | None
             .where(hit if always is None else always | hit).drop("w", "s", "bits"))
 
 
+def _meet(lines: DataFrame, index: DataFrame, skip: DataFrame, i: int) -> DataFrame:
+    """(a, b) of the lines that probe a key of ``index`` (uid, key); (a, null) of those that probe one of ``skip``.
+
+    Where both have a ``bag``, the counts of their letters, lines that these tell apart are not paired.
+    """
+    # a frequent segment is one row without a line: each line that probes it, its own lines too, is met once
+    index = index.join(skip, "key", "left_anti").unionByName(skip, allowMissingColumns=True)
+    once = (F.col("other") < 0) | (F.col("uid") < F.col("other"))
+    own = ["uid", "line", "n"]
+    if "bag" in index.columns:
+        once = once & (_letters_apart("bag", "other_bag") <= 2 * EDITS)
+        lines, own = lines.withColumnRenamed("bag", "other_bag"), [*own, "other_bag"]
+    # lines of one length probe each other, so one direction is enough; a longer line (negative) always counts
+    other = F.when(F.col("less") > 0, -1 - F.col("uid")).otherwise(F.col("uid"))
+    probe = _probes(lines.select(*own), i).withColumn("other", other).drop("uid", "less")
+    met = probe.join(index, "key").where(F.col("uid").isNull() | once)
+    line = F.when(F.col("other") < 0, -1 - F.col("other")).otherwise(F.col("other"))
+    return met.select(F.when(F.col("uid") < line, F.col("uid")).otherwise(line).alias("a"),
+                      F.when(F.col("uid") < line, line).otherwise(F.col("uid")).alias("b"))
+
+
+def _near_in_crowd(crowd: DataFrame, often: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of ``crowd`` (uid, line, n, first) that share a segment of ``often``, and uid of those near an earlier one."""
+    keys = [_index_key(i).alias(f"key_{i}") for i in range(EDITS + 1)]
+    crowd = save(crowd.select("*", _letter_counts(F.col("line")).alias("bag"), *keys), "line-crowd")
+    found = []
+    for i in range(EDITS + 1):
+        index = (crowd.select("uid", "bag", F.col(f"key_{i}").alias("key"))
+                 .join(often, "key", "left_semi"))
+        most = save(index.groupBy("key").count().where(F.col("count") >= MOST).select("key"), "line-most")
+        found.append(save(_meet(crowd, index, most, i), f"line-crowd-pairs-{i}"))
+    met = reduce(DataFrame.unionByName, found)
+    grouped = met.where("b is null").select(F.col("a").alias("uid")).distinct()
+    return met.where("b is not null"), near_in_groups(crowd, grouped)
+
+
 def near_lines(lines: DataFrame) -> DataFrame:
-    """uid of the lines (uid, line, n, head, tail, first) that an earlier line is within the distance of.
+    """uid of the lines (uid, line, n, first, key_0 and on) that an earlier line is within the distance of.
 
-    One join for each segment, so that only its keys are on disk at a time. Lines that share their first segment
-    are told apart by their ends, all others by their beginnings.
+    One join for each segment, so that only its keys are on disk at a time.
     """
     found = []
     some = lines.where(F.pmod(F.xxhash64("uid"), F.lit(EVERY)) == 0)
-    often = [some.select(F.lit(i).alias("i"), _index_key(i).alias("key")) for i in range(EDITS + 1)]
-    often = save(reduce(DataFrame.unionByName, often).groupBy("i", "key").count().where(F.col("count") >= OFTEN), "line-often")
+    some = some.select(F.explode(F.array(*[f"key_{i}" for i in range(EDITS + 1)])).alias("key"))
+    often = save(some.groupBy("key").count().where(F.col("count") >= OFTEN).select("key"), "line-often")
     for i in range(EDITS + 1):
-        bag = F.col("head" if i else "tail")
-        index = lines.select("uid", bag.alias("bag"), _index_key(i).alias("key"))
-        # a frequent segment is one row without a line: each line that probes it, its own lines too, is met once
-        skip = often.where(F.col("i") == i).select("key")
-        index = index.join(skip, "key", "left_anti").select("uid", "bag", "key").unionByName(
-            skip.select(F.lit(None).cast("long").alias("uid"), F.lit(None).cast("long").alias("bag"), "key"))
-        probe = _probes(lines.select("uid", "line", "n", bag.alias("other_bag")), i)
-        # lines of one length probe each other, so one direction is enough; a longer line (negative) always counts
-        probe = probe.select(F.when(F.col("less") > 0, -1 - F.col("uid")).otherwise(F.col("uid")).alias("other"), "other_bag", "key")
-        once = (F.col("other") < 0) | (F.col("uid") < F.col("other"))
-        met = probe.join(index, "key").where(F.col("uid").isNull() | once & (_letters_apart("bag", "other_bag") <= 2 * EDITS))
-        other = F.when(F.col("other") < 0, -1 - F.col("other")).otherwise(F.col("other"))
-        met = met.select(F.when(F.col("uid") < other, F.col("uid")).otherwise(other).alias("a"),
-                         F.when(F.col("uid") < other, other).otherwise(F.col("uid")).alias("b"))
-        found.append(save(met, f"line-pairs-{i}"))
+        found.append(save(_meet(lines, lines.select("uid", F.col(f"key_{i}").alias("key")), often, i), f"line-pairs-{i}"))
     met = save(reduce(DataFrame.unionByName, found).distinct(), "line-pairs")
-    pairs = met.where("b is not null")
-    grouped = near_in_groups(lines, met.where("b is null").select(F.col("a").alias("uid")).distinct())
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("uid"))
-    some = save(_members(lines, ends, "uid").select("uid", "line", "first"), "line-members")
+    pairs, crowd = met.where("b is not null"), met.where("b is null").select(F.col("a").alias("uid"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("uid")).unionByName(crowd)
+    some = save(_members(lines, ends, "uid").select("uid", "line", "n", "first"), "line-members")
+    grouped = None
+    if not crowd.isEmpty():
+        more, grouped = _near_in_crowd(some.join(crowd.distinct(), "uid", "left_semi"), often)
+        pairs = pairs.unionByName(more).distinct()
     side = lambda s: some.select(F.col("uid").alias(s), F.col("line").alias(f"line_{s}"),
                                  F.col("first").alias(f"first_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -212,8 +241,9 @@ def near_lines(lines: DataFrame) -> DataFrame:
     both = both.select(later.alias("uid"), F.col("line_a").alias("x"), F.col("line_b").alias("y"))
     # written, as a filter moved below the cuts would repeat their expressions many times
     middles = save(_trimmed(both, "x", "y"), "line-middles")
-    near = middles.where(_parts_stand("x", "y")).where(within_edits("x", "y")).select("uid")
-    return near.unionByName(grouped).distinct()
+    apart = reduce(Column.__add__, [F.abs(_count(F.col("x"), c) - _count(F.col("y"), c)) for c in LETTERS])
+    near = middles.where(apart <= 2 * EDITS).where(_parts_stand("x", "y")).where(within_edits("x", "y")).select("uid")
+    return (near if grouped is None else near.unionByName(grouped)).distinct()
 
 
 def _parts_stand(a: str, b: str) -> Column:
@@ -313,8 +343,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     held = rows.select(order.alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
     lines = (held.where(_full(F.col("line"))).groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .select(F.monotonically_increasing_id().alias("uid"), "line", F.length("line").alias("n"), "first", "last"))
-    ends = {"head": F.left("line", F.lit(WINDOW)), "tail": F.right("line", F.lit(WINDOW))}
-    lines = save(lines.withColumns({c: _letter_counts(w) for c, w in ends.items()}), "line-distinct")
+    lines = save(lines.withColumns({f"key_{i}": _index_key(i) for i in range(EDITS + 1)}), "line-distinct")
     near = save(near_lines(lines.where(F.col("n") >= LEAST)).unionByName(near_short_lines(lines)).distinct(), "line-near")
     # a line that stands in one document only, and is near no other, can only repeat inside that document
     judged = save(lines.join(near.withColumn("near", F.lit(True)), "uid", "left").where("near or last > first")

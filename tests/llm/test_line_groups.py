@@ -59,3 +59,50 @@ def test_one_template_makes_no_pairs(spark, monkeypatch):
     texts = [r.text for r in docs.orderBy("doc_id").collect()]
     _, want = _near(spark, texts)
     assert got == want
+
+
+def test_repeats_with_segments_for_crowd_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "EVERY", 1)
+    monkeypatch.setattr(line_dedup, "OFTEN", 2)
+    monkeypatch.setattr(line_dedup, "MOST", 4)
+    docs, want = _near(spark, _lines())
+    assert {r.doc_id for r in line_dedup.repeats(docs).where("n_removed > 0").collect()} == want
+
+
+def _saved(monkeypatch):
+    """name -> (table, plan that was written), filled as line_dedup saves."""
+    made, keep = {}, line_dedup.save
+
+    def save(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        made[name] = (keep(df, name), plan)
+        return made[name][0]
+
+    monkeypatch.setattr(line_dedup, "save", save)
+    return made
+
+
+def test_near_copies_of_one_text_make_few_pairs(spark, monkeypatch):
+    """Copies with other words in the middle share segments and both ends, but few of them are near."""
+    made = _saved(monkeypatch)
+    rng = np.random.default_rng(9)
+    word = lambda size: "".join(rng.choice(list("etanorihsd"), size))
+    words = [word(int(k)) for k in rng.integers(2, 9, 40)]
+    lines = set()
+    while len(lines) < 100:
+        changed = rng.integers(14, 26, 2)
+        lines.add(" ".join(word(len(w)) if k in changed else w for k, w in enumerate(words)))
+    docs, want = _near(spark, sorted(lines))
+    assert {r.doc_id for r in line_dedup.repeats(docs).where("n_removed > 0").collect()} == want
+    pairs = [t.where("b is not null").count() for n, (t, _) in made.items() if n.startswith(("line-pairs-", "line-crowd-pairs-"))]
+    assert len(pairs) == 2 * (line_dedup.EDITS + 1) and sum(pairs) < 10 * len(lines)
+
+
+def test_lines_of_groups_are_not_looked_up_among_all_lines(spark, monkeypatch):
+    """A join of all lines for the groups shuffles their text, also if no line is in a group."""
+    made = _saved(monkeypatch)
+    docs, _ = _near(spark, _lines())
+    line_dedup.repeats(docs).collect()
+    lookups = [p for n, (_, p) in made.items() if n in ("line-grouped", "line-crowd")]
+    assert not any("line-distinct" in p or "last#" in p for p in lookups)
+    assert "line-grouped" not in made or "line-crowd" in made
