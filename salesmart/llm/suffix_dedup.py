@@ -7,14 +7,16 @@ trigger form a phrase (their union of bytes); equal text gives equal triggers, s
 equal phrases wherever they stand, and phrases overlap enough that none of their windows is lost.
 
 The dictionary holds each distinct phrase once with the first document that has it; the parse is
-each document's sequence of phrases. Triggers are counted first, in merged sketches that can only estimate too
-much: one that stands once in the corpus can repeat nothing, and its phrase leaves dictionary and parse. Order in the corpus is settled on the dictionary: a phrase that
+each document's sequence of phrases. Triggers are counted first, exactly: one that stands once in the corpus can
+repeat nothing, and its phrase leaves dictionary and parse. Order in the corpus is settled on the dictionary: a phrase that
 stands earlier as a whole repeats all its windows, however many copies there are. Only phrases that
 share a trigger with a different phrase can share some windows: those dictionary entries, at their
 first place, are expanded into their windows, whose first places are compared. Phrases and windows are equal if
 two 64-bit hashes are, of the trigger and of all bytes.
 Instead of one suffix array of the corpus, which would be a sequential object, the sorted order
 needed (equal strings together, first place first) comes from grouped minima on these hashes.
+Equal strings have equal triggers, so a large corpus is worked through in ranges of triggers, each with all texts:
+what is shuffled at once, and the filters that are sent to the workers, are those of ``ROUND`` bytes of text.
 
 Null and empty texts, and texts under MATCH bytes, keep all bytes. Documents with a null doc_id come
 last and count as one place. Rows of one doc_id with different texts share their place: neither is
@@ -37,7 +39,6 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import BITMAP_BITS, discard, prepare, save
 from salesmart.llm.textkernel import INVERSE, mix, powers, prefix_sums
-from salesmart.llm.window_dedup import estimated, repeated_triggers, sketch_bits
 
 MATCH, GRAM = 100, 40
 BLOCK = 1 << 21
@@ -45,6 +46,8 @@ BLOCK = 1 << 21
 SIZES = 1 << 12
 #: Bytes of texts that are parsed together.
 PACK = 1 << 19
+#: Text bytes whose triggers are looked at in one round.
+ROUND = 12 << 30
 _LAST = (1 << 63) - 1
 
 
@@ -145,23 +148,36 @@ def _repeats(*keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _in_round(g: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    return (g >> np.uint64(40)) % np.uint64(rounds) == np.uint64(turn)
+
+
 def _has(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = (keys & np.uint64(bitmap.size * 64 - 1)).astype(np.int64)
-    return (bitmap[slot >> 6] >> (slot & 63)) & 1 == 1
+    """Which keys may be in the filter: all of a key's bits are in one word (see :func:`_filter`)."""
+    word = (keys & np.uint64(bitmap.size * 64 - 1)) >> np.uint64(6)
+    bits = np.zeros(keys.size, dtype=np.uint64)
+    for at in _PLACES:
+        bits |= np.uint64(1) << (keys >> np.uint64(at) & np.uint64(63))
+    return bitmap.view(np.uint64)[word.astype(np.int64)] & bits == bits
+
+
+#: Where in a hash the places of its bits in a word stand.
+_PLACES = (32, 38, 44, 50)
 
 
 def _bits(n: int) -> int:
-    """Bits of a bitmap for n hashes: 32 for each, by powers of two from BITMAP_BITS to 2**28 (32 MB).
+    """Bits of a filter for n hashes: 16 or more for each, by powers of two from BITMAP_BITS to 2**29 (64 MB).
 
-    A bitmap that is too small only lets more through; what it lets through is grouped exactly.
+    About one hash in a hundred passes by chance; what passes is grouped exactly.
     """
-    return min(max(1 << (32 * n).bit_length(), BITMAP_BITS), 1 << 28)
+    return min(max(1 << (16 * n).bit_length(), BITMAP_BITS), 1 << 29)
 
 
-def _bitmap(df: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """Membership bitmap of hashes, by their low bits."""
-    words = (df.select(F.col(col).bitwiseAND(F.lit(bits - 1)).alias("s"))
-             .select(F.shiftrightunsigned("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("b"))
+def _filter(df: DataFrame, col: str) -> np.ndarray:
+    """Membership filter of hashes: four bits for each, in one word of 64 by its low bits."""
+    bits = _bits(df.count())
+    places = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned({col}, {at}) & 63 as int))" for at in _PLACES)
+    words = (df.select(F.shiftrightunsigned(F.col(col).bitwiseAND(F.lit(bits - 1)), 6).alias("w"), F.expr(places).alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")))
     out = np.zeros(bits // 64, dtype=np.int64)
     for batch in words.toArrow().to_batches():
@@ -203,13 +219,42 @@ def _key(c1: np.ndarray, doc: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """doc, h, spans: for each text with removed bytes its removed runs (array of :func:`_span`), unmerged."""
-    spark = docs.sparkSession
     texts = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), _text_hash().alias("h"),
                         F.col("text").cast("binary").alias("data"))
     texts = texts.where(F.length("data") >= MATCH)
+    # phrases of one text; where several texts share the first place, each owns those that it holds
+    several = save(texts.groupBy("doc").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi")
+                   .select("doc"), "phrase-several")
+    rounds = -(-(texts.agg(F.sum(F.length("data"))).first()[0] or 1) // ROUND)
+    found = [part for turn in range(rounds) for part in _round(texts, several, turn, rounds)]
+    rows = found[0]
+    for part in found[1:]:
+        rows = rows.unionByName(part)
+    # a text's spans are bounded by its length; rows that repeat it find the same ones
+    spans = save(rows.groupBy("doc", "h").agg(F.collect_set("span").alias("spans")), "phrase-spans")
+    discard(several, *found)
+    return spans
+
+
+def _round(texts: DataFrame, several: DataFrame, turn: int, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """doc, h, span: the removed phrases, and the removed windows of other phrases, under the triggers of one round."""
+    spark = texts.sparkSession
+
+    def triggers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Triggers of a pack, each twice if it stands there more than once."""
+
+        def rows() -> Iterator[list[np.ndarray]]:
+            for k in packs(batches):
+                g, n = np.unique(k.parse.g[_in_round(k.parse.g, turn, rounds)], return_counts=True)
+                yield [_signed(np.concatenate([g, g[n > 1]]))]
+
+        yield from _batches(["g"], rows())
+
     # most triggers stand once: windows under them stand nowhere else
-    sketch = repeated_triggers(texts, sketch_bits(texts, (MATCH - GRAM + 2) // 2), parses)
-    often = spark.sparkContext.broadcast(sketch)
+    counted = save(texts.mapInArrow(triggers, "g long").groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"),
+                   "trigger-repeated")
+    often = spark.sparkContext.broadcast(_filter(counted, "g"))
+    discard(counted)
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The parse without phrases whose trigger stands once; marked if the text has the phrase before."""
@@ -218,7 +263,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             seen = np.empty(0, dtype=np.uint64)
             for k in packs(batches):
                 p = k.parse
-                own = np.flatnonzero(estimated(often.value, p.g))
+                own = np.flatnonzero(_in_round(p.g, turn, rounds) & _has(often.value, p.g))
                 text, c1 = k.text_of(p.lo[own]), p.c1[own]
                 again = _repeats(text, c1) | np.isin(c1, seen)
                 seen = seen[:0] if k.ends_text else np.union1d(seen, c1)
@@ -228,6 +273,7 @@ def repeated(docs: DataFrame) -> DataFrame:
         yield from _batches(["g", "c1", "doc", "h", "s", "e", "again"], rows())
 
     parse = save(texts.mapInArrow(phrases, "g long, c1 long, doc long, h long, s long, e long, again boolean"), "phrase-parse")
+    often.destroy()
     # the dictionary: each such phrase, its first document and whether others have it
     once = parse.where("not again")
     entries = save(once.groupBy("g", "c1").agg(F.min(F.struct("doc", "h")).alias("own"), F.max("doc").alias("last"))
@@ -237,17 +283,19 @@ def repeated(docs: DataFrame) -> DataFrame:
     mixed = entries.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
     partial = save(entries.join(mixed, "g").select("g", "c1", "first", "h"), "phrase-partial")
     discard(entries)
-    # phrases of one text; where several texts share the first place, each owns those that it holds
-    several = save(texts.groupBy("doc").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi")
-                   .select("doc"), "phrase-several")
     owners = partial.select("c1", F.col("first").alias("doc"), "h")
     if not several.isEmpty():
         own = once.join(several, "doc", "left_semi").select("g", "c1", "doc", "h")
         owners = owners.unionByName(own.join(partial.select("g", "c1", "first"), ["g", "c1"]).where("doc = first")
                                     .select("c1", "doc", "h"))
-    keys = owners.select(F.col("c1").bitwiseXOR(F.col("doc")).bitwiseXOR(F.col("h")).alias("k"))
-    # a key too many in the bitmap only compares more windows
-    owned = spark.sparkContext.broadcast(_bitmap(keys, "k", _bits(keys.count())))
+    keys = save(owners.select(F.col("c1").bitwiseXOR(F.col("doc")).bitwiseXOR(F.col("h")).alias("k")), "phrase-owners")
+    # a key too many in the filter only compares more windows
+    owned = spark.sparkContext.broadcast(_filter(keys, "k"))
+    discard(partial, keys)
+    phrase = _span(F.col("s"), F.col("e") - F.col("s"))
+    whole = save(once.join(common, ["g", "c1"]).where("first < doc").select("doc", "h", phrase)
+                 .unionByName(parse.where("again").select("doc", "h", phrase)), "phrase-whole")
+    discard(common, parse)
 
     def windows(repeated_hashes=None):
         """mapInArrow function: windows of the phrases that a text owns; all hashes, or the places of those in a bitmap.
@@ -260,7 +308,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             kept: list[tuple[np.ndarray, ...]] = []  # places in the texts of a pack, at most their length
             for k in packs(batches):
                 p = k.parse
-                own = np.flatnonzero(estimated(often.value, p.g))
+                own = np.flatnonzero(_in_round(p.g, turn, rounds))
                 text = k.text_of(p.lo[own])
                 own = own[_has(owned.value, _key(_signed(p.c1[own]), k.doc[text], k.h[text]).view(np.uint64))]
                 own = own[~(_repeats(k.text_of(p.lo[own]), p.c1[own]) | np.isin(p.c1[own], done))]
@@ -289,10 +337,12 @@ def repeated(docs: DataFrame) -> DataFrame:
     # most windows stand once: their hashes are counted first, places are only kept of the others
     twice = save(texts.mapInArrow(windows(), "a long").groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
                  .select("a"), "window-repeated")
-    often_windows = spark.sparkContext.broadcast(_bitmap(twice, "a", _bits(twice.count())))
-    discard(twice, several, partial)
+    often_windows = spark.sparkContext.broadcast(_filter(twice, "a"))
+    discard(twice)
     placed = save(texts.mapInArrow(windows(often_windows), "doc long, h long, s long, a long, g long, again boolean"),
                   "phrase-windows")
+    owned.destroy()
+    often_windows.destroy()
     single = placed.where("not again").select("doc", "h", "s", "a", "g")
     # one step at a time, so that the shuffled rows of one are gone before the next
     earliest = save(single.groupBy("a", "g").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -301,14 +351,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     later = save(single.join(earliest, ["a", "g"]).where("doc > first").select("doc", "h", window)
                  .unionByName(placed.where("again").select("doc", "h", window)), "window-later")
     discard(placed, earliest)
-    phrase = _span(F.col("s"), F.col("e") - F.col("s"))
-    whole = save(once.join(common, ["g", "c1"]).where("first < doc").select("doc", "h", phrase)
-                 .unionByName(parse.where("again").select("doc", "h", phrase)), "phrase-whole")
-    discard(common, parse)
-    # a text's spans are bounded by its length; rows that repeat it find the same ones
-    spans = save(whole.unionByName(later).groupBy("doc", "h").agg(F.collect_set("span").alias("spans")), "phrase-spans")
-    discard(whole, later)
-    return spans
+    return whole, later
 
 
 def _merged(start: np.ndarray, end: np.ndarray, n: int) -> list[tuple[int, int]]:
